@@ -68,20 +68,30 @@ def global_index(
     oversample: int = 40,
     seed: int = 17,
     idx_col: str = _IDX,
+    weight_col: str | None = None,
 ) -> tuple[DataFrame, int]:
     """Add the 0-based position of each row in the total order
     (partition_cols, order_cols), NULLs last in every column. Returns the
     frame and its row count. Three small jobs run eagerly (count, sample,
-    per-bucket counts); the result itself stays lazy."""
+    per-bucket counts); the result itself stays lazy.
+
+    With ``weight_col`` each row stands for that many rows (a histogram
+    entry): the position is where its run starts, and the returned total is
+    the sum of weights."""
     spark = df.sparkSession
     keys = _key_columns(order_cols, partition_cols)
     names = [n for n, _ in keys]
     keyed = df.withColumns(dict(keys))
-    n_rows = keyed.count()
-    n_buckets = int(min(max_buckets, max(1, math.ceil(n_rows / max(1, rows_per_bucket)))))
+    if weight_col is None:
+        n_rows = keyed.count()
+        n_keys = n_rows
+    else:
+        tot = keyed.agg(F.count(F.lit(1)).alias("k"), F.sum(weight_col).alias("w")).first()
+        n_keys, n_rows = tot["k"], int(tot["w"] or 0)
+    n_buckets = int(min(max_buckets, max(1, math.ceil(n_keys / max(1, rows_per_bucket)))))
     key_struct = F.struct(*[F.col(n) for n in names])
     if n_buckets > 1:
-        frac = min(1.0, oversample * n_buckets / n_rows)
+        frac = min(1.0, oversample * n_buckets / n_keys)
         sample = sorted(
             tuple(r) for r in keyed.sample(False, frac, seed).select(*names).collect()
         )
@@ -97,7 +107,8 @@ def global_index(
         bucket = F.lit(0)
     keyed = keyed.withColumn(_BKT, bucket)
     if n_buckets > 1:
-        counts = dict(keyed.groupBy(_BKT).count().collect())
+        size = F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)
+        counts = {r[0]: int(r[1] or 0) for r in keyed.groupBy(_BKT).agg(size).collect()}
         offsets, acc = [], 0
         for b in range(n_buckets):
             offsets.append(acc)
@@ -106,7 +117,12 @@ def global_index(
     else:
         offset = F.lit(0).cast("long")
     w = Window.partitionBy(_BKT).orderBy(*[F.col(n).asc() for n in names])
-    out = keyed.withColumn(idx_col, offset + F.row_number().over(w) - 1).drop(_BKT, *names)
+    if weight_col is None:
+        pos = F.row_number().over(w) - 1
+    else:
+        pos = F.sum(weight_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) \
+            - F.col(weight_col)
+    out = keyed.withColumn(idx_col, offset + pos.cast("long")).drop(_BKT, *names)
     return out, n_rows
 
 
@@ -146,4 +162,52 @@ def dist_ntile(
     )
 
 
-__all__ = ["dist_ntile", "global_index", "tile_of"]
+def grouped_quantiles(
+    df: DataFrame,
+    value_col: str,
+    probs: Sequence[float],
+    group_cols: Sequence[str] = (),
+    names: Sequence[str] | None = None,
+    **kw,
+) -> DataFrame:
+    """Exact continuous quantiles (linear interpolation at ``p * (n - 1)``,
+    NULLs ignored) of ``value_col`` per group, one column per probability.
+
+    Rows are first reduced to a (group, value) -> count histogram with
+    map-side combine, so a value repeated across a third of the rows is one
+    entry; positions are weighted global indexes over that histogram, and
+    each quantile is read by one grouped aggregate. No group's rows are
+    gathered into one task."""
+    names = list(names or [f"q{int(round(p * 100))}" for p in probs])
+    v = F.col(value_col).cast("double")
+    hist = (df.filter(F.col(value_col).isNotNull())
+            .groupBy(*group_cols, v.alias("__v")).agg(F.count(F.lit(1)).alias("__w")))
+    idx, total = global_index(hist, ["__v"], group_cols, weight_col="__w", **kw)
+    if group_cols:
+        gs = idx.groupBy(*group_cols).agg(F.min(_IDX).alias("__gs"), F.sum("__w").alias("__n"))
+        cond = [idx[c].eqNullSafe(gs[c]) for c in group_cols]
+        j = idx.join(gs, cond, "inner").drop(*[gs[c] for c in group_cols])
+        start, n = F.col(_IDX) - F.col("__gs"), F.col("__n")
+    else:
+        j, start, n = idx, F.col(_IDX), F.lit(total).cast("long")
+    aggs = []
+    for p, name in zip(probs, names):
+        pos = F.lit(float(p)) * (n - 1).cast("double")
+        lo, hi = F.floor(pos), F.ceil(pos)
+        hit_lo = (start <= lo) & (lo < start + F.col("__w"))
+        hit_hi = (start <= hi) & (hi < start + F.col("__w"))
+        j = j.withColumn(f"__lo_{name}", F.when(hit_lo, F.col("__v")))              .withColumn(f"__hi_{name}", F.when(hit_hi, F.col("__v")))              .withColumn(f"__f_{name}", pos - lo)
+        aggs += [F.max(f"__lo_{name}").alias(f"__lo_{name}"), F.max(f"__hi_{name}").alias(f"__hi_{name}"),
+                 F.max(f"__f_{name}").alias(f"__f_{name}")]
+    out = j.groupBy(*group_cols).agg(*aggs) if group_cols else j.agg(*aggs)
+    if group_cols:
+        # groups whose values are all NULL still get a row (NULL quantiles)
+        groups = df.select(*group_cols).distinct()
+        cond = [groups[c].eqNullSafe(out[c]) for c in group_cols]
+        out = groups.join(out, cond, "left").drop(*[out[c] for c in group_cols])
+    return out.select(*group_cols, *[
+        (F.col(f"__lo_{m}") + (F.col(f"__hi_{m}") - F.col(f"__lo_{m}")) * F.col(f"__f_{m}")).alias(m)
+        for m in names])
+
+
+__all__ = ["dist_ntile", "global_index", "tile_of", "grouped_quantiles"]

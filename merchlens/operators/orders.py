@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.functions import rules
-from merchlens.functions.columns import clamp, keyword_any, null_unless, round_dp, weekday_name
+from merchlens.functions.columns import (
+    clamp,
+    exact_mean,
+    keyword_any,
+    null_unless,
+    round_dp,
+    weekday_name,
+)
 
 
 def food_merchant_ids(businesses: DataFrame,
@@ -54,7 +61,7 @@ def order_qa(orders: DataFrame) -> DataFrame:
         F.max("order_date").alias("max_order_date"),
         F.countDistinct("business_id").alias("unique_merchants"),
         F.avg(F.when(F.col("order_status") == "cancelled", 1.0).otherwise(0.0)).alias("cancel_share"),
-        F.avg("order_total_usd").alias("avg_order_total"),
+        exact_mean(F.col("order_total_usd").cast("double"), 2).alias("avg_order_total"),
         F.avg(F.when(delivered, F.col("is_on_time").cast("double"))).alias("on_time_share"),
         F.avg(F.when(delivered, F.col("actual_delivery_min").cast("double"))).alias("avg_delivery_min"),
     )

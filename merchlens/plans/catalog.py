@@ -86,3 +86,9 @@ def mod9(spark, d):
 @query("mod10_delivery_operations", _star("delivery_operations"))
 def mod10(spark, d):
     return E.delivery_ops(spark, d)
+
+
+def load_all() -> dict[str, Query]:
+    """Import every query module (registration happens on import)."""
+    from merchlens.plans import q_io, q_operators, q_quality, q_reports  # noqa: F401
+    return QUERIES

@@ -96,6 +96,12 @@ _REVIEWS_BODY = """
 cte("stg_reviews", _REVIEWS_BODY + f"\n      and cast(o_orderdate as date) >= date '{TESTDATA_REVIEW_FLOOR}'")
 cte("stg_reviews_all", _REVIEWS_BODY)
 
+cte("raw_reviews_src", """
+    select o_orderkey as review_id, o_custkey as user_id, o_custkey as business_id,
+           cast(6 - cast(substr(o_orderpriority, 1, 1) as integer) as double) as stars,
+           cast(o_orderdate as date) as review_date
+    from orders""")
+
 cte("checkin_events", """
     select user_id as business_id, ts as checkin_at from events""")
 
@@ -322,3 +328,52 @@ def with_ctes(body: str, *names: str) -> str:
         return body
     parts = [f"{n} as ({CTES[n][0]}\n)" for n in order]
     return "with " + ",\n".join(parts) + "\n" + body
+
+
+# ------------------------------------------------------------ quality checks
+
+def _sql_lit(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
+def sql_check(table_sql: str, table: str, check) -> str:
+    """One result row of a quality check, written directly in SQL."""
+    head = f"select '{table}' as table_name, '{check.kind}' as check_name, "
+    col = check.column
+    if check.kind == "unique":
+        return (head + f"'{col}' as column_name, "
+                f"cast(coalesce(sum(n) filter (where v is not null and n > 1), 0) as bigint) as observed, "
+                f"cast(coalesce(sum(n), 0) as bigint) as total_rows, "
+                f"coalesce(sum(n) filter (where v is not null and n > 1), 0) = 0 as success "
+                f"from (select {col} as v, count(*) as n from {table_sql} group by 1)")
+    if check.kind == "row_count":
+        conds = []
+        if check.lo is not None:
+            conds.append(f"count(*) >= {_sql_lit(check.lo)}")
+        if check.hi is not None:
+            conds.append(f"count(*) <= {_sql_lit(check.hi)}")
+        ok = " and ".join(conds) or "true"
+        return (head + "cast(null as varchar) as column_name, count(*) as observed, "
+                f"count(*) as total_rows, ({ok}) as success from {table_sql}")
+    if check.kind == "not_null":
+        bad = f"{col} is null"
+    elif check.kind == "between":
+        parts = []
+        if check.lo is not None:
+            parts.append(f"{col} < {_sql_lit(check.lo)}")
+        if check.hi is not None:
+            parts.append(f"{col} > {_sql_lit(check.hi)}")
+        bad = f"{col} is not null and ({' or '.join(parts) or 'false'})"
+    else:
+        vals = ", ".join(_sql_lit(v) for v in check.values)
+        bad = f"{col} is not null and {col} not in ({vals})"
+    return (head + f"'{col}' as column_name, count(*) filter (where {bad}) as observed, "
+            f"count(*) as total_rows, count(*) filter (where {bad}) = 0 as success from {table_sql}")
+
+
+def sql_suite(table_sql: str, table: str, checks) -> str:
+    return "\nunion all\n".join(sql_check(table_sql, table, c) for c in checks)
