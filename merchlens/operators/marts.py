@@ -186,6 +186,20 @@ def cuisine_market_share(perf: DataFrame) -> DataFrame:
     )
 
 
+def user_month_offsets(reviews: DataFrame) -> DataFrame:
+    """Distinct (user, activity month) with the user's first month and the
+    months since it. The first month comes from a window over the user's
+    distinct months (bounded by the calendar), not a self-join."""
+    months = (
+        reviews.filter(F.col("user_id").isNotNull())
+        .select("user_id", F.col("review_month").alias("activity_month"))
+        .distinct()
+    )
+    return months.withColumn(
+        "cohort_month", F.min("activity_month").over(Window.partitionBy("user_id"))
+    ).withColumn("months_since_cohort", months_diff("cohort_month", "activity_month").cast("long"))
+
+
 def cohort_retention(reviews: DataFrame, max_months: int = rules.RETENTION_MAX_MONTHS) -> DataFrame:
     """MOD9: users grouped by the month of their first review; per cohort and
     month offset (0..max_months) the distinct users still reviewing and their
@@ -197,14 +211,7 @@ def cohort_retention(reviews: DataFrame, max_months: int = rules.RETENTION_MAX_M
     count per (cohort, offset) with map-side combine. The cohort size is the
     offset-0 count (every user is active in their own cohort month), taken
     by a window over the small aggregate: no self-join, no count distinct."""
-    months = (
-        reviews.filter(F.col("user_id").isNotNull())
-        .select("user_id", F.col("review_month").alias("activity_month"))
-        .distinct()
-    )
-    with_cohort = months.withColumn(
-        "cohort_month", F.min("activity_month").over(Window.partitionBy("user_id"))
-    ).withColumn("months_since_cohort", months_diff("cohort_month", "activity_month").cast("long"))
+    with_cohort = user_month_offsets(reviews)
     retention = (
         with_cohort.filter(F.col("months_since_cohort").between(0, max_months))
         .groupBy("cohort_month", "months_since_cohort")

@@ -44,6 +44,16 @@ def _key_columns(order_cols: Sequence[str], partition_cols: Sequence[str]) -> li
     return cols
 
 
+def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join of ``df`` with a per-key aggregate of itself on NULL-safe
+    key equality. The aggregate's keys are renamed first so the self-join
+    stays unambiguous; they are dropped after the join."""
+    ren = small.select(*[F.col(c).alias(f"__ml_j{i}") for i, c in enumerate(keys)],
+                       *[c for c in small.columns if c not in keys])
+    cond = [df[c].eqNullSafe(ren[f"__ml_j{i}"]) for i, c in enumerate(keys)]
+    return df.join(ren, cond, "inner").drop(*[f"__ml_j{i}" for i in range(len(keys))])
+
+
 def _lit_of(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
@@ -63,8 +73,8 @@ def global_index(
     df: DataFrame,
     order_cols: Sequence[str],
     partition_cols: Sequence[str] = (),
-    rows_per_bucket: int = 500_000,
-    max_buckets: int = 256,
+    rows_per_bucket: int = 200_000,
+    max_buckets: int = 1024,
     oversample: int = 40,
     seed: int = 17,
     idx_col: str = _IDX,
@@ -154,8 +164,7 @@ def dist_ntile(
     groups = indexed.groupBy(*partition_cols).agg(
         F.min(_IDX).alias("__ml_start"), F.count(F.lit(1)).alias("__ml_n")
     )
-    cond = [indexed[c].eqNullSafe(groups[c]) for c in partition_cols]
-    joined = indexed.join(groups, cond, "inner").drop(*[groups[c] for c in partition_cols])
+    joined = _join_back(indexed, groups, partition_cols)
     return (
         joined.withColumn(out_col, tile_of(F.col(_IDX) - F.col("__ml_start"), F.col("__ml_n"), k))
         .drop(_IDX, "__ml_start", "__ml_n")
@@ -185,8 +194,7 @@ def grouped_quantiles(
     idx, total = global_index(hist, ["__v"], group_cols, weight_col="__w", **kw)
     if group_cols:
         gs = idx.groupBy(*group_cols).agg(F.min(_IDX).alias("__gs"), F.sum("__w").alias("__n"))
-        cond = [idx[c].eqNullSafe(gs[c]) for c in group_cols]
-        j = idx.join(gs, cond, "inner").drop(*[gs[c] for c in group_cols])
+        j = _join_back(idx, gs, group_cols)
         start, n = F.col(_IDX) - F.col("__gs"), F.col("__n")
     else:
         j, start, n = idx, F.col(_IDX), F.lit(total).cast("long")
@@ -203,11 +211,43 @@ def grouped_quantiles(
     if group_cols:
         # groups whose values are all NULL still get a row (NULL quantiles)
         groups = df.select(*group_cols).distinct()
-        cond = [groups[c].eqNullSafe(out[c]) for c in group_cols]
-        out = groups.join(out, cond, "left").drop(*[out[c] for c in group_cols])
+        ren = out.select(*[F.col(c).alias(f"__ml_j{i}") for i, c in enumerate(group_cols)],
+                         *[c for c in out.columns if c not in group_cols])
+        cond = [groups[c].eqNullSafe(ren[f"__ml_j{i}"]) for i, c in enumerate(group_cols)]
+        out = groups.join(ren, cond, "left").drop(*[f"__ml_j{i}" for i in range(len(group_cols))])
     return out.select(*group_cols, *[
         (F.col(f"__lo_{m}") + (F.col(f"__hi_{m}") - F.col(f"__lo_{m}")) * F.col(f"__f_{m}")).alias(m)
         for m in names])
 
 
-__all__ = ["dist_ntile", "global_index", "tile_of", "grouped_quantiles"]
+def dist_rank(
+    df: DataFrame,
+    order_col: str,
+    partition_cols: Sequence[str] = (),
+    descending: bool = True,
+    tiebreak: str | None = None,
+    out_col: str = "rank",
+    **kw,
+) -> DataFrame:
+    """``rank() over ([partition by p] order by order_col [desc])`` with gaps
+    after ties (1, 1, 3), NULLs last, as bigint, without a single-task window:
+    rank = (first position of the row's tie group) - (group start) + 1, both
+    read from the distributed global index by grouped minima."""
+    key = "__ml_rk"
+    kcol = F.col(order_col) * F.lit(-1) if descending else F.col(order_col)
+    base = df.withColumn(key, kcol)
+    order = [key] + ([tiebreak] if tiebreak else [])
+    indexed, _ = global_index(base, order, partition_cols, **kw)
+    ties = indexed.groupBy(*partition_cols, key).agg(F.min(_IDX).alias("__ml_tie"))
+    j = _join_back(indexed, ties, [*partition_cols, key])
+    if partition_cols:
+        gs = indexed.groupBy(*partition_cols).agg(F.min(_IDX).alias("__ml_gs"))
+        j = _join_back(j, gs, partition_cols)
+        start = F.col("__ml_gs")
+    else:
+        start = F.lit(0)
+    return j.withColumn(out_col, (F.col("__ml_tie") - start + 1).cast("long")) \
+        .drop(_IDX, key, "__ml_tie", "__ml_gs")
+
+
+__all__ = ["dist_ntile", "dist_rank", "global_index", "tile_of", "grouped_quantiles"]
