@@ -1 +1,184 @@
-"""Registered source and sink round trips."""
+"""Registered source and sink round trips (SRC1-SRC9, SNK1-SNK10, FLT9) and
+the pipeline (PIP1). Each writes whole tables under the shared folder named
+by ``spark.checkpoint.dir`` and returns a DataFrame read back from it; the
+oracle is the plain query on the input tables."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from merchlens.operators import staging
+from merchlens.plans import entities as E
+from merchlens.plans import pipeline as PL
+from merchlens.plans.catalog import query
+from merchlens.plans.oracle import with_ctes
+from merchlens.plans.q_reports import REPORT_CUISINE, REPORT_STATE
+from merchlens.session import scratch_path
+from merchlens.sources import adapters, readers, sinks
+
+_RAW_B = ("business_id, name, address, city, state, postal_code, latitude, longitude, stars, "
+          "review_count, is_open, categories")
+
+
+@query("src1_json_scan_with_schema", with_ctes(f"select {_RAW_B} from raw_businesses", "raw_businesses"))
+def src1(spark, d):
+    raw = adapters.raw_businesses(E.prepare(spark), d)
+    path = scratch_path(spark, "src1-json")
+    sinks.write_table(raw, path, fmt="json")
+    return readers.read_json(spark, path, raw.schema)
+
+
+@query("src2_ingest_businesses", with_ctes(f"select {_RAW_B} from raw_businesses", "raw_businesses"))
+def src2(spark, d):
+    """JSON documents -> lineage -> state-partitioned bronze -> read back."""
+    raw = adapters.raw_businesses(E.prepare(spark), d)
+    src = scratch_path(spark, "src2-json")
+    sinks.write_table(raw, src, fmt="json")
+    bronze = readers.bronze_businesses(readers.read_json(spark, src, raw.schema), "business.json")
+    dest = scratch_path(spark, "src2-bronze")
+    sinks.write_layout(bronze, dest, "state", [], tiebreak=["business_id"])
+    back = sinks.read_back(spark, dest, bronze.schema)
+    return back.select(*[c.strip() for c in _RAW_B.split(",")])
+
+
+@query("src3_ingest_reviews", """
+    select o_orderkey as review_id, o_custkey as user_id, o_custkey as business_id,
+           cast(6 - cast(substr(o_orderpriority, 1, 1) as integer) as double) as stars,
+           cast(o_orderdate as date) as review_date, cast(year(o_orderdate) as integer) as review_year
+    from orders""")
+def src3(spark, d):
+    """Review documents with a text date -> parsed date -> year-partitioned bronze."""
+    raw = adapters.raw_reviews(E.prepare(spark), d)
+    src = scratch_path(spark, "src3-json")
+    sinks.write_table(raw, src, fmt="json")
+    bronze = readers.bronze_reviews(readers.read_json(spark, src, raw.schema), "review.json")
+    dest = scratch_path(spark, "src3-bronze")
+    sinks.write_layout(bronze, dest, "review_year", [], tiebreak=["review_id"])
+    back = sinks.read_back(spark, dest, bronze.schema)
+    return back.select("review_id", "user_id", "business_id", "stars", "review_date", "review_year")
+
+
+@query("src4_explode_checkins", with_ctes("select * from stg_checkins", "stg_checkins"))
+def src4(spark, d):
+    """Comma-separated stamp lists -> split, explode, parse -> daily counts."""
+    raw = adapters.raw_checkin_lists(E.prepare(spark), d)
+    src = scratch_path(spark, "src4-json")
+    sinks.write_table(raw, src, fmt="json")
+    docs = readers.read_json(spark, src, raw.schema)
+    dest = scratch_path(spark, "src4-bronze")
+    sinks.write_table(readers.bronze_checkins(docs), dest)
+    return staging.stage_checkins(sinks.read_back(spark, dest))
+
+
+@query("src5_parquet_orders", with_ctes("select * from raw_orders", "raw_orders"))
+def src5(spark, d):
+    raw = adapters.raw_orders(E.prepare(spark), d)
+    path = scratch_path(spark, "src5-orders")
+    sinks.write_table(raw, path)
+    return sinks.read_back(spark, path)
+
+
+@query("src6_catalog_view_scan", with_ctes("select * from stg_businesses", "stg_businesses"))
+def src6(spark, d):
+    name = f"stg_businesses_{uuid.uuid4().hex[:12]}"
+    sinks.register_view(E.businesses(spark, d), name)
+    return sinks.read_view(spark, name)
+
+
+@query("src7_seed_csv_scan", with_ctes(
+    "select review_id, user_id, business_id, review_stars, review_date, sentiment_bucket from stg_reviews_all",
+    "stg_reviews_all"))
+def src7(spark, d):
+    rev = E.reviews_all(spark, d).select("review_id", "user_id", "business_id", "review_stars",
+                                         "review_date", "sentiment_bucket")
+    path = scratch_path(spark, "src7-csv")
+    sinks.export_csv(rev, path)
+    return spark.read.schema(rev.schema).option("header", True).csv(path)
+
+
+@query("src9_csv_null_tokens", with_ctes("select * from merchant_performance", "merchant_performance"))
+def src9(spark, d):
+    """Mart extract whose NULLs are written as 'None' and 'NULL' tokens (two
+    parts) and read back with the multi-token contract reader."""
+    perf = E.performance(spark, d)
+    path = scratch_path(spark, "src9-csv")
+    no_reviews = F.col("total_reviews") == 0
+    sinks.export_csv(perf.filter(no_reviews), f"{path}/a", null_value="None")
+    sinks.export_csv(perf.filter(~no_reviews), f"{path}/b", null_value="NULL")
+    return readers.read_csv_with_null_tokens(spark, [f"{path}/a", f"{path}/b"], perf.schema)
+
+
+@query("flt9_state_partition_pruning", with_ctes(
+    f"select * from stg_businesses where state = '{REPORT_STATE}'", "stg_businesses"))
+def flt9(spark, d):
+    """SNK2 + FLT9: state-partitioned layout; the state filter prunes folders."""
+    b = E.businesses(spark, d)
+    path = scratch_path(spark, "flt9-layout")
+    sinks.write_layout(b, path, "state", ["primary_cuisine"], tiebreak=["business_id"])
+    return sinks.read_back(spark, path, b.schema).filter(F.col("state") == REPORT_STATE)
+
+
+@query("snk3_partition_by_derived_year", with_ctes(
+    "select * from stg_reviews_all where review_year = 1998", "stg_reviews_all"))
+def snk3(spark, d):
+    rev = E.reviews_all(spark, d).drop("review_year")
+    path = scratch_path(spark, "snk3")
+    sinks.write_partitioned_by_derived(rev, path, "review_year", F.year("review_date"))
+    schema = T.StructType(rev.schema.fields + [T.StructField("review_year", T.IntegerType())])
+    back = sinks.read_back(spark, path, schema)
+    return back.filter(F.col("review_year") == 1998)
+
+
+@query("snk7_csv_export", with_ctes("select * from cuisine_market_share", "cuisine_market_share"))
+def snk7(spark, d):
+    from merchlens.sources.schemas import MART_MARKET_SHARE
+
+    share = E.market_share(spark, d)
+    path = scratch_path(spark, "snk7-csv")
+    sinks.export_csv(share, path)
+    return readers.read_mart_csv(spark, path, MART_MARKET_SHARE)
+
+
+@query("snk10_partition_cluster_layout", with_ctes(
+    f"select business_id, business_name, composite_score, reviews_per_month from merchant_performance "
+    f"where state = '{REPORT_STATE}' and primary_cuisine = '{REPORT_CUISINE}'", "merchant_performance"))
+def snk10(spark, d):
+    perf = E.performance(spark, d)
+    path = scratch_path(spark, "snk10-layout")
+    sinks.write_layout(perf, path, "state", ["primary_cuisine"], tiebreak=["business_id"])
+    back = sinks.read_back(spark, path, perf.schema)
+    return back.filter((F.col("state") == REPORT_STATE) & (F.col("primary_cuisine") == REPORT_CUISINE)) \
+        .select("business_id", "business_name", "composite_score", "reviews_per_month")
+
+
+@query("pip1_pipeline_manifest", with_ctes(
+    "\nunion all\n".join([
+        "select 'merchant_performance' as table_name, count(*) as row_count, 22::bigint as column_count "
+        "from merchant_performance",
+        "select 'cuisine_market_share', count(*), 13::bigint from cuisine_market_share",
+        "select 'reviewer_cohort_retention', count(*), 6::bigint from cohort_retention",
+        "select 'delivery_operations', count(*), 20::bigint from delivery_operations"]),
+    "merchant_performance", "cuisine_market_share", "cohort_retention", "delivery_operations"))
+def pip1(spark, d):
+    """Whole run over the test tables (bronze, silver, gate, gold, mart
+    tests, CSV export); the result is the export manifest."""
+    out = PL.run_pipeline(E.prepare(spark), PL.raw_inputs_from_tables(spark, d), cfg=PL.testdata_config())
+    return out["manifest"]
+
+
+@query("snk8_export_manifest", with_ctes(
+    "\nunion all\n".join([
+        "select 'stg_businesses' as table_name, count(*) as row_count, 13::bigint as column_count "
+        "from stg_businesses",
+        "select 'stg_orders', count(*), 17::bigint from stg_orders"]),
+    "stg_businesses", "stg_orders"))
+def snk8(spark, d):
+    exported = []
+    for name, df in (("stg_businesses", E.businesses(spark, d)), ("stg_orders", E.orders(spark, d))):
+        n = sinks.export_csv(df, scratch_path(spark, f"snk8-{name}"))
+        exported.append((name, n, len(df.columns)))
+    return sinks.export_manifest(spark, exported)
+

@@ -64,7 +64,7 @@ def bronze_checkins(raw: DataFrame, source_file: str = "checkin.json",
 
 def read_csv_with_null_tokens(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     null_tokens: Sequence[str] = rules.CSV_NULL_TOKENS,
 ) -> DataFrame:
