@@ -95,16 +95,14 @@ def merchant_activity(businesses: DataFrame, reviews: DataFrame, checkins: DataF
 SCORE_DIGITS = 10  # tiers order by the score rounded here, so float noise cannot move a boundary
 
 
-def composite_scores(activity: DataFrame) -> DataFrame:
+def composite_scores(activity: DataFrame, stats=None) -> DataFrame:
     """Adds ``composite_score`` (unrounded): 0.40 * stars / 5 + 0.35 *
     velocity / max velocity + 0.25 * check-ins / max check-ins, NULL when a
     maximum is 0. The two maxima are one tiny global aggregate read back as
-    literals, so no row moves to a single task."""
-    mx = activity.agg(
-        F.max("reviews_per_month").alias("mv"), F.max("total_checkins").alias("mc")
-    ).first()
-    mv = mx["mv"] if mx is not None else None
-    mc = mx["mc"] if mx is not None else None
+    literals (partial maxima per task, one row to the driver), so no row
+    moves to a single task."""
+    mx = stats if stats is not None else activity_stats(activity)
+    mv, mc = mx["mv"], mx["mc"]
 
     def norm(col: str, m):
         if m is None or m == 0:
@@ -119,20 +117,32 @@ def composite_scores(activity: DataFrame) -> DataFrame:
     return activity.withColumn("composite_score", score)
 
 
+def activity_stats(activity: DataFrame) -> dict:
+    """Row count and the two normalizer maxima in one global aggregate."""
+    r = activity.agg(
+        F.max("reviews_per_month").alias("mv"), F.max("total_checkins").alias("mc"),
+        F.count(F.lit(1)).alias("n"),
+    ).first()
+    return {"mv": r["mv"], "mc": r["mc"], "n": int(r["n"])}
+
+
 def merchant_performance(activity: DataFrame, materialize: bool = True) -> DataFrame:
     """MOD7: composite score, national and in-state quintiles (1 = bottom,
     5 = top; tiers use the unrounded score, NULL scores last, ties split by
-    business_id), tier label and flags; the output score is rounded to 4."""
-    scored = composite_scores(activity).withColumn(
+    business_id), tier label and flags; the output score is rounded to 4.
+
+    The activity table is checkpointed once (shared checkpoint folder): the
+    statistics job, the tier index jobs and the final pass all read it."""
+    if materialize:
+        activity = activity.checkpoint(eager=True)
+    stats = activity_stats(activity)
+    scored = composite_scores(activity, stats).withColumn(
         "__score_key", round_dp(F.col("composite_score"), SCORE_DIGITS)
     )
-    if materialize:
-        # several small jobs read this frame (sample, bucket counts, final)
-        scored = scored.checkpoint(eager=True)
     tiered = dist_ntile(scored, rules.N_TIERS, ["__score_key", "business_id"],
-                        out_col="performance_tier")
+                        out_col="performance_tier", n_rows=stats["n"])
     tiered = dist_ntile(tiered, rules.N_TIERS, ["__score_key", "business_id"], ["state"],
-                        out_col="state_performance_tier")
+                        out_col="state_performance_tier", n_rows=stats["n"])
     return tiered.select(
         "business_id", "business_name", "city", "state", "primary_cuisine",
         "latitude", "longitude", "is_open",

@@ -79,6 +79,8 @@ def global_index(
     seed: int = 17,
     idx_col: str = _IDX,
     weight_col: str | None = None,
+    n_rows: int | None = None,
+    materialize: bool = True,
 ) -> tuple[DataFrame, int]:
     """Add the 0-based position of each row in the total order
     (partition_cols, order_cols), NULLs last in every column. Returns the
@@ -87,19 +89,26 @@ def global_index(
 
     With ``weight_col`` each row stands for that many rows (a histogram
     entry): the position is where its run starts, and the returned total is
-    the sum of weights."""
-    spark = df.sparkSession
+    the sum of weights.
+
+    ``n_rows`` (when the caller already knows it, unweighted only) skips the
+    count job. With more than one bucket the keyed input is checkpointed to
+    the shared checkpoint folder first (``materialize``), so the sample,
+    per-bucket counts and final pass read it instead of recomputing it."""
     keys = _key_columns(order_cols, partition_cols)
     names = [n for n, _ in keys]
     keyed = df.withColumns(dict(keys))
     if weight_col is None:
-        n_rows = keyed.count()
+        if n_rows is None:
+            n_rows = keyed.count()
         n_keys = n_rows
     else:
         tot = keyed.agg(F.count(F.lit(1)).alias("k"), F.sum(weight_col).alias("w")).first()
         n_keys, n_rows = tot["k"], int(tot["w"] or 0)
     n_buckets = int(min(max_buckets, max(1, math.ceil(n_keys / max(1, rows_per_bucket)))))
     key_struct = F.struct(*[F.col(n) for n in names])
+    if n_buckets > 1 and materialize:
+        keyed = keyed.checkpoint(eager=True)
     if n_buckets > 1:
         frac = min(1.0, oversample * n_buckets / n_keys)
         sample = sorted(
@@ -189,8 +198,10 @@ def grouped_quantiles(
     gathered into one task."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     v = F.col(value_col).cast("double")
-    hist = (df.filter(F.col(value_col).isNotNull())
-            .groupBy(*group_cols, v.alias("__v")).agg(F.count(F.lit(1)).alias("__w")))
+    # count(v) is 0 for the NULL bucket: a group whose values are all NULL
+    # keeps a zero-weight row (so it gets NULL quantiles) without moving any
+    # position, since NULLs sort last.
+    hist = df.groupBy(*group_cols, v.alias("__v")).agg(F.count(v).alias("__w"))
     idx, total = global_index(hist, ["__v"], group_cols, weight_col="__w", **kw)
     if group_cols:
         gs = idx.groupBy(*group_cols).agg(F.min(_IDX).alias("__gs"), F.sum("__w").alias("__n"))
@@ -208,13 +219,6 @@ def grouped_quantiles(
         aggs += [F.max(f"__lo_{name}").alias(f"__lo_{name}"), F.max(f"__hi_{name}").alias(f"__hi_{name}"),
                  F.max(f"__f_{name}").alias(f"__f_{name}")]
     out = j.groupBy(*group_cols).agg(*aggs) if group_cols else j.agg(*aggs)
-    if group_cols:
-        # groups whose values are all NULL still get a row (NULL quantiles)
-        groups = df.select(*group_cols).distinct()
-        ren = out.select(*[F.col(c).alias(f"__ml_j{i}") for i, c in enumerate(group_cols)],
-                         *[c for c in out.columns if c not in group_cols])
-        cond = [groups[c].eqNullSafe(ren[f"__ml_j{i}"]) for i, c in enumerate(group_cols)]
-        out = groups.join(ren, cond, "left").drop(*[f"__ml_j{i}" for i in range(len(group_cols))])
     return out.select(*group_cols, *[
         (F.col(f"__lo_{m}") + (F.col(f"__hi_{m}") - F.col(f"__lo_{m}")) * F.col(f"__f_{m}")).alias(m)
         for m in names])

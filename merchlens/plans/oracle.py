@@ -118,7 +118,8 @@ cte("stg_checkins", """
     group by 1, 2, 3, 4, 5, 6""", ["checkin_events"])
 
 cte("raw_orders", """
-    select concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) as order_id,
+    select concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+                     cast(round(l.l_extendedprice * 100) as bigint)) as order_id,
            o.o_custkey as business_id,
            'DASHER_' || lpad(cast(l.l_suppkey as varchar), 5, '0') as dasher_id,
            o.o_orderdate as order_timestamp,

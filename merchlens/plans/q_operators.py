@@ -18,7 +18,7 @@ from merchlens.plans.catalog import query
 from merchlens.plans.oracle import sql_keyword_any, sql_taxonomy, with_ctes
 from merchlens.sources import adapters
 
-ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(round(l_extendedprice * 100) as bigint))"
 
 
 def _t(spark, d, name):
@@ -26,7 +26,7 @@ def _t(spark, d, name):
 
 
 def _oid():
-    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_id")
+    return adapters.order_key().alias("order_id")
 
 
 # ------------------------------------------------------------------ filters
@@ -483,14 +483,15 @@ def fn_parse_timestamp(spark, d):
 @query("fn_cast", f"""
     select {ID} as order_id, cast(l_quantity as integer) as qty_int,
            cast(l_extendedprice as decimal(12,2)) as price_dec, cast(l_linestatus = 'O' as boolean) as is_open,
-           try_cast(l_returnflag as integer) as flag_int, cast(cast(l_linenumber as varchar) as double) as ln_double
+           try_cast(case when l_linenumber = 7 then 'n/a' else cast(l_linenumber as varchar) end as integer) as ln_int, cast(cast(l_linenumber as varchar) as double) as ln_double
     from lineitem""")
 def fn_cast(spark, d):
     li = _t(spark, d, "lineitem")
     return li.select(_oid(), F.col("l_quantity").cast("int").alias("qty_int"),
                      F.col("l_extendedprice").cast("decimal(12,2)").alias("price_dec"),
                      (F.col("l_linestatus") == "O").cast("boolean").alias("is_open"),
-                     F.col("l_returnflag").try_cast("int").alias("flag_int"),
+                     F.when(F.col("l_linenumber") == 7, F.lit("n/a"))
+                     .otherwise(F.col("l_linenumber").cast("string")).try_cast("int").alias("ln_int"),
                      F.col("l_linenumber").cast("string").cast("double").alias("ln_double"))
 
 

@@ -211,7 +211,8 @@ def ord2(spark, d):
 
 
 @query("ord3_actual_minutes", """
-    select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as order_id,
+    select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                     cast(round(l_extendedprice * 100) as bigint)) as order_id,
            case when l_returnflag <> 'R' then greatest(10, 35 + (cast(l_quantity as integer) - 35) - 20) end
                as actual_delivery_min
     from lineitem""")
@@ -219,31 +220,33 @@ def ord3(spark, d):
     li = adapters.table(E.prepare(spark), d, "lineitem")
     status = F.when(F.col("l_returnflag") == "R", "cancelled").otherwise("delivered")
     return li.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_id"),
+        adapters.order_key().alias("order_id"),
         O.actual_minutes(F.lit(35), F.col("l_quantity").cast("int") - 35 - 20, status)
         .alias("actual_delivery_min"))
 
 
 @query("ord4_on_time", """
-    select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as order_id,
+    select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                     cast(round(l_extendedprice * 100) as bigint)) as order_id,
            case when l_returnflag <> 'R' then (cast(l_quantity as integer) - 35) <= 5 end as is_on_time
     from lineitem""")
 def ord4(spark, d):
     li = adapters.table(E.prepare(spark), d, "lineitem")
     status = F.when(F.col("l_returnflag") == "R", "cancelled").otherwise("delivered")
     return li.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_id"),
+        adapters.order_key().alias("order_id"),
         O.on_time(F.col("l_quantity").cast("int") - 35, status).alias("is_on_time"))
 
 
 @query("ord5_clip_money", """
-    select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as order_id,
+    select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                     cast(round(l_extendedprice * 100) as bigint)) as order_id,
            round(least(greatest(l_extendedprice / 1000.0, 8.0), 120.0), 2) as order_total_usd
     from lineitem""")
 def ord5(spark, d):
     li = adapters.table(E.prepare(spark), d, "lineitem")
     return li.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_id"),
+        adapters.order_key().alias("order_id"),
         O.clip_money(F.col("l_extendedprice") / F.lit(1000.0)).alias("order_total_usd"))
 
 

@@ -94,6 +94,13 @@ def raw_checkin_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("__h")
 
 
+def order_key():
+    """Line-item key: (order, line, part, supplier) plus the price in cents,
+    which together are unique in the test tables at every scale."""
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                       F.round(F.col("l_extendedprice") * 100).cast("long"))
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order events: one per line item, cancelled when the return flag is R.
 
@@ -102,7 +109,14 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     to 8..120 USD; fee = tax x 100 USD. Integer cents keep both engines exact.
     """
     li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # order-level fields are derived once per order, before the join fans
+    # each order out to its line items
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate",
+        F.col("o_orderdate").cast("date").alias("__odate"),
+        F.hour("o_orderdate").alias("__ohour"),
+        weekday_name("o_orderdate").alias("__odow"),
+    )
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     cancelled = F.col("l_returnflag") == "R"
     status = F.when(cancelled, F.lit("cancelled")).otherwise(F.lit("delivered"))
@@ -113,13 +127,13 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit(12000))
     fee_cents = F.round(F.col("l_tax") * 10000).cast("long")
     return j.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("order_id"),
+        order_key().alias("order_id"),
         F.col("o_custkey").alias("business_id"),
         F.concat(F.lit("DASHER_"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("dasher_id"),
         F.col("o_orderdate").alias("order_timestamp"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.hour("o_orderdate").alias("order_hour"),
-        weekday_name("o_orderdate").alias("order_day_of_week"),
+        F.col("__odate").alias("order_date"),
+        F.col("__ohour").alias("order_hour"),
+        F.col("__odow").alias("order_day_of_week"),
         est.alias("estimated_delivery_min"),
         actual_minutes(est, delta, status).alias("actual_delivery_min"),
         F.when(~cancelled, delta).alias("delivery_delta_min"),
