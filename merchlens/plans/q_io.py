@@ -182,3 +182,20 @@ def snk8(spark, d):
         exported.append((name, n, len(df.columns)))
     return sinks.export_manifest(spark, exported)
 
+
+
+@query("src2_stream_ingest_businesses", with_ctes(f"select {_RAW_B} from raw_businesses", "raw_businesses"))
+def src2_stream(spark, d):
+    """SRC2 as an incremental file stream: two batches of documents land one
+    after the other; each run ingests only the new files."""
+    from merchlens.streaming.ingest import ingest_businesses_stream
+
+    raw = adapters.raw_businesses(E.prepare(spark), d)
+    land, dest, ckpt = (scratch_path(spark, n) for n in ("stream-land", "stream-bronze", "stream-ckpt"))
+    first = F.col("is_open") == 1
+    sinks.write_table(raw.filter(first), f"{land}/batch=1", fmt="json")
+    ingest_businesses_stream(spark, f"{land}/*", dest, ckpt, schema=raw.schema)
+    sinks.write_table(raw.filter(~first), f"{land}/batch=2", fmt="json")
+    ingest_businesses_stream(spark, f"{land}/*", dest, ckpt, schema=raw.schema)
+    back = spark.read.parquet(dest)
+    return back.select(*[F.col(c.strip()).cast(raw.schema[c.strip()].dataType) for c in _RAW_B.split(",")])
