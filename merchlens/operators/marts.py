@@ -198,15 +198,17 @@ def cuisine_market_share(perf: DataFrame) -> DataFrame:
 
 def user_month_offsets(reviews: DataFrame) -> DataFrame:
     """Distinct (user, activity month) with the user's first month and the
-    months since it. The first month comes from a window over the user's
-    distinct months (bounded by the calendar), not a self-join."""
-    months = (
-        reviews.filter(F.col("user_id").isNotNull())
-        .select("user_id", F.col("review_month").alias("activity_month"))
-        .distinct()
+    months since it, in ONE shuffle: each user's set of review months is
+    combined map-side and shuffled by user. The set is bounded by the
+    calendar (one entry per month), however many reviews a user writes."""
+    per_user = (
+        reviews.filter(F.col("user_id").isNotNull() & F.col("review_month").isNotNull())
+        .groupBy("user_id").agg(F.collect_set("review_month").alias("__months"))
     )
-    return months.withColumn(
-        "cohort_month", F.min("activity_month").over(Window.partitionBy("user_id"))
+    return per_user.select(
+        "user_id",
+        F.explode("__months").alias("activity_month"),
+        F.array_min("__months").alias("cohort_month"),
     ).withColumn("months_since_cohort", months_diff("cohort_month", "activity_month").cast("long"))
 
 
@@ -215,10 +217,9 @@ def cohort_retention(reviews: DataFrame, max_months: int = rules.RETENTION_MAX_M
     month offset (0..max_months) the distinct users still reviewing and their
     share of the cohort.
 
-    Plan: distinct (user, month) pairs (partial aggregation before the
-    shuffle) -> first month per user by a window over that user's distinct
-    months (bounded by the calendar, even for a very active user) ->
-    count per (cohort, offset) with map-side combine. The cohort size is the
+    Plan: each user's set of months (map-side combined, one shuffle by
+    user, bounded by the calendar) -> exploded (user, month, first month)
+    -> count per (cohort, offset) with map-side combine. The cohort size is the
     offset-0 count (every user is active in their own cohort month), taken
     by a window over the small aggregate: no self-join, no count distinct."""
     with_cohort = user_month_offsets(reviews)

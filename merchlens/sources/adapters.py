@@ -69,6 +69,8 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("long").alias("cool"),
         F.col("o_orderstatus").alias("text"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date"),
+        # already parsed: staging reads it instead of re-parsing the text
+        F.col("o_orderdate").cast("date").alias("review_date"),
     )
 
 
