@@ -61,7 +61,7 @@ def order_qa(orders: DataFrame) -> DataFrame:
         F.max("order_date").alias("max_order_date"),
         F.countDistinct("business_id").alias("unique_merchants"),
         F.avg(F.when(F.col("order_status") == "cancelled", 1.0).otherwise(0.0)).alias("cancel_share"),
-        exact_mean(F.col("order_total_usd").cast("double"), 2).alias("avg_order_total"),
+        round_dp(exact_mean(F.col("order_total_usd").cast("double"), 2), 2).alias("avg_order_total"),
         F.avg(F.when(delivered, F.col("is_on_time").cast("double"))).alias("on_time_share"),
         F.avg(F.when(delivered, F.col("actual_delivery_min").cast("double"))).alias("avg_delivery_min"),
     )

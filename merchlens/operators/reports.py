@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlens.functions import rules
-from merchlens.functions.columns import bin_floor, exact_mean, tier_rank, weekday_rank
+from merchlens.functions.columns import bin_floor, exact_mean, round_dp, tier_rank, weekday_rank
 from merchlens.operators.ntile import grouped_quantiles
 
+# chart data precision (rates and scores, money and stars, quantiles)
+RATE_DP, MONEY_DP, QUANTILE_DP = 4, 2, 6
+
 
 # ------------------------------------------------------------- top groups
 
@@ -50,8 +53,10 @@ def tier_distribution(perf: DataFrame) -> DataFrame:
 def score_box_by_cuisine(perf: DataFrame) -> DataFrame:
     """BI2: five-number summary of the composite score per cuisine, by median
     descending (exact quantiles, distributed)."""
+    names = ["score_min", "score_q1", "score_median", "score_q3", "score_max"]
     q = grouped_quantiles(perf, "composite_score", [0.0, 0.25, 0.5, 0.75, 1.0], ["primary_cuisine"],
-                          names=["score_min", "score_q1", "score_median", "score_q3", "score_max"])
+                          names=names)
+    q = q.select("primary_cuisine", *[round_dp(n, QUANTILE_DP).alias(n) for n in names])
     return q.orderBy(F.col("score_median").desc_nulls_last(), "primary_cuisine")
 
 
@@ -74,8 +79,8 @@ def velocity_quadrants(perf: DataFrame) -> DataFrame:
             .when(hx & ~hy, "Fading").otherwise("Struggling"))
     return perf.select(
         "business_id", "reviews_per_month", "avg_review_stars", "performance_tier", "total_checkins",
-        F.lit(mx).cast("double").alias("median_reviews_per_month"),
-        F.lit(my).cast("double").alias("median_avg_review_stars"),
+        round_dp(F.lit(mx).cast("double"), QUANTILE_DP).alias("median_reviews_per_month"),
+        round_dp(F.lit(my).cast("double"), QUANTILE_DP).alias("median_avg_review_stars"),
         quad.alias("quadrant"))
 
 
@@ -98,8 +103,8 @@ def cuisine_volume_quality(share: DataFrame) -> DataFrame:
     """BI6: merchants, mean score and mean stars per cuisine, by volume."""
     return share.groupBy("primary_cuisine").agg(
         F.sum("merchant_count").cast("long").alias("merchant_count"),
-        exact_mean("avg_composite_score").alias("avg_composite_score"),
-        exact_mean("avg_stars").alias("avg_stars"),
+        round_dp(exact_mean("avg_composite_score"), RATE_DP).alias("avg_composite_score"),
+        round_dp(exact_mean("avg_stars"), MONEY_DP).alias("avg_stars"),
     ).orderBy(F.col("merchant_count").desc(), "primary_cuisine")
 
 
@@ -115,7 +120,7 @@ def elite_by_cuisine(share: DataFrame) -> DataFrame:
     """BI8: merchants and mean elite share per cuisine."""
     return share.groupBy("primary_cuisine").agg(
         F.sum("merchant_count").cast("long").alias("merchant_count"),
-        exact_mean("elite_merchant_share").alias("elite_merchant_share"),
+        round_dp(exact_mean("elite_merchant_share"), RATE_DP).alias("elite_merchant_share"),
     )
 
 
@@ -124,7 +129,8 @@ def elite_by_cuisine(share: DataFrame) -> DataFrame:
 def fulfillment_by_tier(ops: DataFrame) -> DataFrame:
     """BI9: mean fulfillment rate per tier (unweighted over rows) with the
     color band (< 90 % low, >= 96 % high) and the 95 % target."""
-    g = ops.groupBy("tier_label").agg(exact_mean("fulfillment_rate").alias("avg_fulfillment_rate"))
+    g = ops.groupBy("tier_label").agg(
+        round_dp(exact_mean("fulfillment_rate"), RATE_DP).alias("avg_fulfillment_rate"))
     r = F.col("avg_fulfillment_rate")
     return g.select(
         "tier_label", "avg_fulfillment_rate",
@@ -136,15 +142,17 @@ def fulfillment_by_tier(ops: DataFrame) -> DataFrame:
 
 def on_time_by_weekday(ops: DataFrame) -> DataFrame:
     """BI10: mean on-time rate per weekday, Monday first."""
-    g = ops.groupBy("order_day_of_week").agg(exact_mean("on_time_rate").alias("avg_on_time_rate"))
+    g = ops.groupBy("order_day_of_week").agg(
+        round_dp(exact_mean("on_time_rate"), RATE_DP).alias("avg_on_time_rate"))
     return order_by_rank(g, weekday_rank(F.col("order_day_of_week")))
 
 
 def gmv_by_cuisine(ops: DataFrame) -> DataFrame:
     """BI11: total GMV (exact cents) and mean order value per cuisine."""
     return ops.groupBy("primary_cuisine").agg(
-        F.sum(F.col("total_gmv_usd").cast("decimal(38,2)")).cast("double").alias("total_gmv_usd"),
-        exact_mean("avg_order_value_usd").alias("avg_order_value_usd"),
+        round_dp(F.sum(F.col("total_gmv_usd").cast("decimal(38,2)")).cast("double"), MONEY_DP)
+        .alias("total_gmv_usd"),
+        round_dp(exact_mean("avg_order_value_usd"), MONEY_DP).alias("avg_order_value_usd"),
     )
 
 
@@ -160,7 +168,7 @@ def monthly_gmv_top_cuisines(ops: DataFrame, n: int = 5) -> DataFrame:
     money = F.col("total_gmv_usd").cast("decimal(38,2)")
     top = top_groups(ops, "primary_cuisine", F.sum(money), n)
     return top.groupBy("order_month", "primary_cuisine").agg(
-        F.sum(money).cast("double").alias("total_gmv_usd"))
+        round_dp(F.sum(money).cast("double"), MONEY_DP).alias("total_gmv_usd"))
 
 
 # --------------------------------------------- documented ad-hoc queries
@@ -203,5 +211,5 @@ def state_cuisine_drill(perf: DataFrame, state: str) -> DataFrame:
     """AGG15: merchants and mean score per cuisine in one state, by count."""
     return perf.filter(F.col("state") == state).groupBy("state", "primary_cuisine").agg(
         F.count(F.lit(1)).alias("merchant_count"),
-        exact_mean("composite_score").alias("avg_composite_score"),
+        round_dp(exact_mean("composite_score"), RATE_DP).alias("avg_composite_score"),
     ).orderBy(F.col("merchant_count").desc(), "primary_cuisine")

@@ -344,11 +344,11 @@ def agg8(spark, d):
 
 
 @query("agg9_percentile_cont", with_ctes(
-    "select business_id, percentile_cont(0.9) within group (order by cast(actual_delivery_min as double)) "
+    "select business_id, round(percentile_cont(0.9) within group (order by cast(actual_delivery_min as double)), 4) "
     "as p90_min from stg_orders group by 1", "stg_orders"))
 def agg9(spark, d):
     return E.orders(spark, d).groupBy("business_id").agg(
-        F.percentile(F.col("actual_delivery_min").cast("double"), F.lit(0.9)).alias("p90_min"))
+        C.round_dp(F.percentile(F.col("actual_delivery_min").cast("double"), F.lit(0.9)), 4).alias("p90_min"))
 
 
 @query("agg10_arg_max", with_ctes(
@@ -388,12 +388,13 @@ def agg14(spark, d):
 
 
 @query("agg16_median_quartiles", with_ctes(
-    "select order_month, quantile_cont(cast(order_total_usd as double), 0.25) as q1, "
-    "quantile_cont(cast(order_total_usd as double), 0.5) as median, "
-    "quantile_cont(cast(order_total_usd as double), 0.75) as q3 from stg_orders group by 1", "stg_orders"))
+    "select order_month, round(quantile_cont(cast(order_total_usd as double), 0.25), 4) as q1, "
+    "round(quantile_cont(cast(order_total_usd as double), 0.5), 4) as median, "
+    "round(quantile_cont(cast(order_total_usd as double), 0.75), 4) as q3 from stg_orders group by 1", "stg_orders"))
 def agg16(spark, d):
-    return grouped_quantiles(E.orders(spark, d), "order_total_usd", [0.25, 0.5, 0.75], ["order_month"],
-                             names=["q1", "median", "q3"])
+    q = grouped_quantiles(E.orders(spark, d), "order_total_usd", [0.25, 0.5, 0.75], ["order_month"],
+                          names=["q1", "median", "q3"])
+    return q.select("order_month", *[C.round_dp(n, 4).alias(n) for n in ("q1", "median", "q3")])
 
 
 # ------------------------------------------------------------------ windows

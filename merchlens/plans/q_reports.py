@@ -28,9 +28,11 @@ def bi1(spark, d):
 
 
 @query("bi2_score_box_by_cuisine", with_ctes(
-    f"select primary_cuisine, quantile_cont(composite_score, 0.0) as score_min, "
-    f"quantile_cont(composite_score, 0.25) as score_q1, quantile_cont(composite_score, 0.5) as score_median, "
-    f"quantile_cont(composite_score, 0.75) as score_q3, quantile_cont(composite_score, 1.0) as score_max "
+    f"select primary_cuisine, round(quantile_cont(composite_score, 0.0), 6) as score_min, "
+    f"round(quantile_cont(composite_score, 0.25), 6) as score_q1, "
+    f"round(quantile_cont(composite_score, 0.5), 6) as score_median, "
+    f"round(quantile_cont(composite_score, 0.75), 6) as score_q3, "
+    f"round(quantile_cont(composite_score, 1.0), 6) as score_max "
     f"from {P} group by 1", P))
 def bi2(spark, d):
     return R.score_box_by_cuisine(E.performance(spark, d))
@@ -45,7 +47,7 @@ def bi3(spark, d):
 
 @query("bi4_velocity_quadrants", with_ctes(
     f"""select p.business_id, p.reviews_per_month, p.avg_review_stars, p.performance_tier, p.total_checkins,
-           m.mx as median_reviews_per_month, m.my as median_avg_review_stars,
+           round(m.mx, 6) as median_reviews_per_month, round(m.my, 6) as median_avg_review_stars,
            case when p.reviews_per_month < m.mx and p.avg_review_stars >= m.my then 'Rising Stars'
                 when p.reviews_per_month >= m.mx and p.avg_review_stars >= m.my then 'Champions'
                 when p.reviews_per_month >= m.mx and p.avg_review_stars < m.my then 'Fading'
@@ -66,7 +68,7 @@ def bi5(spark, d):
 
 @query("bi6_cuisine_volume_quality", with_ctes(
     f"select primary_cuisine, cast(sum(merchant_count) as bigint) as merchant_count, "
-    f"{mean('avg_composite_score')} as avg_composite_score, {mean('avg_stars')} as avg_stars "
+    f"round({mean('avg_composite_score')}, 4) as avg_composite_score, round({mean('avg_stars')}, 2) as avg_stars "
     f"from {S} group by 1", S))
 def bi6(spark, d):
     return R.cuisine_volume_quality(E.market_share(spark, d))
@@ -82,7 +84,7 @@ def bi7(spark, d):
 
 @query("bi8_elite_by_cuisine", with_ctes(
     f"select primary_cuisine, cast(sum(merchant_count) as bigint) as merchant_count, "
-    f"{mean('elite_merchant_share')} as elite_merchant_share from {S} group by 1", S))
+    f"round({mean('elite_merchant_share')}, 4) as elite_merchant_share from {S} group by 1", S))
 def bi8(spark, d):
     return R.elite_by_cuisine(E.market_share(spark, d))
 
@@ -91,20 +93,20 @@ def bi8(spark, d):
     f"""select tier_label, r as avg_fulfillment_rate,
            case when r < 0.9 then 'low' when r >= 0.96 then 'high' else 'mid' end as band,
            0.95::double as target
-    from (select tier_label, {mean('fulfillment_rate')} as r from {OPS} group by 1)""", OPS))
+    from (select tier_label, round({mean('fulfillment_rate')}, 4) as r from {OPS} group by 1)""", OPS))
 def bi9(spark, d):
     return R.fulfillment_by_tier(E.delivery_ops(spark, d))
 
 
 @query("bi10_on_time_by_weekday", with_ctes(
-    f"select order_day_of_week, {mean('on_time_rate')} as avg_on_time_rate from {OPS} group by 1", OPS))
+    f"select order_day_of_week, round({mean('on_time_rate')}, 4) as avg_on_time_rate from {OPS} group by 1", OPS))
 def bi10(spark, d):
     return R.on_time_by_weekday(E.delivery_ops(spark, d))
 
 
 @query("bi11_gmv_by_cuisine", with_ctes(
-    f"select primary_cuisine, cast(sum(cast(total_gmv_usd as decimal(38,2))) as double) as total_gmv_usd, "
-    f"{mean('avg_order_value_usd')} as avg_order_value_usd from {OPS} group by 1", OPS))
+    f"select primary_cuisine, round(cast(sum(cast(total_gmv_usd as decimal(38,2))) as double), 2) as total_gmv_usd, "
+    f"round({mean('avg_order_value_usd')}, 2) as avg_order_value_usd from {OPS} group by 1", OPS))
 def bi11(spark, d):
     return R.gmv_by_cuisine(E.delivery_ops(spark, d))
 
@@ -118,7 +120,7 @@ def bi12(spark, d):
 
 @query("bi13_monthly_gmv_top_cuisines", with_ctes(
     f"""select order_month, primary_cuisine,
-           cast(sum(cast(total_gmv_usd as decimal(38,2))) as double) as total_gmv_usd
+           round(cast(sum(cast(total_gmv_usd as decimal(38,2))) as double), 2) as total_gmv_usd
     from {OPS}
     where primary_cuisine in (select primary_cuisine from {OPS} group by 1
                               order by sum(cast(total_gmv_usd as decimal(38,2))) desc, primary_cuisine
@@ -172,7 +174,7 @@ def srt6(spark, d):
 
 
 @query("agg15_state_cuisine_drill", with_ctes(
-    f"select state, primary_cuisine, count(*) as merchant_count, {mean('composite_score')} as avg_composite_score "
+    f"select state, primary_cuisine, count(*) as merchant_count, round({mean('composite_score')}, 4) as avg_composite_score "
     f"from {P} where state = '{REPORT_STATE}' group by 1, 2 order by 3 desc, 2", P))
 def agg15(spark, d):
     return R.state_cuisine_drill(E.performance(spark, d), REPORT_STATE)
@@ -254,7 +256,7 @@ def ord5(spark, d):
     f"""select min(order_date) as min_order_date, max(order_date) as max_order_date,
            count(distinct business_id) as unique_merchants,
            avg(case when order_status = 'cancelled' then 1.0::double else 0.0::double end) as cancel_share,
-           {mean('cast(order_total_usd as double)', 2)} as avg_order_total,
+           round({mean('cast(order_total_usd as double)', 2)}, 2) as avg_order_total,
            avg(case when order_status = 'delivered' then cast(is_on_time as double) end) as on_time_share,
            avg(case when order_status = 'delivered' then cast(actual_delivery_min as double) end)
                as avg_delivery_min
