@@ -92,10 +92,14 @@ def share_matrix(share: DataFrame, n_states: int = 10) -> DataFrame:
     return top.select("state", "primary_cuisine", "market_share_pct", "merchant_count")
 
 
-def share_matrix_wide(share: DataFrame, n_states: int = 10) -> DataFrame:
-    """BI5 as a pivot (one column per cuisine). The cuisine list is the
-    distinct values of a low-cardinality label, which Spark collects itself."""
-    return share_matrix(share, n_states).groupBy("state").pivot("primary_cuisine") \
+def share_matrix_wide(share: DataFrame, n_states: int = 10,
+                      rule_list: Sequence = rules.CUISINE_RULES,
+                      default: str = rules.CUISINE_DEFAULT) -> DataFrame:
+    """BI5 as a pivot, one column per cuisine label. The columns come from
+    the taxonomy's labels (a fixed, small list), so Spark never has to
+    collect the distinct values of the data to plan the pivot."""
+    labels = list(dict.fromkeys([lab for lab, _ in rule_list] + [default]))
+    return share_matrix(share, n_states).groupBy("state").pivot("primary_cuisine", labels) \
         .agg(F.first("market_share_pct"))
 
 

@@ -137,3 +137,13 @@ def test_invariants_on_testdata(spark, small_marts):
     assert ret.filter("months_since_cohort = 0 and retention_rate_pct != 100.0").count() == 0
     assert ops.filter("delivered_orders + cancelled_orders != total_orders").count() == 0
     assert perf.select("business_id").distinct().count() == perf.count()
+
+
+def test_share_matrix_wide_uses_label_columns(spark, small_marts):
+    from merchlens.functions import rules
+    from merchlens.operators.reports import share_matrix_wide
+
+    _, share, _, _ = small_marts
+    wide = share_matrix_wide(share, 10, rules.PART_RULES)
+    assert wide.columns == ["state", "Red anvil", "Jewelry", "Metal", "Parts", "Other"]
+    assert wide.count() == min(10, share.select("state").distinct().count())
