@@ -70,8 +70,8 @@ def merchant_activity(businesses: DataFrame, reviews: DataFrame, checkins: DataF
         "city",
         "state",
         "primary_cuisine",
-        F.col("stars").alias("yelp_stars"),
-        F.col("review_count").alias("yelp_review_count"),
+        F.col("stars").alias(rules.LISTING_STARS_COL),
+        F.col("review_count").alias(rules.LISTING_REVIEW_COUNT_COL),
         "is_open",
         "latitude",
         "longitude",
@@ -146,7 +146,7 @@ def merchant_performance(activity: DataFrame, materialize: bool = True) -> DataF
     return tiered.select(
         "business_id", "business_name", "city", "state", "primary_cuisine",
         "latitude", "longitude", "is_open",
-        "yelp_stars", "avg_review_stars", "total_reviews", "reviews_per_month",
+        rules.LISTING_STARS_COL, "avg_review_stars", "total_reviews", "reviews_per_month",
         "total_checkins", "active_checkin_days", "positive_review_ratio", "active_years",
         round_dp(F.col("composite_score"), 4).alias("composite_score"),
         "performance_tier",

@@ -125,7 +125,7 @@ def stage_orders(df: DataFrame, money_as_decimal: bool = True) -> DataFrame:
     return df.filter(F.col("order_id").isNotNull()).select(
         F.col("order_id"),
         F.col("business_id"),
-        F.col("dasher_id"),
+        F.col("courier_id"),
         F.col("order_timestamp").cast("timestamp_ntz").alias("order_timestamp"),
         F.col("order_date").cast("date").alias("order_date"),
         month_start(F.col("order_date")).alias("order_month"),

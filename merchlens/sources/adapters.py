@@ -132,7 +132,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         order_key().alias("order_id"),
         F.col("o_custkey").alias("business_id"),
-        F.concat(F.lit("DASHER_"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("dasher_id"),
+        F.concat(F.lit("COURIER_"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0")).alias("courier_id"),
         F.col("o_orderdate").alias("order_timestamp"),
         F.col("__odate").alias("order_date"),
         F.col("__ohour").alias("order_hour"),

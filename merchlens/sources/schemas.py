@@ -45,7 +45,7 @@ RAW_CHECKIN = T.StructType([
 ORDERS = T.StructType([
     T.StructField("order_id", T.StringType()),
     T.StructField("business_id", T.StringType()),
-    T.StructField("dasher_id", T.StringType()),
+    T.StructField("courier_id", T.StringType()),
     T.StructField("order_timestamp", T.TimestampType()),
     T.StructField("order_date", T.DateType()),
     T.StructField("order_hour", T.IntegerType()),

@@ -99,7 +99,7 @@ def test_retention_offsets(spark):
 
 
 def test_delivery_only_cancelled_and_unknown_merchant(spark):
-    schema = ("order_id string, business_id long, dasher_id string, order_timestamp timestamp, "
+    schema = ("order_id string, business_id long, courier_id string, order_timestamp timestamp, "
               "order_date date, order_hour int, order_day_of_week string, estimated_delivery_min int, "
               "actual_delivery_min int, delivery_delta_min int, is_on_time boolean, "
               "order_total_usd double, delivery_fee_usd double, order_status string, _is_synthetic boolean")
