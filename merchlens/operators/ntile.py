@@ -81,6 +81,7 @@ def global_index(
     weight_col: str | None = None,
     n_rows: int | None = None,
     materialize: bool = True,
+    min_rows_per_bucket: int = 2_000,
 ) -> tuple[DataFrame, int]:
     """Add the 0-based position of each row in the total order
     (partition_cols, order_cols), NULLs last in every column. Returns the
@@ -105,7 +106,10 @@ def global_index(
     else:
         tot = keyed.agg(F.count(F.lit(1)).alias("k"), F.sum(weight_col).alias("w")).first()
         n_keys, n_rows = tot["k"], int(tot["w"] or 0)
-    n_buckets = int(min(max_buckets, max(1, math.ceil(n_keys / max(1, rows_per_bucket)))))
+    # enough buckets for the size, and for small inputs still one per core
+    # as long as each keeps >= min_rows_per_bucket rows (tiny inputs: one)
+    spread = min(df.sparkSession.sparkContext.defaultParallelism, n_keys // max(1, min_rows_per_bucket))
+    n_buckets = int(min(max_buckets, max(1, spread, math.ceil(n_keys / max(1, rows_per_bucket)))))
     key_struct = F.struct(*[F.col(n) for n in names])
     if n_buckets > 1 and materialize:
         keyed = keyed.checkpoint(eager=True)
