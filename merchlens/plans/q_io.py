@@ -199,3 +199,26 @@ def src2_stream(spark, d):
     ingest_businesses_stream(spark, f"{land}/*", dest, ckpt, schema=raw.schema)
     back = spark.read.parquet(dest)
     return back.select(*[F.col(c.strip()).cast(raw.schema[c.strip()].dataType) for c in _RAW_B.split(",")])
+
+
+@query("prj5_lineage_columns", with_ctes(
+    "select business_id, 'business.json' as _source_file, true as has_ingested_at, true as has_batch_date "
+    "from raw_businesses", "raw_businesses"))
+def prj5(spark, d):
+    """Lineage columns on bronze rows; the clock values themselves are not
+    reproducible, so the check is that they are set."""
+    b = readers.bronze_businesses(adapters.raw_businesses(E.prepare(spark), d), "business.json")
+    return b.select("business_id", "_source_file",
+                    F.col("_ingested_at").isNotNull().alias("has_ingested_at"),
+                    F.col("_batch_date").isNotNull().alias("has_batch_date"))
+
+
+@query("snk1_overwrite_replaces_schema", with_ctes("select * from stg_businesses", "stg_businesses"))
+def snk1(spark, d):
+    """Overwrite a table folder holding the raw business documents with the
+    staged businesses: the read-back has the new rows and the new schema."""
+    path = scratch_path(spark, "snk1")
+    sinks.write_table(adapters.raw_businesses(E.prepare(spark), d), path)
+    staged = E.businesses(spark, d)
+    sinks.write_table(staged, path, mode="overwrite")
+    return spark.read.parquet(path)
