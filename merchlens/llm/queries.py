@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from merchlens.llm import quality_rules
+from merchlens.llm import quality_rules, secrets
 
 QUERIES = {
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op8_secrets": secrets.op8_secrets,
 }
 
 ORACLE_SQL = {
