@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from merchlens.llm import quality_rules, secrets
+from merchlens.llm import decontaminate, quality_rules, secrets
 
 QUERIES = {
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_secrets": secrets.op8_secrets,
 }
 
 ORACLE_SQL = {
+    "op5_decontaminate": decontaminate.OP5_SQL,
     "op6_quality_rules": quality_rules.OP6_SQL,
 }
