@@ -5,10 +5,11 @@ that no two are equal. One sketch takes the ``ORDER`` labelled shingles of least
 them in text order; two texts share it when those shingles and their order agree, which
 follows edit similarity, not only set overlap. ``SKETCHES`` sketches are the keys of buckets.
 
-Candidates are stars, not pairs: every member of a bucket with the bucket's least text, and in
-buckets of more than two also within the members that share a further sketch. So their number is
-linear in members, whatever the size of a bucket, and no bucket is cut or skipped. A candidate is
-verified by banded alignment: the longest common subsequence of the two shingle sequences
+Candidates are stars, not pairs: the members of a bucket with its most connected member, and in
+buckets of more than two also within the members that share a further sketch. So a round's number
+of candidates is linear in members, whatever the size of a bucket, and no bucket is cut or skipped. Buckets
+that still hold several components get another star, round by round, until a round finds no link. A
+candidate is verified by banded alignment: the longest common subsequence of the two shingle sequences
 among places at most (1 - ``SIMILARITY``) of the longer text apart; it is a link when that has at least
 ``SIMILARITY`` of the longer text's shingles. As labelled shingles are unique, the alignment is
 a longest increasing subsequence of places, n log n. Classes are the connected components of links,
@@ -29,7 +30,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.llm.words import Words, chunks, mix, raw_texts, seeds
@@ -139,23 +140,37 @@ def sketches(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "doc_id bigint, text_key bigint, node bigint, n bigint, keys array<bigint>")
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    """``members`` of buckets (key, node, n, ...) of at least two nodes, with the bucket's size and its least node."""
-    heads = members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).filter("size > 1")
-    return members.join(heads, "key")
-
-
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(node, head): distinct pairs to verify; nodes: (node, n, keys)."""
+def members(nodes: DataFrame) -> DataFrame:
+    """(key, node, n, hub): rows of buckets that several nodes share; nodes: (node, n, keys). Buckets of more than two are also split
+    by a further sketch. ``hub`` adds up the sizes of a node's buckets: an original shares more than its variants do."""
     size = F.size("keys")
     turned = F.transform("keys", lambda k, i: F.struct(
         k.alias("key"), F.get(F.col("keys"), (i + 1) % size).alias("next"), F.get(F.col("keys"), (i + 5) % size).alias("later")))
-    members = nodes.select("node", "n", F.explode(turned).alias("k")).select("node", "n", "k.*")
-    found = _stars(members)
-    mixed = found.filter("size > 2").select("node", "n", F.explode(F.array(F.xxhash64("key", "next"), F.xxhash64("key", F.col("later"), F.lit(1)))).alias("key"))
-    pairs = found.select("node", "n", "head").unionByName(_stars(mixed).select("node", "n", "head"))
+    rows = nodes.select("node", "n", F.explode(turned).alias("k")).select("node", "n", "k.*")
+
+    def shared(found: DataFrame) -> DataFrame:
+        return found.join(found.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "key")
+
+    whole = _stored(shared(rows), "buckets")
+    hubs = whole.groupBy("node").agg(F.sum("size").alias("hub"))
+    split = whole.filter("size > 2").select("node", "n", F.explode(F.array(F.xxhash64("key", "next"), F.xxhash64("key", F.col("later"), F.lit(1)))).alias("key"))
+    both = whole.select("key", "node", "n").unionByName(shared(split).select("key", "node", "n"))
+    return _stored(both.join(hubs, "node"), "members")
+
+
+def stars(rows: DataFrame, waiting: DataFrame) -> DataFrame:
+    """(key, head): for each bucket with several components, its member of most ``hub`` among the waiting ones.
+    rows: members with their component ``root``; waiting: (key, root) whose turn has not come."""
+    open_ = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
+    fresh = rows.join(waiting, ["key", "root"]) if waiting is not None else rows
+    return fresh.groupBy("key").agg(F.max(F.struct("hub", "node", "n", "root")).alias("head")).join(open_, "key")
+
+
+def pairs_of(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """(node, head): members of other components than their head's, of like length; each pair once."""
     short, long = F.least("n", "head.n"), F.greatest("n", "head.n")
-    return pairs.filter((F.col("node") != F.col("head.node")) & (short >= SIMILARITY * long)).select("node", F.col("head.node").alias("head")).distinct()
+    found = rows.join(heads, "key").filter((F.col("root") != F.col("head.root")) & (short >= SIMILARITY * long))
+    return found.select("node", F.col("head.node").alias("head")).distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -180,13 +195,12 @@ def words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in chunks(batches):
             words = Words(raw_texts(batch))
             own = [words.hash[words.first[i] : words.first[i + 1]].astype(np.uint32).tobytes() for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(own, pa.binary())], ["doc_id", "text_key", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(own, pa.binary())], ["node", "words"])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
-    found = source.mapInArrow(run, "doc_id bigint, text_key bigint, words binary")
-    ids = wanted.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "node")
-    joined = found.join(ids, found["doc_id"].eqNullSafe(ids["id"]) & (found["text_key"] == ids["key"]))
-    return joined.groupBy("node").agg(F.first("words").alias("words"))
+    source = docs.select(F.col("doc_id").cast("long").alias("id"), "text", F.xxhash64("text").alias("key"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+    once = F.row_number().over(Window.partitionBy("id", "key").orderBy("key"))
+    return source.join(wanted, same).withColumn("copy", once).filter("copy = 1").select("node", "text").mapInArrow(run, "node bigint, words binary")
 
 
 def _stored(frame: DataFrame, name: str) -> DataFrame:
@@ -213,17 +227,37 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
+def links_of(docs: DataFrame, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All verified links (node, head), and (node, root) of the linked nodes. Each round makes one star per bucket that still holds
+    several components, and sets its head's component aside; rounds end with the first that finds no link."""
+    nodes = marked.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    shared = members(nodes.filter("n > 0").select("node", "n", "keys"))
+    rows = marked.select("node", "doc_id", "text_key").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"))
+    wanted = rows.join(shared.select("node").distinct(), "node").select("node", "row.doc_id", "row.text_key")
+    texts = _stored(words_of(docs, wanted), "texts")
+    links, roots, done = None, None, None
+    while True:
+        placed = shared.withColumn("root", F.col("node"))
+        if roots is not None:
+            placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        waiting = done and placed.select("key", "root").distinct().join(done.join(roots, done["node"] == roots["node"], "left").select("key", F.coalesce("root", done["node"]).alias("root")), ["key", "root"], "left_anti")
+        heads = _stored(stars(placed, waiting), "heads")
+        found = _stored(verified(pairs_of(placed, heads), texts), "verified")
+        fresh = found.isEmpty()
+        links = found if links is None else links.unionByName(found)
+        if fresh:
+            return links.distinct(), roots if roots is not None else links
+        used = heads.select("key", F.col("head.node").alias("node"))
+        done = used if done is None else done.unionByName(used)
+        roots = components(links)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """A row per document: doc_id, text_key (its text's 64-bit hash), class_id, n_links (verified links of its text), kept (one
-    (doc_id, text_key) of each class)."""
+    """A row per document: doc_id, text_key (its text's 64-bit hash), class_id, class_size, n_links (verified links of its text),
+    kept (one (doc_id, text_key) of each class)."""
     marked = _stored(sketches(docs), "sketches")
-    nodes = marked.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    pairs = _stored(candidates(nodes.filter("n > 0").select("node", "n", "keys")), "candidates")
-    ends = pairs.select("node").union(pairs.select("head")).distinct()
-    wanted = marked.select("node", "doc_id", "text_key").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).join(ends, "node")
-    texts = words_of(docs, wanted.select("node", "row.doc_id", "row.text_key"))
-    links = _stored(verified(pairs, texts), "verified")
-    roots = components(links)
+    links, roots = links_of(docs, marked)
+    roots = roots.toDF("node", "root")
     degree = links.select("node").union(links.select("head")).groupBy("node").agg(F.count("*").alias("n_links"))
     placed = marked.select("doc_id", "text_key", "node").join(roots, "node", "left").join(degree, "node", "left").select(
         "doc_id", "text_key", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

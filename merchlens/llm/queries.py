@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from merchlens.llm import decontaminate, license_scan, quality_rules, secrets
+from merchlens.llm import decontaminate, license_scan, order_minhash, quality_rules, secrets
 
 QUERIES = {
+    "op3_order_minhash": order_minhash.op3_order_minhash,
     "op4_license_scan": license_scan.op4_license_scan,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_quality_rules": quality_rules.op6_quality_rules,
