@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from merchlens.llm import decontaminate, license_scan, order_minhash, quality_rules, secrets
+from merchlens.llm import decontaminate, license_scan, order_minhash, quality_rules, secrets, wavelet
 
 QUERIES = {
     "op3_order_minhash": order_minhash.op3_order_minhash,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_secrets": secrets.op8_secrets,
+    "op9_wavelet": wavelet.op9_wavelet,
 }
 
 ORACLE_SQL = {
