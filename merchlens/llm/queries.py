@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from merchlens.llm import decontaminate, license_scan, order_minhash, quality_rules, secrets, wavelet
+from merchlens.llm import bpe_stream, decontaminate, license_scan, order_minhash, quality_rules, secrets, wavelet
 
 QUERIES = {
     "op3_order_minhash": order_minhash.op3_order_minhash,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op8_secrets": secrets.op8_secrets,
     "op9_wavelet": wavelet.op9_wavelet,
+    "op10_bpe_stream": bpe_stream.op10_bpe_stream,
 }
 
 ORACLE_SQL = {
