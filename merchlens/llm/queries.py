@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from merchlens.llm import bpe_stream, decontaminate, license_scan, order_minhash, quality_rules, secrets, wavelet
+from merchlens.llm import bpe_stream, decontaminate, license_scan, order_minhash, quality_rules, secrets, toxicity, wavelet
 
 QUERIES = {
     "op3_order_minhash": order_minhash.op3_order_minhash,
     "op4_license_scan": license_scan.op4_license_scan,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_secrets": secrets.op8_secrets,
     "op9_wavelet": wavelet.op9_wavelet,
     "op10_bpe_stream": bpe_stream.op10_bpe_stream,
