@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from merchlens.llm import bpe_stream, chat_format, decontaminate, license_scan, order_minhash, quality_rules, secrets, toxicity, wavelet
+from merchlens.llm import bpe_stream, chat_format, decontaminate, license_scan, order_minhash, quality_rules, secrets, toxicity, warc, wavelet
 
 QUERIES = {
     "op1_chat_format": chat_format.op1_chat_format,
+    "op2_warc": warc.op2_warc,
     "op3_order_minhash": order_minhash.op3_order_minhash,
     "op4_license_scan": license_scan.op4_license_scan,
     "op5_decontaminate": decontaminate.op5_decontaminate,
