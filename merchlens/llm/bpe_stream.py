@@ -253,7 +253,10 @@ def loaded(path: str) -> Bpe:
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``ids``: array of int."""
+    """``docs`` with a column ``ids``, array of int, in place of one of that name."""
+    from pyspark.sql import types as T
+
+    docs = docs.drop("ids")
     schema = docs.schema
 
     def run(batches):
@@ -264,8 +267,6 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text") -> Da
             column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "ids"])
 
-    from pyspark.sql import types as T
-
     return docs.mapInArrow(run, T.StructType([*schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 

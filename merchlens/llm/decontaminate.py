@@ -38,10 +38,10 @@ MAX_TERMS = 2_000_000
 BLOCK = 1 << 16
 SHARD_BYTES = 4 << 20
 
-SHARD = "doc_ids array<bigint>, first array<bigint>, terms binary, counts binary, positions binary"
-RESULT = "doc_id bigint, n_words bigint, hits array<struct<start:bigint,end:bigint>>, items array<string>, near array<string>"
+SHARD = "doc_ids array<bigint>, text_keys array<bigint>, first array<bigint>, terms binary, counts binary, positions binary"
+RESULT = "doc_id bigint, text_key bigint, n_words bigint, hits array<struct<start:bigint,end:bigint>>, items array<string>, near array<string>"
 _ARROW_RESULT = pa.schema([
-    ("doc_id", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+    ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
     ("items", pa.list_(pa.string())), ("near", pa.list_(pa.string())),
 ])
 
@@ -113,12 +113,13 @@ def build_index(docs: DataFrame, terms_at: str | None = None, shard_bytes: int =
             counts = np.bincount(term, minlength=len(terms)).astype(np.uint32)
             at = at[order]
             yield pa.RecordBatch.from_arrays([
-                pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([words.first], pa.list_(pa.int64())),
+                *(pa.array([batch.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("doc_id", "text_key")), pa.array([words.first], pa.list_(pa.int64())),
                 pa.array([terms[counts > 0].tobytes()]), pa.array([counts[counts > 0].tobytes()]),
                 pa.array([pack.compress(np.diff(at, prepend=np.uint32(0)).tobytes())]),
-            ], ["doc_ids", "first", "terms", "counts", "positions"])
+            ], ["doc_ids", "text_keys", "first", "terms", "counts", "positions"])
 
-    return docs.select("doc_id", "text").mapInArrow(shard, SHARD)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    return rows.mapInArrow(shard, SHARD)
 
 
 class Shard:
@@ -195,7 +196,7 @@ def _all_blocks(windows_at: str) -> Iterator[tuple[np.ndarray, list[list[str]]]]
 
 
 def search(index: DataFrame, windows_at: str, slop: int = SLOP) -> DataFrame:
-    """A row per document: its words, merged runs of hit words, items with phrase matches, items with proximity matches."""
+    """A row per document: its text's 64-bit hash, its words, merged runs of hit words, items with phrase matches, items with proximity matches."""
     def look(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -222,7 +223,7 @@ def search(index: DataFrame, windows_at: str, slop: int = SLOP) -> DataFrame:
                     for d, s, e in zip(doc[new].tolist(), start[new].tolist(), end[last].tolist(), strict=True):
                         hits.setdefault(d, []).append({"start": s - row["first"][d], "end": e - row["first"][d]})
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(row["doc_ids"], pa.int64()), pa.array(np.diff(shard.first)), pa.array([hits.get(i, []) for i in range(n)], _ARROW_RESULT.field("hits").type),
+                    pa.array(row["doc_ids"], pa.int64()), pa.array(row["text_keys"], pa.int64()), pa.array(np.diff(shard.first)), pa.array([hits.get(i, []) for i in range(n)], _ARROW_RESULT.field("hits").type),
                     pa.array([sorted(items.get(i, ())) for i in range(n)], pa.list_(pa.string())), pa.array([sorted(near.get(i, ())) for i in range(n)], pa.list_(pa.string())),
                 ], schema=_ARROW_RESULT)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from merchlens.llm import bpe_stream, chat_format, decontaminate, license_scan, order_minhash, quality_rules, secrets, toxicity, warc, wavelet
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_wavelet": wavelet.op9_wavelet,
     "op10_bpe_stream": bpe_stream.op10_bpe_stream,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {

@@ -352,9 +352,10 @@ def fit(rows: DataFrame, counts_at: str, most: int = MAX_FEATURES) -> Model:
 
 
 def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
-    """``docs`` with a column ``into``; ``docs`` needs a column text."""
+    """``docs``, which need a column text, with a column ``into`` (in place of one of that name)."""
     from pyspark.sql import types as T
 
+    docs = docs.drop(into)
     schema = T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())])
 
     def run(batches):
