@@ -82,10 +82,12 @@ def letter_counts(docs: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(BASE**4, np.int64)
         for batch in chunks(batches):
-            text = " ".join(t or "" for t in batch.column("text").to_pylist())
-            s = folds()[np.frombuffer(f"  {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)]
-            s = s[np.concatenate([[True], (s[1:] != MARK) | (s[:-1] != MARK)])].astype(np.int64)
-            s = np.concatenate([[MARK, MARK], s])
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            s = folds()[np.frombuffer(("   " + "".join(t + "   " for t in texts)).encode("utf-32-le", "surrogatepass"), np.uint32)]
+            between = np.zeros(len(s), bool)  # three marks between texts, so that counts don't depend on the batch
+            ends = np.cumsum([0, *(len(t) + 3 for t in texts)])
+            between[(ends[:, None] + np.arange(3)).ravel()] = True
+            s = s[between | np.concatenate([[True], (s[1:] != MARK) | (s[:-1] != MARK)])].astype(np.int64)
             total += np.bincount(((s[:-3] * BASE + s[1:-2]) * BASE + s[2:-1]) * BASE + s[3:], minlength=BASE**4)
         grams = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(total[grams])], ["gram", "n"])
