@@ -102,11 +102,6 @@ FULFILLMENT_TARGET = 0.95
 RETENTION_REFERENCE_PCT = 20.0
 DELIVERY_BIN_MIN = 2
 
-# Output names of the listing's own rating and review count in the activity
-# and performance marts (change here to match another warehouse contract).
-LISTING_STARS_COL = "listing_stars"
-LISTING_REVIEW_COUNT_COL = "listing_review_count"
-
 # --- Fixed values: NULL tokens accepted by the mart CSV load contract
 CSV_NULL_TOKENS: tuple[str, ...] = ("", "None", "NULL")
 

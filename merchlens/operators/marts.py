@@ -16,7 +16,8 @@ from merchlens.functions.columns import (
     safe_ratio,
     tier_label,
 )
-from merchlens.operators.ntile import dist_ntile
+from merchlens.operators.ntile import ranged, tiles
+from merchlens.session import scratch_path
 
 
 def review_aggregates(reviews: DataFrame) -> DataFrame:
@@ -70,8 +71,8 @@ def merchant_activity(businesses: DataFrame, reviews: DataFrame, checkins: DataF
         "city",
         "state",
         "primary_cuisine",
-        F.col("stars").alias(rules.LISTING_STARS_COL),
-        F.col("review_count").alias(rules.LISTING_REVIEW_COUNT_COL),
+        F.col("stars").alias("listing_stars"),
+        F.col("review_count").alias("listing_review_count"),
         "is_open",
         "latitude",
         "longitude",
@@ -92,61 +93,44 @@ def merchant_activity(businesses: DataFrame, reviews: DataFrame, checkins: DataF
     )
 
 
-SCORE_DIGITS = 10  # tiers order by the score rounded here, so float noise cannot move a boundary
+SCORE_DIGITS = 10
 
 
-def composite_scores(activity: DataFrame, stats=None) -> DataFrame:
-    """Adds ``composite_score`` (unrounded): 0.40 * stars / 5 + 0.35 *
-    velocity / max velocity + 0.25 * check-ins / max check-ins, NULL when a
-    maximum is 0. The two maxima are one tiny global aggregate read back as
-    literals (partial maxima per task, one row to the driver), so no row
-    moves to a single task."""
-    mx = stats if stats is not None else activity_stats(activity)
-    mv, mc = mx["mv"], mx["mc"]
-
-    def norm(col: str, m):
-        if m is None or m == 0:
-            return F.lit(None).cast("double")
-        return F.col(col) / F.lit(float(m))
-
+def composite_scores(activity: DataFrame) -> DataFrame:
+    """Adds ``composite_score`` (unrounded): 0.40 * stars / 5 + 0.35 * velocity / max velocity + 0.25 * check-ins / max
+    check-ins, NULL when a maximum is 0. The two maxima are a one-row aggregate joined to every row."""
+    most = activity.agg(F.max("reviews_per_month").cast("double").alias("__mv"), F.max("total_checkins").cast("double").alias("__mc"))
     score = (
         F.lit(rules.SCORE_WEIGHT_STARS) * (F.col("avg_review_stars") / F.lit(rules.STAR_SCALE))
-        + F.lit(rules.SCORE_WEIGHT_VELOCITY) * norm("reviews_per_month", mv)
-        + F.lit(rules.SCORE_WEIGHT_CHECKINS) * norm("total_checkins", mc)
+        + F.lit(rules.SCORE_WEIGHT_VELOCITY) * (F.col("reviews_per_month") / F.nullif(F.col("__mv"), F.lit(0.0)))
+        + F.lit(rules.SCORE_WEIGHT_CHECKINS) * (F.col("total_checkins") / F.nullif(F.col("__mc"), F.lit(0.0)))
     )
-    return activity.withColumn("composite_score", score)
+    return with_one_row(activity, most).withColumn("composite_score", score).drop("__mv", "__mc")
 
 
-def activity_stats(activity: DataFrame) -> dict:
-    """Row count and the two normalizer maxima in one global aggregate."""
-    r = activity.agg(
-        F.max("reviews_per_month").alias("mv"), F.max("total_checkins").alias("mc"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    return {"mv": r["mv"], "mc": r["mc"], "n": int(r["n"])}
+def with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """The single row of a global aggregate beside every row: a broadcast of one row, by its making."""
+    return df.join(F.broadcast(one), F.lit(True))
 
 
-def merchant_performance(activity: DataFrame, materialize: bool = True) -> DataFrame:
-    """MOD7: composite score, national and in-state quintiles (1 = bottom,
-    5 = top; tiers use the unrounded score, NULL scores last, ties split by
-    business_id), tier label and flags; the output score is rounded to 4.
+def merchant_performance(activity: DataFrame) -> DataFrame:
+    """MOD7: composite score, national and in-state quintiles (1 = bottom, 5 = top), tier label and flags.
 
-    The activity table is checkpointed once (shared checkpoint folder): the
-    statistics job, the tier index jobs and the final pass all read it."""
-    if materialize:
-        activity = activity.checkpoint(eager=True)
-    stats = activity_stats(activity)
-    scored = composite_scores(activity, stats).withColumn(
-        "__score_key", round_dp(F.col("composite_score"), SCORE_DIGITS)
-    )
-    tiered = dist_ntile(scored, rules.N_TIERS, ["__score_key", "business_id"],
-                        out_col="performance_tier", n_rows=stats["n"])
-    tiered = dist_ntile(tiered, rules.N_TIERS, ["__score_key", "business_id"], ["state"],
-                        out_col="state_performance_tier", n_rows=stats["n"])
+    Tiers order by the score rounded to ``SCORE_DIGITS`` digits, NULL scores last, ties split by business_id: the last digits
+    of an unrounded sum depend on the order of addition, and would move merchants over a tier's edge from run to run.
+    The output score is rounded to 4. One table, stored range-partitioned by (score, id), serves both tiers; the activity
+    table is stored before, so the maxima and the ranges read it instead of computing it twice."""
+    spark = activity.sparkSession
+    at = scratch_path(spark, "activity")
+    activity.write.parquet(at)
+    key = ["__score_key", "business_id"]
+    scored = composite_scores(spark.read.parquet(at)).withColumn("__score_key", round_dp(F.col("composite_score"), SCORE_DIGITS))
+    tiered = tiles(ranged(scored, key), rules.N_TIERS, key, out_col="performance_tier")
+    tiered = tiles(tiered, rules.N_TIERS, key, ["state"], out_col="state_performance_tier")
     return tiered.select(
         "business_id", "business_name", "city", "state", "primary_cuisine",
         "latitude", "longitude", "is_open",
-        rules.LISTING_STARS_COL, "avg_review_stars", "total_reviews", "reviews_per_month",
+        "listing_stars", "avg_review_stars", "total_reviews", "reviews_per_month",
         "total_checkins", "active_checkin_days", "positive_review_ratio", "active_years",
         round_dp(F.col("composite_score"), 4).alias("composite_score"),
         "performance_tier",

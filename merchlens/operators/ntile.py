@@ -1,156 +1,75 @@
-"""Exact distributed ``ntile`` and global-normalizer helpers.
-
-``ntile(k) over (order by s)`` and ``ntile(k) over (partition by g order by s)``
-written as window functions move every row of the (partition) frame into one
-task. ``dist_ntile`` gives the same tiles while every step stays spread out:
-
-1. Each row gets a sort key (per column: is-null flag, value) so NULLs sort
-   last, ordered by (partition columns, order columns).
-2. A fixed-size sample of keys (bounded by ``max_buckets * oversample`` rows)
-   gives range boundaries; ``bucket`` = number of boundaries <= key, computed
-   by a balanced tree of struct comparisons. It depends on the key only, so a
-   recomputed task after an executor loss yields the same bucket. Ties are
-   split by the trailing (unique) order columns, so a value that holds a third
-   of all rows still spreads over many buckets.
-3. Rows per bucket are counted (<= ``max_buckets`` rows reach the driver) and
-   turned into start offsets, inlined as an array literal: no join.
-4. ``row_number`` within a bucket plus its offset is the global 0-based
-   index. With partition columns, each group's rows are contiguous in this
-   order, so the group start is ``min(index)`` and the size ``count(*)`` of a
-   grouped aggregate joined back by group key (AQE broadcasts it when its
-   measured size is small, else a skew-aware sort-merge join).
-5. With ``n`` rows and ``q, r = divmod(n, k)`` the first ``r`` tiles hold
-   ``q + 1`` rows and the rest ``q``.
+"""Exact distributed ``ntile``, ``rank`` and quantiles.
+
+``ntile(k) over (order by s)`` as a window moves every row of the frame into one task. Here
+
+1. ``ranged`` lets Spark range-partition the rows by the order columns and stores them once with their range
+   number, so every later step reads the same ranges, and a lost executor recomputes nothing before it;
+2. ``positions`` counts rows per (group, range), turns the counts into the number of rows before each range,
+   joins that small table back, and adds ``row_number`` within (group, range).
+
+The same stored ranges serve the global order and the order within any group columns. A value shared by many rows
+spreads over several ranges when a unique column follows it in the order; a hot group is spread over the
+ranges too, because ranges follow the order columns, not the group.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_IDX = "__ml_idx"
-_BKT = "__ml_bucket"
-
-
-def _key_columns(order_cols: Sequence[str], partition_cols: Sequence[str]) -> list[tuple[str, Column]]:
-    cols: list[tuple[str, Column]] = []
-    for i, c in enumerate([*partition_cols, *order_cols]):
-        cols.append((f"__ml_k{i}n", F.col(c).isNull()))
-        cols.append((f"__ml_k{i}v", F.col(c)))
-    return cols
-
-
-def _join_back(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join of ``df`` with a per-key aggregate of itself on NULL-safe
-    key equality. The aggregate's keys are renamed first so the self-join
-    stays unambiguous; they are dropped after the join."""
-    ren = small.select(*[F.col(c).alias(f"__ml_j{i}") for i, c in enumerate(keys)],
-                       *[c for c in small.columns if c not in keys])
-    cond = [df[c].eqNullSafe(ren[f"__ml_j{i}"]) for i, c in enumerate(keys)]
-    return df.join(ren, cond, "inner").drop(*[f"__ml_j{i}" for i in range(len(keys))])
-
-
-def _lit_of(value, dtype: T.DataType) -> Column:
-    return F.lit(value).cast(dtype)
-
-
-def _bucket_tree(key: Column, bounds: list[tuple], types: list[T.DataType], names: list[str],
-                 lo: int, hi: int) -> Column:
-    """Number of boundaries in ``bounds[lo:hi]`` that are <= key, plus ``lo``."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    b = F.struct(*[_lit_of(v, t).alias(n) for v, t, n in zip(bounds[mid], types, names)])
-    return F.when(key >= b, _bucket_tree(key, bounds, types, names, mid + 1, hi)) \
-        .otherwise(_bucket_tree(key, bounds, types, names, lo, mid))
-
-
-def global_index(
-    df: DataFrame,
-    order_cols: Sequence[str],
-    partition_cols: Sequence[str] = (),
-    rows_per_bucket: int = 200_000,
-    max_buckets: int = 1024,
-    oversample: int = 40,
-    seed: int = 17,
-    idx_col: str = _IDX,
-    weight_col: str | None = None,
-    n_rows: int | None = None,
-    materialize: bool = True,
-    min_rows_per_bucket: int = 2_000,
-) -> tuple[DataFrame, int]:
-    """Add the 0-based position of each row in the total order
-    (partition_cols, order_cols), NULLs last in every column. Returns the
-    frame and its row count. Three small jobs run eagerly (count, sample,
-    per-bucket counts); the result itself stays lazy.
-
-    With ``weight_col`` each row stands for that many rows (a histogram
-    entry): the position is where its run starts, and the returned total is
-    the sum of weights.
-
-    ``n_rows`` (when the caller already knows it, unweighted only) skips the
-    count job. With more than one bucket the keyed input is checkpointed to
-    the shared checkpoint folder first (``materialize``), so the sample,
-    per-bucket counts and final pass read it instead of recomputing it."""
-    keys = _key_columns(order_cols, partition_cols)
-    names = [n for n, _ in keys]
-    keyed = df.withColumns(dict(keys))
-    if weight_col is None:
-        if n_rows is None:
-            n_rows = keyed.count()
-        n_keys = n_rows
-    else:
-        tot = keyed.agg(F.count(F.lit(1)).alias("k"), F.sum(weight_col).alias("w")).first()
-        n_keys, n_rows = tot["k"], int(tot["w"] or 0)
-    # enough buckets for the size, and for small inputs still one per core
-    # as long as each keeps >= min_rows_per_bucket rows (tiny inputs: one)
-    spread = min(df.sparkSession.sparkContext.defaultParallelism, n_keys // max(1, min_rows_per_bucket))
-    n_buckets = int(min(max_buckets, max(1, spread, math.ceil(n_keys / max(1, rows_per_bucket)))))
-    key_struct = F.struct(*[F.col(n) for n in names])
-    if n_buckets > 1 and materialize:
-        keyed = keyed.checkpoint(eager=True)
-    if n_buckets > 1:
-        frac = min(1.0, oversample * n_buckets / n_keys)
-        sample = sorted(
-            tuple(r) for r in keyed.sample(False, frac, seed).select(*names).collect()
-        )
-        types = [f.dataType for f in keyed.select(*names).schema.fields]
-        bounds: list[tuple] = []
-        for i in range(1, n_buckets):
-            b = sample[min(len(sample) - 1, (i * len(sample)) // n_buckets)] if sample else None
-            if b is not None and (not bounds or b != bounds[-1]):
-                bounds.append(b)
-        bucket = _bucket_tree(key_struct, bounds, types, names, 0, len(bounds))
-        n_buckets = len(bounds) + 1
-    else:
-        bucket = F.lit(0)
-    keyed = keyed.withColumn(_BKT, bucket)
-    if n_buckets > 1:
-        size = F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)
-        counts = {r[0]: int(r[1] or 0) for r in keyed.groupBy(_BKT).agg(size).collect()}
-        offsets, acc = [], 0
-        for b in range(n_buckets):
-            offsets.append(acc)
-            acc += counts.get(b, 0)
-        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_BKT) + 1)
-    else:
-        offset = F.lit(0).cast("long")
-    w = Window.partitionBy(_BKT).orderBy(*[F.col(n).asc() for n in names])
-    if weight_col is None:
-        pos = F.row_number().over(w) - 1
+
+from merchlens.session import scratch_path
+
+_IDX, _RANGE, _SIZE = "__ml_idx", "__ml_range", "__ml_size"
+
+
+def _order(order_cols: Sequence[str], descending: Sequence[str] = ()) -> list[Column]:
+    return [F.col(c).desc_nulls_last() if c in descending else F.col(c).asc_nulls_last() for c in order_cols]
+
+
+def ranged(df: DataFrame, order_cols: Sequence[str], descending: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """``df`` range-partitioned by the order columns (NULLs last, any orderable type), stored in the shared folder with a
+    range number per row. ``ranges``: how many; Spark's shuffle setting by default."""
+    order = _order(order_cols, descending)
+    split = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    at = scratch_path(df.sparkSession, "ranges")
+    split.withColumn(_RANGE, F.spark_partition_id()).write.parquet(at)
+    return df.sparkSession.read.parquet(at)
+
+
+def _same(a: DataFrame, b: DataFrame, keys: dict[str, str]) -> Column:
+    """NULL-safe equality of columns of ``a`` with columns of ``b``; true without keys."""
+    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[v]) for k, v in keys.items()], F.lit(True))
+
+
+def positions(stored: DataFrame, order_cols: Sequence[str], partition_cols: Sequence[str] = (),
+              descending: Sequence[str] = (), weight_col: str | None = None) -> DataFrame:
+    """A frame from ``ranged`` with each row's 0-based position within its group (``__ml_idx``) and the group's
+    size (``__ml_size``). With ``weight_col`` a row stands for that many rows and its position is where they start."""
+    size = F.sum(weight_col) if weight_col else F.count(F.lit(1))
+    counts = stored.groupBy(*partition_cols, _RANGE).agg(size.cast("long").alias("__ml_n"))
+    of_group = Window.partitionBy(*partition_cols)
+    before = of_group.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    keys = {c: f"__ml_k{i}" for i, c in enumerate((*partition_cols, _RANGE))}
+    starts = counts.select(
+        *[F.col(c).alias(k) for c, k in keys.items()],
+        F.coalesce(F.sum("__ml_n").over(before), F.lit(0)).alias("__ml_before"),
+        F.coalesce(F.sum("__ml_n").over(of_group), F.lit(0)).alias(_SIZE))
+    w = Window.partitionBy(_RANGE, *partition_cols).orderBy(*_order(order_cols, descending))
+    if weight_col:
+        own = F.sum(weight_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(weight_col)
     else:
-        pos = F.sum(weight_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) \
-            - F.col(weight_col)
-    out = keyed.withColumn(idx_col, offset + pos.cast("long")).drop(_BKT, *names)
-    return out, n_rows
+        own = F.row_number().over(w) - 1
+    placed = stored.withColumn("__ml_own", own.cast("long"))
+    return placed.join(starts, _same(placed, starts, keys)).withColumn(_IDX, F.col("__ml_before") + F.col("__ml_own")) \
+        .drop("__ml_own", "__ml_before", *keys.values())
 
 
 def tile_of(idx: Column, n: Column, k: int) -> Column:
-    """1-based tile of the 0-based position ``idx`` among ``n`` rows."""
+    """1-based tile of the 0-based position ``idx`` among ``n`` rows: with ``q, r = divmod(n, k)`` the first ``r`` tiles hold
+    ``q + 1`` rows and the rest ``q``."""
     q = F.floor(n / F.lit(k)).cast("long")
     r = n - q * F.lit(k)
     big = r * (q + 1)
@@ -158,104 +77,62 @@ def tile_of(idx: Column, n: Column, k: int) -> Column:
         .otherwise(r + F.floor((idx - big) / F.nullif(q, F.lit(0))) + 1).cast("long")
 
 
-def dist_ntile(
-    df: DataFrame,
-    k: int,
-    order_cols: Sequence[str],
-    partition_cols: Sequence[str] = (),
-    out_col: str = "ntile",
-    **kw,
-) -> DataFrame:
-    """Exact ``ntile(k) over ([partition by partition_cols] order by
-    order_cols nulls last)`` without a single-task window; ``out_col`` is
-    bigint. Put a unique column last in ``order_cols`` for a deterministic
-    assignment of tied rows."""
-    indexed, n_rows = global_index(df, order_cols, partition_cols, **kw)
-    if not partition_cols:
-        return indexed.withColumn(out_col, tile_of(F.col(_IDX), F.lit(n_rows).cast("long"), k)) \
-            .drop(_IDX)
-    groups = indexed.groupBy(*partition_cols).agg(
-        F.min(_IDX).alias("__ml_start"), F.count(F.lit(1)).alias("__ml_n")
-    )
-    joined = _join_back(indexed, groups, partition_cols)
-    return (
-        joined.withColumn(out_col, tile_of(F.col(_IDX) - F.col("__ml_start"), F.col("__ml_n"), k))
-        .drop(_IDX, "__ml_start", "__ml_n")
-    )
-
-
-def grouped_quantiles(
-    df: DataFrame,
-    value_col: str,
-    probs: Sequence[float],
-    group_cols: Sequence[str] = (),
-    names: Sequence[str] | None = None,
-    **kw,
-) -> DataFrame:
-    """Exact continuous quantiles (linear interpolation at ``p * (n - 1)``,
-    NULLs ignored) of ``value_col`` per group, one column per probability.
-
-    Rows are first reduced to a (group, value) -> count histogram with
-    map-side combine, so a value repeated across a third of the rows is one
-    entry; positions are weighted global indexes over that histogram, and
-    each quantile is read by one grouped aggregate. No group's rows are
-    gathered into one task."""
+def tiles(stored: DataFrame, k: int, order_cols: Sequence[str], partition_cols: Sequence[str] = (), out_col: str = "ntile") -> DataFrame:
+    """``ntile`` on a frame from ``ranged``, whose range number stays for further tiles."""
+    return positions(stored, order_cols, partition_cols).withColumn(out_col, tile_of(F.col(_IDX), F.col(_SIZE), k)).drop(_IDX, _SIZE)
+
+
+def dist_ntile(df: DataFrame, k: int, order_cols: Sequence[str], partition_cols: Sequence[str] = (),
+               out_col: str = "ntile", ranges: int | None = None) -> DataFrame:
+    """Exact ``ntile(k) over ([partition by partition_cols] order by order_cols nulls last)``; ``out_col`` is bigint. Put a unique
+    column last in ``order_cols`` for a deterministic assignment of tied rows."""
+    return tiles(ranged(df, order_cols, ranges=ranges), k, order_cols, partition_cols, out_col).drop(_RANGE)
+
+
+def grouped_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = (),
+                      names: Sequence[str] | None = None, ranges: int | None = None) -> DataFrame:
+    """Exact continuous quantiles (linear interpolation at ``p * (n - 1)``, NULLs ignored) of ``value_col`` per group, one
+    column per probability.
+
+    Rows are first reduced to a (group, value) -> count histogram with map-side combine, so a value
+    repeated across a third of the rows is one entry; positions are weighted, and each quantile is read by one
+    grouped aggregate. No group's rows are gathered into one task."""
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     v = F.col(value_col).cast("double")
-    # count(v) is 0 for the NULL bucket: a group whose values are all NULL
-    # keeps a zero-weight row (so it gets NULL quantiles) without moving any
-    # position, since NULLs sort last.
+    # a group whose values are all NULL keeps a zero-weight row, hence NULL quantiles; NULLs sort last
     hist = df.groupBy(*group_cols, v.alias("__v")).agg(F.count(v).alias("__w"))
-    idx, total = global_index(hist, ["__v"], group_cols, weight_col="__w", **kw)
-    if group_cols:
-        gs = idx.groupBy(*group_cols).agg(F.min(_IDX).alias("__gs"), F.sum("__w").alias("__n"))
-        j = _join_back(idx, gs, group_cols)
-        start, n = F.col(_IDX) - F.col("__gs"), F.col("__n")
-    else:
-        j, start, n = idx, F.col(_IDX), F.lit(total).cast("long")
+    j = positions(ranged(hist, ["__v", *group_cols], ranges=ranges), ["__v"], group_cols, weight_col="__w")
     aggs = []
-    for p, name in zip(probs, names):
-        pos = F.lit(float(p)) * (n - 1).cast("double")
-        lo, hi = F.floor(pos), F.ceil(pos)
-        hit_lo = (start <= lo) & (lo < start + F.col("__w"))
-        hit_hi = (start <= hi) & (hi < start + F.col("__w"))
-        j = j.withColumn(f"__lo_{name}", F.when(hit_lo, F.col("__v")))              .withColumn(f"__hi_{name}", F.when(hit_hi, F.col("__v")))              .withColumn(f"__f_{name}", pos - lo)
-        aggs += [F.max(f"__lo_{name}").alias(f"__lo_{name}"), F.max(f"__hi_{name}").alias(f"__hi_{name}"),
-                 F.max(f"__f_{name}").alias(f"__f_{name}")]
-    out = j.groupBy(*group_cols).agg(*aggs) if group_cols else j.agg(*aggs)
-    return out.select(*group_cols, *[
-        (F.col(f"__lo_{m}") + (F.col(f"__hi_{m}") - F.col(f"__lo_{m}")) * F.col(f"__f_{m}")).alias(m)
-        for m in names])
-
-
-def dist_rank(
-    df: DataFrame,
-    order_col: str,
-    partition_cols: Sequence[str] = (),
-    descending: bool = True,
-    tiebreak: str | None = None,
-    out_col: str = "rank",
-    **kw,
-) -> DataFrame:
-    """``rank() over ([partition by p] order by order_col [desc])`` with gaps
-    after ties (1, 1, 3), NULLs last, as bigint, without a single-task window:
-    rank = (first position of the row's tie group) - (group start) + 1, both
-    read from the distributed global index by grouped minima."""
-    key = "__ml_rk"
-    kcol = F.col(order_col) * F.lit(-1) if descending else F.col(order_col)
-    base = df.withColumn(key, kcol)
-    order = [key] + ([tiebreak] if tiebreak else [])
-    indexed, _ = global_index(base, order, partition_cols, **kw)
-    ties = indexed.groupBy(*partition_cols, key).agg(F.min(_IDX).alias("__ml_tie"))
-    j = _join_back(indexed, ties, [*partition_cols, key])
-    if partition_cols:
-        gs = indexed.groupBy(*partition_cols).agg(F.min(_IDX).alias("__ml_gs"))
-        j = _join_back(j, gs, partition_cols)
-        start = F.col("__ml_gs")
-    else:
-        start = F.lit(0)
-    return j.withColumn(out_col, (F.col("__ml_tie") - start + 1).cast("long")) \
-        .drop(_IDX, key, "__ml_tie", "__ml_gs")
-
-
-__all__ = ["dist_ntile", "dist_rank", "global_index", "tile_of", "grouped_quantiles"]
+    for p, name in zip(probs, names, strict=True):
+        pos = F.lit(float(p)) * (F.col(_SIZE) - 1).cast("double")
+
+        def value_at(i: Column) -> Column:
+            return F.max(F.when((F.col(_IDX) <= i) & (i < F.col(_IDX) + F.col("__w")), F.col("__v")))
+
+        low, high = value_at(F.floor(pos)), value_at(F.ceil(pos))
+        aggs.append((low + (high - low) * F.max(pos - F.floor(pos))).alias(name))
+    return j.groupBy(*group_cols).agg(*aggs) if group_cols else j.agg(*aggs)
+
+
+def dist_rank(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (), descending: bool = True,
+              tiebreak: str | None = None, out_col: str = "rank", ranges: int | None = None) -> DataFrame:
+    """``rank() over ([partition by p] order by order_col [desc])`` with gaps after ties (1, 1, 3), NULLs last, as bigint,
+    for any orderable type.
+
+    The first position of a row's ties is a window minimum within its range; only values that reach over several
+    ranges, one per range and group at most, need a small table joined back."""
+    order = [order_col, *([tiebreak] if tiebreak else [])]
+    down = [order_col] if descending else []
+    placed = positions(ranged(df, order, down, ranges), order, partition_cols, down)
+    keys = [*partition_cols, order_col]
+    first = F.min(_IDX).over(Window.partitionBy(_RANGE, *keys))
+    names = {c: f"__ml_t{i}" for i, c in enumerate(keys)}
+    wide = placed.groupBy(*keys).agg(F.min(_IDX).alias("__ml_first"), F.min(_RANGE).alias("__ml_a"), F.max(_RANGE).alias("__ml_b")) \
+        .filter("__ml_a < __ml_b").select(*[F.col(c).alias(n) for c, n in names.items()], "__ml_first")
+    own = placed.withColumn("__ml_own", first)
+    return own.join(wide, _same(own, wide, names), "left") \
+        .withColumn(out_col, (F.coalesce("__ml_first", "__ml_own") + 1).cast("long")) \
+        .drop(_IDX, _SIZE, _RANGE, "__ml_own", "__ml_first", *names.values())
+
+
+__all__ = ["dist_ntile", "dist_rank", "grouped_quantiles", "positions", "ranged", "tile_of", "tiles"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from merchlens.functions import rules
 from merchlens.functions.columns import bin_floor, exact_mean, round_dp, tier_rank, weekday_rank
+from merchlens.operators.marts import with_one_row
 from merchlens.operators.ntile import grouped_quantiles
 
 # chart data precision (rates and scores, money and stars, quantiles)
@@ -68,19 +69,18 @@ def elite_map(perf: DataFrame) -> DataFrame:
 
 
 def velocity_quadrants(perf: DataFrame) -> DataFrame:
-    """BI4: median split of review velocity (x) and stars (y); a value equal
-    to its median counts as high. Medians: one exact distributed quantile
-    job each, read back as two numbers."""
-    mx = grouped_quantiles(perf, "reviews_per_month", [0.5], names=["m"]).first()["m"]
-    my = grouped_quantiles(perf, "avg_review_stars", [0.5], names=["m"]).first()["m"]
-    hx = F.col("reviews_per_month") >= F.lit(mx)
-    hy = F.col("avg_review_stars") >= F.lit(my)
+    """BI4: median split of review velocity (x) and stars (y); a value equal to its median counts as high. The medians are
+    one-row frames of exact distributed quantiles, joined to every row."""
+    both = with_one_row(perf, grouped_quantiles(perf, "reviews_per_month", [0.5], names=["__mx"]))
+    both = with_one_row(both, grouped_quantiles(perf, "avg_review_stars", [0.5], names=["__my"]))
+    hx = F.col("reviews_per_month") >= F.col("__mx")
+    hy = F.col("avg_review_stars") >= F.col("__my")
     quad = (F.when(~hx & hy, "Rising Stars").when(hx & hy, "Champions")
             .when(hx & ~hy, "Fading").otherwise("Struggling"))
-    return perf.select(
+    return both.select(
         "business_id", "reviews_per_month", "avg_review_stars", "performance_tier", "total_checkins",
-        round_dp(F.lit(mx).cast("double"), QUANTILE_DP).alias("median_reviews_per_month"),
-        round_dp(F.lit(my).cast("double"), QUANTILE_DP).alias("median_avg_review_stars"),
+        round_dp(F.col("__mx"), QUANTILE_DP).alias("median_reviews_per_month"),
+        round_dp(F.col("__my"), QUANTILE_DP).alias("median_avg_review_stars"),
         quad.alias("quadrant"))
 
 

@@ -403,10 +403,10 @@ def agg16(spark, d):
     "select business_id, total_checkins / nullif(max(total_checkins) over (), 0) as checkin_share_of_max "
     "from merchant_activity", "merchant_activity"))
 def win1(spark, d):
-    act = E.activity(spark, d)
-    mx = act.agg(F.max("total_checkins")).first()[0]
-    share = F.lit(None).cast("double") if not mx else F.col("total_checkins") / F.lit(float(mx))
-    return act.select("business_id", share.alias("checkin_share_of_max"))
+    act = E.activity(spark, d).select("business_id", "total_checkins")
+    most = act.agg(F.max("total_checkins").cast("double").alias("__mc"))
+    share = F.col("total_checkins") / F.nullif(F.col("__mc"), F.lit(0.0))
+    return M.with_one_row(act, most).select("business_id", share.alias("checkin_share_of_max"))
 
 
 @query("win2_global_ntile", with_ctes(

@@ -47,13 +47,13 @@ def test_hot_value_ntile_rank_quantiles(spark):
     rows = [(i, 0.5 if i % 3 == 0 else rnd.random(), "HOT" if i % 3 == 0 else rnd.choice("ABCD"))
             for i in range(9000)]
     df = spark.createDataFrame(rows, "id long, s double, g string")
-    t = dist_ntile(df, 5, ["s", "id"], ["g"], out_col="t", rows_per_bucket=500)
+    t = dist_ntile(df, 5, ["s", "id"], ["g"], out_col="t", ranges=12)
     b = df.withColumn("t2", F.ntile(5).over(Window.partitionBy("g").orderBy("s", "id")))
     assert t.join(b, "id").filter("t != t2").count() == 0
-    r = dist_rank(df, "s", ["g"], tiebreak="id", rows_per_bucket=500)
+    r = dist_rank(df, "s", ["g"], tiebreak="id", ranges=12)
     b = df.withColumn("r2", F.rank().over(Window.partitionBy("g").orderBy(F.col("s").desc())))
     assert r.join(b, "id").filter("rank != r2").count() == 0
-    q = {x.g: x.q50 for x in grouped_quantiles(df, "s", [0.5], ["g"], rows_per_bucket=500).collect()}
+    q = {x.g: x.q50 for x in grouped_quantiles(df, "s", [0.5], ["g"], ranges=12).collect()}
     assert q["HOT"] == 0.5
     for p in (_plan(t), _plan(r)):
         assert "SinglePartition" not in p
