@@ -1,10 +1,8 @@
 """Data-quality checks (DQ1-DQ13).
 
-A suite is a list of ``Check`` specs. ``run_suite`` evaluates all row-level
-checks of a table in ONE aggregate job (count_if per check, plus the row
-count); each uniqueness check is one grouped aggregate (partial aggregation
-first, so a value repeated across a third of the rows is combined map-side).
-Results come back as a DataFrame ``(table_name, check_name, column_name,
+A suite is a list of ``Check`` specs. ``run_suite`` evaluates a table's row checks, row count and
+first uniqueness check in one pass; partial aggregation combines a value repeated across a third of
+the rows map-side. Results come back as a DataFrame ``(table_name, check_name, column_name,
 observed, total_rows, success)``: for row checks ``observed`` is the number
 of failing rows (NULLs are ignored by every check except not-null), for the
 row-count check it is the row count.
@@ -16,6 +14,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,63 +74,72 @@ def violation(check: Check) -> Column | None:
     return None
 
 
-def _row_check_results(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
-    row_checks = [c for c in checks if c.kind in ("not_null", "between", "in_set")]
-    aggs = [F.count(F.lit(1)).alias("__total")]
-    aggs += [F.count_if(violation(c)).alias(f"__v{i}") for i, c in enumerate(row_checks)]
-    one = df.agg(*aggs)
-    entries = []
-    for i, c in enumerate(row_checks):
-        v = F.col(f"__v{i}")
-        entries.append(F.struct(
-            F.lit(table).alias("table_name"), F.lit(c.kind).alias("check_name"),
-            F.lit(c.column).cast("string").alias("column_name"), v.alias("observed"),
-            F.col("__total").alias("total_rows"), (v == 0).alias("success")))
-    for c in checks:
-        if c.kind != "row_count":
-            continue
-        t = F.col("__total")
-        ok = F.lit(True)
-        if c.lo is not None:
-            ok = ok & (t >= F.lit(c.lo))
-        if c.hi is not None:
-            ok = ok & (t <= F.lit(c.hi))
-        entries.append(F.struct(
-            F.lit(table).alias("table_name"), F.lit("row_count").alias("check_name"),
-            F.lit(None).cast("string").alias("column_name"), t.alias("observed"),
-            t.alias("total_rows"), ok.alias("success")))
-    if not entries:
-        return None
-    return one.select(F.inline(F.array(*entries)))
-
-
-def _unique_result(df: DataFrame, table: str, col: str) -> DataFrame:
-    """Rows whose non-NULL value occurs more than once (every such row fails)."""
-    per_value = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return per_value.agg(
-        F.coalesce(F.sum(F.when(F.col(col).isNotNull() & (F.col("n") > 1), F.col("n"))),
-                   F.lit(0)).cast("long").alias("observed"),
-        F.sum("n").cast("long").alias("total_rows"),
-    ).select(
-        F.lit(table).alias("table_name"), F.lit("unique").alias("check_name"),
-        F.lit(col).alias("column_name"), F.col("observed"),
-        F.coalesce(F.col("total_rows"), F.lit(0).cast("long")).alias("total_rows"),
-        (F.col("observed") == 0).alias("success"),
-    )
+def _result(table: str, kind: str, column: str | None, observed: Column, total: Column, success: Column) -> Column:
+    return F.struct(
+        F.lit(table).alias("table_name"), F.lit(kind).alias("check_name"), F.lit(column).cast("string").alias("column_name"),
+        observed.cast("long").alias("observed"), total.cast("long").alias("total_rows"), success.alias("success"))
 
 
 def run_suite(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
-    """DQ9: all checks of one table -> result rows (lazy)."""
-    parts = []
-    rc = _row_check_results(df, table, checks)
-    if rc is not None:
-        parts.append(rc)
-    parts += [_unique_result(df, table, c.column) for c in checks if c.kind == "unique"]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """DQ9: all checks of one table -> result rows (lazy), in one pass.
+
+    Without uniqueness checks that is one global aggregate. Otherwise rows are first counted per value of
+    the first unique column (map-side combined), with the row checks counted alongside, and the groups summed;
+    only further unique columns need a pass of their own."""
+    rows = [c for c in checks if c.kind in ("not_null", "between", "in_set")]
+    keys = [c.column for c in checks if c.kind == "unique"]
+    counts = [F.count(F.lit(1)).alias("__n")] + [F.count_if(violation(c)).alias(f"__v{i}") for i, c in enumerate(rows)]
+    if keys:
+        grouped = df.groupBy(F.col(keys[0]).alias("__key")).agg(*counts)
+        twice = F.when(F.col("__key").isNotNull() & (F.col("__n") > 1), F.col("__n"))
+        names = ["__n", *(f"__v{i}" for i in range(len(rows)))]
+        one = grouped.agg(F.coalesce(F.sum(twice), F.lit(0)).alias("__twice"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    else:
+        one = df.agg(*counts)
+    total, entries = F.col("__n"), []
+    entries += [_result(table, c.kind, c.column, F.col(f"__v{i}"), total, F.col(f"__v{i}") == 0) for i, c in enumerate(rows)]
+    for c in checks:
+        if c.kind == "row_count":
+            ok = F.lit(True)
+            if c.lo is not None:
+                ok = ok & (total >= c.lo)
+            if c.hi is not None:
+                ok = ok & (total <= c.hi)
+            entries.append(_result(table, "row_count", None, total, total, ok))
+    if keys:
+        entries.append(_result(table, "unique", keys[0], F.col("__twice"), total, F.col("__twice") == 0))
+    out = one.select(F.inline(F.array(*entries)))
+    return reduce(DataFrame.unionByName, [run_suite(df, table, [unique(k)]) for k in keys[1:]], out)
+
+
+def failed_suite(spark, table: str, error: Exception) -> DataFrame:
+    """The result of a suite that could not run: one failed row with the first line of the error as its column name."""
+    said = f"{type(error).__name__}: {error}".splitlines()[0][:200]
+    return spark.createDataFrame([(table, "suite_error", said, None, None, False)],
+                                 "table_name string, check_name string, column_name string, observed long, total_rows long, success boolean")
 
 
 def run_suites(suites: Sequence[tuple[str, DataFrame, Sequence[Check]]]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), [run_suite(df, t, cs) for t, df, cs in suites])
+    """All suites as one lazy frame; a suite that cannot be planned (say, a missing column) is a failed row and the others report."""
+    parts = []
+    for table, df, checks in suites:
+        try:
+            parts.append(run_suite(df, table, checks))
+        except AnalysisException as e:
+            parts.append(failed_suite(df.sparkSession, table, e))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def evaluate(suites: Sequence[tuple[str, DataFrame, Sequence[Check]]], path: str) -> DataFrame:
+    """Runs each suite and stores its results under ``path``; one that fails while it runs is a failed row too."""
+    parts = []
+    for table, df, checks in suites:
+        try:
+            run_suite(df, table, checks).write.mode("overwrite").parquet(f"{path}/{table}")
+        except PySparkException as e:
+            failed_suite(df.sparkSession, table, e).write.mode("overwrite").parquet(f"{path}/{table}")
+        parts.append(df.sparkSession.read.parquet(f"{path}/{table}"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def suite_summary(results: DataFrame) -> DataFrame:
@@ -155,19 +163,18 @@ class QualityGateError(RuntimeError):
     pass
 
 
-def enforce(results: DataFrame) -> None:
-    """Raise before anything downstream runs when a check fails."""
+def enforce(results: DataFrame, shown: int = 50) -> None:
+    """Raise before anything downstream runs when a check fails; the error names the first ``shown`` and says how many there are."""
     row = gate(results).first()
     if row is None or not row["all_passed"]:
-        failed = results.filter(~F.col("success")).select("table_name", "check_name", "column_name") \
-            .limit(50).collect()
-        raise QualityGateError(f"quality gate failed: {[tuple(r) for r in failed]}")
+        failed = results.filter(~F.col("success")).select("table_name", "check_name", "column_name").orderBy("table_name", "check_name", "column_name").limit(shown).collect()
+        raise QualityGateError(f"quality gate failed: {row['failed_checks'] if row else 0} checks, first {[tuple(r) for r in failed]}")
 
 
 # ------------------------------------------------------------------ suites
 # The check lists and bounds of the published silver suites.
 
-def suite_businesses(min_rows: int = 100, max_rows: int = 500_000) -> list[Check]:
+def suite_businesses(min_rows: int = 100, max_rows: int | None = 500_000) -> list[Check]:
     """DQ6: 11 checks on staged businesses."""
     return [
         not_null("business_id"),
@@ -185,7 +192,7 @@ def suite_businesses(min_rows: int = 100, max_rows: int = 500_000) -> list[Check
 
 
 def suite_reviews(min_year: int = 2015, max_year: int = 2026,
-                  min_rows: int = 100, max_rows: int = 10_000_000) -> list[Check]:
+                  min_rows: int = 100, max_rows: int | None = 10_000_000) -> list[Check]:
     """DQ7: 8 checks on staged reviews."""
     return [
         not_null("review_id"),
@@ -199,7 +206,7 @@ def suite_reviews(min_year: int = 2015, max_year: int = 2026,
     ]
 
 
-def suite_orders(min_rows: int = 1_000, max_rows: int = 600_000) -> list[Check]:
+def suite_orders(min_rows: int = 1_000, max_rows: int | None = 600_000) -> list[Check]:
     """DQ8: 6 checks on staged orders."""
     return [
         not_null("order_id"),

@@ -83,6 +83,11 @@ def mod9(spark, d):
     return E.retention(spark, d)
 
 
+@query("mod9_cohort_retention_dev", _star("cohort_retention_dev"))
+def mod9_dev(spark, d):
+    return E.retention_dev(spark, d)
+
+
 @query("mod10_delivery_operations", _star("delivery_operations"))
 def mod10(spark, d):
     return E.delivery_ops(spark, d)

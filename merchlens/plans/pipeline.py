@@ -1,6 +1,6 @@
 """PIP1: the medallion run as one Python function: bronze -> silver ->
 quality gate -> gold -> mart tests -> CSV export, stopping before gold when
-a silver check fails. Scheduling is not built; this is the data work only.
+a silver check fails and before the export when a mart test fails. Scheduling is not built; this is the data work only.
 
 Bronze and gold are written tables (which also cuts lineage); silver stays
 lazy. The merchant performance mart is written once and read back by the
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from merchlens.functions import rules
 from merchlens.operators import marts, quality, staging
 from merchlens.session import scratch_path
-from merchlens.sources import readers, sinks
+from merchlens.sources import readers, schemas, sinks
 
 
 @dataclass
@@ -26,6 +26,14 @@ class PipelineConfig:
     cuisine_default: str | None = rules.CUISINE_DEFAULT
     review_min_date: str | None = rules.REVIEW_MIN_DATE
     retention_months: int = rules.RETENTION_MAX_MONTHS
+    #: the development variant counts cohorts from all reviews, also those below the floor
+    retention_from_all_reviews: bool = False
+    mart_tests: dict[str, list] = field(default_factory=lambda: {
+        "merchant_performance": quality.mart_tests_performance(),
+        "cuisine_market_share": quality.mart_tests_market_share(),
+        "reviewer_cohort_retention": quality.mart_tests_retention(),
+        "delivery_operations": quality.mart_tests_delivery(),
+    })
     suites: dict[str, list] = field(default_factory=lambda: {
         "stg_businesses": quality.suite_businesses(),
         "stg_reviews": quality.suite_reviews(),
@@ -57,7 +65,7 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, dest: str | None = None,
     for name, (df, part) in bronze.items():
         path = f"{dest}/bronze/{name}"
         if part:
-            sinks.write_layout(df, path, part["partition_col"], [], tiebreak=[df.columns[0]])
+            sinks.write_partitioned(df, path, part["partition_col"])
         else:
             sinks.write_table(df, path)
     b = {n: sinks.read_back(spark, f"{dest}/bronze/{n}", bronze[n][0].schema) for n in bronze}
@@ -73,10 +81,7 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, dest: str | None = None,
     }
 
     # ---- gate: the exact frames gold will read
-    checks = quality.run_suites([(t, silver[t], cs) for t, cs in cfg.suites.items()])
-    checks_path = f"{dest}/quality/silver"
-    sinks.write_table(checks, checks_path)
-    checks = sinks.read_back(spark, checks_path)
+    checks = quality.evaluate([(t, silver[t], cs) for t, cs in cfg.suites.items()], f"{dest}/quality/silver")
     quality.enforce(checks)
 
     # ---- gold
@@ -88,7 +93,8 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, dest: str | None = None,
     gold = {
         "merchant_performance": perf,
         "cuisine_market_share": marts.cuisine_market_share(perf),
-        "reviewer_cohort_retention": marts.cohort_retention(silver["stg_reviews_all"], cfg.retention_months),
+        "reviewer_cohort_retention": marts.cohort_retention(
+            silver["stg_reviews_all" if cfg.retention_from_all_reviews else "stg_reviews"], cfg.retention_months),
         "delivery_operations": marts.delivery_operations(silver["stg_orders"], perf),
     }
     for name in ("cuisine_market_share", "reviewer_cohort_retention", "delivery_operations"):
@@ -98,12 +104,8 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, dest: str | None = None,
         gold[name] = sinks.read_back(spark, path, schema)
 
     # ---- mart tests
-    mart_checks = quality.run_suites([
-        ("merchant_performance", gold["merchant_performance"], quality.mart_tests_performance()),
-        ("cuisine_market_share", gold["cuisine_market_share"], quality.mart_tests_market_share()),
-        ("reviewer_cohort_retention", gold["reviewer_cohort_retention"], quality.mart_tests_retention()),
-        ("delivery_operations", gold["delivery_operations"], quality.mart_tests_delivery()),
-    ])
+    mart_checks = quality.evaluate([(t, gold[t], cs) for t, cs in cfg.mart_tests.items()], f"{dest}/quality/gold")
+    quality.enforce(mart_checks)
 
     out: dict[str, DataFrame] = {**silver, **gold, "silver_checks": checks, "mart_checks": mart_checks}
     if cfg.export_csv:
@@ -116,6 +118,14 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, dest: str | None = None,
     return out
 
 
+def run_from_folders(spark: SparkSession, src: str, dest: str, cfg: PipelineConfig | None = None) -> dict[str, DataFrame]:
+    """The run from landed files: ``business``, ``review`` and ``checkin`` JSON lines and ``orders`` Parquet below ``src``."""
+    raw = RawInputs(
+        businesses=readers.read_json(spark, f"{src}/business", schemas.RAW_BUSINESS), reviews=readers.read_json(spark, f"{src}/review", schemas.RAW_REVIEW),
+        checkins=readers.read_json(spark, f"{src}/checkin", schemas.RAW_CHECKIN), orders=spark.read.parquet(f"{src}/orders"))
+    return run_pipeline(spark, raw, dest, cfg)
+
+
 def raw_inputs_from_tables(spark: SparkSession, sf_dir: str) -> RawInputs:
     """Raw inputs derived from the driver's test tables (see adapters)."""
     from merchlens.sources import adapters
@@ -129,17 +139,17 @@ def raw_inputs_from_tables(spark: SparkSession, sf_dir: str) -> RawInputs:
 
 
 def testdata_config() -> PipelineConfig:
-    """Parameters that fit the test tables: part-name rules, 1995-2001
-    dates, up to ~6M line items per order table."""
-    from merchlens.plans.oracle import TESTDATA_REVIEW_FLOOR
+    """Parameters that fit the test tables: part-name rules, 1995-2001 dates, and no ceiling on row counts, as the tables
+    come in any size."""
+    from merchlens.plans.entities import TESTDATA_REVIEW_FLOOR
 
     return PipelineConfig(
         keywords=rules.PART_KEYWORDS, cuisine_rules=rules.PART_RULES,
         cuisine_default=rules.CUISINE_DEFAULT, review_min_date=TESTDATA_REVIEW_FLOOR,
         suites={
-            "stg_businesses": quality.suite_businesses(),
-            "stg_reviews": quality.suite_reviews(min_year=1992),
-            "stg_orders": quality.suite_orders(max_rows=10_000_000),
+            "stg_businesses": quality.suite_businesses(max_rows=None),
+            "stg_reviews": quality.suite_reviews(min_year=1992, max_rows=None),
+            "stg_orders": quality.suite_orders(max_rows=None),
         },
     )
 

@@ -17,7 +17,7 @@ from merchlens.plans.catalog import query
 from merchlens.plans.oracle import with_ctes
 from merchlens.plans.q_reports import REPORT_CUISINE, REPORT_STATE
 from merchlens.session import scratch_path
-from merchlens.sources import adapters, readers, sinks
+from merchlens.sources import adapters, readers, schemas, sinks
 
 _RAW_B = ("business_id, name, address, city, state, postal_code, latitude, longitude, stars, "
           "review_count, is_open, categories")
@@ -39,7 +39,7 @@ def src2(spark, d):
     sinks.write_table(raw, src, fmt="json")
     bronze = readers.bronze_businesses(readers.read_json(spark, src, raw.schema), "business.json")
     dest = scratch_path(spark, "src2-bronze")
-    sinks.write_layout(bronze, dest, "state", [], tiebreak=["business_id"])
+    sinks.write_partitioned(bronze, dest, "state")
     back = sinks.read_back(spark, dest, bronze.schema)
     return back.select(*[c.strip() for c in _RAW_B.split(",")])
 
@@ -56,7 +56,7 @@ def src3(spark, d):
     sinks.write_table(raw, src, fmt="json")
     bronze = readers.bronze_reviews(readers.read_json(spark, src, raw.schema), "review.json")
     dest = scratch_path(spark, "src3-bronze")
-    sinks.write_layout(bronze, dest, "review_year", [], tiebreak=["review_id"])
+    sinks.write_partitioned(bronze, dest, "review_year")
     back = sinks.read_back(spark, dest, bronze.schema)
     return back.select("review_id", "user_id", "business_id", "stars", "review_date", "review_year")
 
@@ -96,7 +96,16 @@ def src7(spark, d):
                                          "review_date", "sentiment_bucket")
     path = scratch_path(spark, "src7-csv")
     sinks.export_csv(rev, path)
-    return spark.read.schema(rev.schema).option("header", True).csv(path)
+    return readers.read_csv(spark, path, rev.schema)
+
+
+@query("src7_csv_of_texts", "select doc_id, text, source from documents")
+def src7_texts(spark, d):
+    """Texts with line breaks, quotes and commas through CSV and back."""
+    docs = adapters.table(E.prepare(spark), d, "documents").select("doc_id", "text", "source")
+    path = scratch_path(spark, "src7-texts")
+    sinks.export_csv(docs, path)
+    return readers.read_csv(spark, path, docs.schema)
 
 
 @query("src9_csv_null_tokens", with_ctes("select * from merchant_performance", "merchant_performance"))
@@ -108,7 +117,21 @@ def src9(spark, d):
     no_reviews = F.col("total_reviews") == 0
     sinks.export_csv(perf.filter(no_reviews), f"{path}/a", null_value="None")
     sinks.export_csv(perf.filter(~no_reviews), f"{path}/b", null_value="NULL")
-    return readers.read_csv_with_null_tokens(spark, [f"{path}/a", f"{path}/b"], perf.schema)
+    return readers.read_mart_csv(spark, [f"{path}/a", f"{path}/b"], schemas.CONTRACTS["merchant_performance"])
+
+
+@query("src9_retention_contract", with_ctes("select * from cohort_retention", "cohort_retention"))
+def src9_retention(spark, d):
+    path = scratch_path(spark, "src9-retention")
+    sinks.export_csv(E.retention(spark, d), path, null_value="NULL")
+    return readers.read_mart_csv(spark, path, schemas.CONTRACTS["reviewer_cohort_retention"])
+
+
+@query("src9_delivery_contract", with_ctes("select * from delivery_operations", "delivery_operations"))
+def src9_delivery(spark, d):
+    path = scratch_path(spark, "src9-delivery")
+    sinks.export_csv(E.delivery_ops(spark, d), path, null_value="None")
+    return readers.read_mart_csv(spark, path, schemas.CONTRACTS["delivery_operations"])
 
 
 @query("flt9_state_partition_pruning", with_ctes(
@@ -134,12 +157,10 @@ def snk3(spark, d):
 
 @query("snk7_csv_export", with_ctes("select * from cuisine_market_share", "cuisine_market_share"))
 def snk7(spark, d):
-    from merchlens.sources.schemas import MART_MARKET_SHARE
-
     share = E.market_share(spark, d)
     path = scratch_path(spark, "snk7-csv")
     sinks.export_csv(share, path)
-    return readers.read_mart_csv(spark, path, MART_MARKET_SHARE)
+    return readers.read_mart_csv(spark, path, schemas.CONTRACTS["cuisine_market_share"])
 
 
 @query("snk10_partition_cluster_layout", with_ctes(
@@ -156,17 +177,18 @@ def snk10(spark, d):
 
 @query("pip1_pipeline_manifest", with_ctes(
     "\nunion all\n".join([
-        "select 'merchant_performance' as table_name, count(*) as row_count, 22::bigint as column_count "
+        "select 'merchant_performance' as table_name, count(*) as row_count, 22::bigint as column_count, 7::bigint as mart_tests_passed "
         "from merchant_performance",
-        "select 'cuisine_market_share', count(*), 13::bigint from cuisine_market_share",
-        "select 'reviewer_cohort_retention', count(*), 6::bigint from cohort_retention",
-        "select 'delivery_operations', count(*), 20::bigint from delivery_operations"]),
+        "select 'cuisine_market_share', count(*), 13::bigint, 4::bigint from cuisine_market_share",
+        "select 'reviewer_cohort_retention', count(*), 6::bigint, 4::bigint from cohort_retention",
+        "select 'delivery_operations', count(*), 20::bigint, 3::bigint from delivery_operations"]),
     "merchant_performance", "cuisine_market_share", "cohort_retention", "delivery_operations"))
 def pip1(spark, d):
     """Whole run over the test tables (bronze, silver, gate, gold, mart
-    tests, CSV export); the result is the export manifest."""
+    tests, CSV export); the result is the export manifest with the number of mart tests passed."""
     out = PL.run_pipeline(E.prepare(spark), PL.raw_inputs_from_tables(spark, d), cfg=PL.testdata_config())
-    return out["manifest"]
+    passed = out["mart_checks"].filter("success").groupBy("table_name").agg(F.count(F.lit(1)).alias("mart_tests_passed"))
+    return out["manifest"].join(passed, "table_name")
 
 
 @query("snk8_export_manifest", with_ctes(
@@ -183,24 +205,6 @@ def snk8(spark, d):
     return sinks.export_manifest(spark, exported)
 
 
-
-@query("src2_stream_ingest_businesses", with_ctes(f"select {_RAW_B} from raw_businesses", "raw_businesses"))
-def src2_stream(spark, d):
-    """SRC2 as an incremental file stream: two batches of documents land one
-    after the other; each run ingests only the new files."""
-    from merchlens.streaming.ingest import ingest_businesses_stream
-
-    raw = adapters.raw_businesses(E.prepare(spark), d)
-    land, dest, ckpt = (scratch_path(spark, n) for n in ("stream-land", "stream-bronze", "stream-ckpt"))
-    first = F.col("is_open") == 1
-    sinks.write_table(raw.filter(first), f"{land}/batch=1", fmt="json")
-    ingest_businesses_stream(spark, f"{land}/*", dest, ckpt, schema=raw.schema)
-    sinks.write_table(raw.filter(~first), f"{land}/batch=2", fmt="json")
-    ingest_businesses_stream(spark, f"{land}/*", dest, ckpt, schema=raw.schema)
-    back = spark.read.parquet(dest)
-    return back.select(*[F.col(c.strip()).cast(raw.schema[c.strip()].dataType) for c in _RAW_B.split(",")])
-
-
 @query("prj5_lineage_columns", with_ctes(
     "select business_id, 'business.json' as _source_file, true as has_ingested_at, true as has_batch_date "
     "from raw_businesses", "raw_businesses"))

@@ -15,7 +15,8 @@ from merchlens.operators import orders as O
 from merchlens.operators.ntile import dist_ntile, dist_rank, grouped_quantiles
 from merchlens.plans import entities as E
 from merchlens.plans.catalog import query
-from merchlens.plans.oracle import sql_keyword_any, sql_taxonomy, with_ctes
+from merchlens.plans import oracle as SQL
+from merchlens.plans.oracle import with_ctes
 from merchlens.sources import adapters
 
 ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(round(l_extendedprice * 100) as bigint))"
@@ -63,7 +64,7 @@ def flt4(spark, d):
 
 
 @query("flt5_keyword_any", with_ctes(
-    f"select business_id, categories from raw_businesses where {sql_keyword_any('categories', rules.PART_KEYWORDS)}",
+    f"select business_id, categories from raw_businesses where {SQL.any_of('categories', SQL.PARTS)}",
     "raw_businesses"))
 def flt5(spark, d):
     return adapters.raw_businesses(E.prepare(spark), d) \
@@ -75,7 +76,7 @@ _FLT6_WORDS = ("ring", "gear", "anvil")
 
 @query("flt6_keyword_any_null_as_empty", f"""
     select c.c_custkey as business_id from customer c left join part p on c.c_custkey = p.p_partkey
-    where {sql_keyword_any("coalesce(p.p_name, '')", _FLT6_WORDS)}""")
+    where {SQL.any_of("coalesce(p.p_name, '')", "ring gear anvil")}""")
 def flt6(spark, d):
     c = _t(spark, d, "customer")
     p = _t(spark, d, "part")
@@ -91,33 +92,59 @@ def flt7(spark, d):
                                      (F.col("is_on_time") == F.lit(True))).select("order_id")
 
 
-_OFFSETS_SQL = """
-    select r.user_id, r.review_month as activity_month, uc.cohort_month,
-           datediff('month', uc.cohort_month, r.review_month) as months_since_cohort
-    from (select distinct user_id, review_month from stg_reviews_all where user_id is not null) r
-    join (select user_id, min(review_month) as cohort_month from stg_reviews_all
-          where user_id is not null group by 1) uc using (user_id)"""
-
-
 @query("flt8_offset_range", with_ctes(
-    f"select user_id, activity_month, cohort_month, cast(months_since_cohort as bigint) as months_since_cohort "
-    f"from ({_OFFSETS_SQL}) where months_since_cohort between 0 and 12", "stg_reviews_all"))
+    "select * from user_months where months_since_cohort between 0 and 24", "user_months"))
 def flt8(spark, d):
     return M.user_month_offsets(E.reviews_all(spark, d)) \
-        .filter(F.col("months_since_cohort").between(0, 12))
+        .filter(F.col("months_since_cohort").between(0, 24))
+
+
+# The published lists run over the documents' texts, prefixed by words of those lists so that every arm is met.
+
+def _menu(spark, d):
+    words = [w for _, ws in rules.CUISINE_RULES for w in ws]
+    word = F.get(F.lit(words), (F.col("doc_id") % len(words)).cast("int"))
+    other = F.get(F.lit(words), (F.floor(F.col("doc_id") / 7) % len(words)).cast("int"))
+    return _t(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 5 > 0, F.concat_ws(" ", F.initcap(word), F.upper(other), F.lit("text"))).otherwise(F.col("text")).alias("text"))
+
+
+_MENU_WORDS = ("['pizza','sushi','thai','mexican','italian','chinese','burger','sandwich','coffee','cafe','bakery','bar','food','diner','american',"
+               "'seafood','indian','korean','vietnamese','mediterranean']")
+_MENU_SQL = f"""(select doc_id, case when doc_id % 5 > 0 then upper(w[1]) || w[2:] || ' ' || upper(o) || ' text' else text end as text
+    from (select doc_id, text, {_MENU_WORDS}[doc_id % 20 + 1] as w, {_MENU_WORDS}[(doc_id // 7) % 20 + 1] as o from documents))"""
+
+
+@query("flt5_published_keywords", f"select doc_id from {_MENU_SQL} where {SQL.any_of('text', SQL.FOOD)}")
+def flt5_published(spark, d):
+    return _menu(spark, d).filter(C.keyword_any("text", rules.FOOD_KEYWORDS)).select("doc_id")
+
+
+@query("flt6_published_keywords", f"select doc_id as business_id from {_MENU_SQL} where {SQL.any_of("coalesce(text, '')", SQL.ORDER_FOOD)}")
+def flt6_published(spark, d):
+    return O.food_merchant_ids(_menu(spark, d).select(F.col("doc_id").alias("business_id"), F.col("text").alias("categories")), rules.ORDER_FOOD_KEYWORDS)
 
 
 # ------------------------------------------------------------ conditionals
 
+@query("cnd1_published_taxonomy", f"select doc_id, {SQL.first_match('text', SQL.CUISINES, "'Other'")} as cuisine from {_MENU_SQL}")
+def cnd1_published(spark, d):
+    return _menu(spark, d).select("doc_id", C.taxonomy("text", rules.CUISINE_RULES, rules.CUISINE_DEFAULT).alias("cuisine"))
+
+
+@query("cnd2_published_dev_taxonomy", f"select doc_id, {SQL.first_match('text', SQL.DEV_CUISINES, 'text')} as cuisine from {_MENU_SQL}")
+def cnd2_published(spark, d):
+    return _menu(spark, d).select("doc_id", C.taxonomy("text", rules.DEV_CUISINE_RULES, F.col("text")).alias("cuisine"))
+
+
 @query("cnd1_taxonomy_ordered_rules", f"""
-    select p_partkey, p_name, {sql_taxonomy('p_name', rules.PART_RULES, "'Other'")} as category from part""")
+    select p_partkey, p_name, {SQL.first_match('p_name', SQL.PART_KINDS, "'Other'")} as category from part""")
 def cnd1(spark, d):
     p = _t(spark, d, "part")
     return p.select("p_partkey", "p_name", C.taxonomy("p_name", rules.PART_RULES, "Other").alias("category"))
 
 
 @query("cnd2_taxonomy_raw_default", f"""
-    select p_partkey, {sql_taxonomy('p_name', rules.PART_DEV_RULES, 'p_name')} as category from part""")
+    select p_partkey, {SQL.first_match('p_name', SQL.DEV_PART_KINDS, 'p_name')} as category from part""")
 def cnd2(spark, d):
     p = _t(spark, d, "part")
     return p.select("p_partkey", C.taxonomy("p_name", rules.PART_DEV_RULES, F.col("p_name")).alias("category"))
@@ -195,18 +222,18 @@ def cnd10(spark, d):
 
 @query("jon1_left_join_review_agg", with_ctes(
     "select b.business_id, r.total_reviews, r.avg_review_stars "
-    "from stg_businesses b left join review_agg r using (business_id)", "stg_businesses", "review_agg"))
+    "from stg_businesses b left join review_facts_all r using (business_id)", "stg_businesses", "review_facts_all"))
 def jon1(spark, d):
-    r = M.review_aggregates(E.reviews(spark, d)).select("business_id", "total_reviews", "avg_review_stars")
+    r = M.review_aggregates(E.reviews_all(spark, d)).select("business_id", "total_reviews", "avg_review_stars")
     return E.businesses(spark, d).select("business_id").join(r, "business_id", "left")
 
 
 @query("jon2_three_way_left_chain", with_ctes(
     "select b.business_id, r.total_reviews, c.total_checkins, c.peak_day_of_week "
-    "from stg_businesses b left join review_agg r using (business_id) left join checkin_agg c using (business_id)",
-    "stg_businesses", "review_agg", "checkin_agg"))
+    "from stg_businesses b left join review_facts_all r using (business_id) left join checkin_facts c using (business_id)",
+    "stg_businesses", "review_facts_all", "checkin_facts"))
 def jon2(spark, d):
-    r = M.review_aggregates(E.reviews(spark, d)).select("business_id", "total_reviews")
+    r = M.review_aggregates(E.reviews_all(spark, d)).select("business_id", "total_reviews")
     c = M.checkin_aggregates(E.checkins(spark, d)).select("business_id", "total_checkins", "peak_day_of_week")
     return E.businesses(spark, d).select("business_id").join(r, "business_id", "left") \
         .join(c, "business_id", "left")
@@ -224,8 +251,7 @@ def jon3(spark, d):
 
 
 @query("jon4_events_to_first_month", with_ctes(
-    f"select user_id, activity_month, cohort_month, cast(months_since_cohort as bigint) as months_since_cohort "
-    f"from ({_OFFSETS_SQL})", "stg_reviews_all"))
+    "select * from user_months", "user_months"))
 def jon4(spark, d):
     return M.user_month_offsets(E.reviews_all(spark, d))
 
@@ -247,18 +273,18 @@ def jon6(spark, d):
 
 @query("jon7_correlated_scalar_subquery", with_ctes(
     """select r.cohort_month, r.months_since_cohort, r.retained_users,
-              (select count(*) from (select user_id, min(review_month) as cohort_month from stg_reviews_all
+              (select count(*) from (select user_id, min(review_month) as cohort_month from stg_reviews
                                      where user_id is not null group by 1) uc2
                where uc2.cohort_month = r.cohort_month) as cohort_size
        from (select cohort_month, months_since_cohort, retained_users from cohort_retention) r""",
-    "cohort_retention", "stg_reviews_all"))
+    "cohort_retention", "stg_reviews"))
 def jon7(spark, d):
     """Correlated scalar subquery as written in SQL; Catalyst rewrites it
     into an aggregate plus a left outer join (no per-row rescans)."""
     tag = uuid.uuid4().hex[:8]
     ret, rev = f"ret_{tag}", f"rev_{tag}"
     E.retention(spark, d).createOrReplaceTempView(ret)
-    E.reviews_all(spark, d).createOrReplaceTempView(rev)
+    E.reviews(spark, d).createOrReplaceTempView(rev)
     return spark.sql(f"""
         select r.cohort_month, r.months_since_cohort, r.retained_users,
                (select count(*) from (select user_id, min(review_month) as cohort_month from {rev}
@@ -352,20 +378,25 @@ def agg9(spark, d):
 
 
 @query("agg10_arg_max", with_ctes(
-    "select business_id, peak_day_of_week from checkin_agg", "checkin_agg"))
+    "select business_id, peak_day_of_week from checkin_facts", "checkin_facts"))
 def agg10(spark, d):
     return M.checkin_aggregates(E.checkins(spark, d)).select("business_id", "peak_day_of_week")
 
 
 @query("agg11_rate_over_span", with_ctes(
-    "select business_id, reviews_per_month from review_agg", "review_agg"))
+    "select business_id, reviews_per_month from review_facts_all", "review_facts_all"))
 def agg11(spark, d):
-    return M.review_aggregates(E.reviews(spark, d)).select("business_id", "reviews_per_month")
+    return M.review_aggregates(E.reviews_all(spark, d)).select("business_id", "reviews_per_month")
 
 
-@query("agg12_group_by_derived_keys", with_ctes("select * from stg_checkins", "stg_checkins"))
+@query("agg12_group_by_derived_keys", """
+    select cast(year(o_orderdate) as integer) as order_year, cast(quarter(o_orderdate) as integer) as order_quarter,
+           o_totalprice >= 100000 as large, count(*) as n
+    from orders group by all""")
 def agg12(spark, d):
-    return E.checkins(spark, d)
+    o = _t(spark, d, "orders")
+    return o.groupBy(F.year("o_orderdate").alias("order_year"), F.quarter("o_orderdate").alias("order_quarter"),
+                     (F.col("o_totalprice") >= 100000).alias("large")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("agg13_group_by_three_keys", with_ctes(

@@ -3,6 +3,7 @@ AGG15, FLT9-FLT11) and the order rules (ORD1-ORD6)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from merchlens.functions import rules
@@ -10,7 +11,7 @@ from merchlens.operators import orders as O
 from merchlens.operators import reports as R
 from merchlens.plans import entities as E
 from merchlens.plans.catalog import query
-from merchlens.plans.oracle import mean, sql_keyword_any, with_ctes
+from merchlens.plans.oracle import PARTS, any_of, mean, with_ctes
 from merchlens.sources import adapters
 
 # Parameters of the documented ad-hoc queries on the test tables.
@@ -76,7 +77,7 @@ def bi6(spark, d):
 
 @query("bi7_recent_retention", with_ctes(
     f"""select cohort_month, cohort_label, months_since_cohort, retention_rate_pct,
-           {rules.RETENTION_REFERENCE_PCT}::double as reference_pct from {RT}
+           20.0::double as reference_pct from {RT}
     where cohort_month in (select distinct cohort_month from {RT} order by 1 desc limit 6)""", RT))
 def bi7(spark, d):
     return R.recent_retention(E.retention(spark, d))
@@ -152,6 +153,17 @@ def srt3(spark, d):
     return R.state_cuisine_merchants(E.performance(spark, d), REPORT_STATE, REPORT_CUISINE)
 
 
+@query("srt7_weekday_and_tier_order", with_ctes(
+    f"""select *, row_number() over (order by list_position(['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday'], order_day_of_week),
+                                  performance_tier desc) as place
+    from (select order_day_of_week, performance_tier, count(*) as n from {OPS} group by all)""", OPS))
+def srt7(spark, d):
+    """Weekdays from Monday, tiers from the highest; ``place`` numbers the few grouped rows in that order."""
+    few = E.delivery_ops(spark, d).groupBy("order_day_of_week", "performance_tier").agg(F.count(F.lit(1)).alias("n"))
+    day = F.array_position(F.lit(list(rules.WEEKDAYS)), F.col("order_day_of_week"))
+    return few.withColumn("place", F.row_number().over(Window.orderBy(day, F.desc("performance_tier"))).cast("long")).orderBy("place")
+
+
 @query("srt4_top10_states_merchants", with_ctes(
     f"""select * from {P} where state in (select state from {P} group by 1
                                           order by count(*) desc, state limit 10)""", P))
@@ -197,7 +209,7 @@ def flt11(spark, d):
 
 @query("ord1_food_merchant_ids", with_ctes(
     f"select business_id from raw_businesses where "
-    f"{sql_keyword_any('coalesce(categories, '')', rules.PART_KEYWORDS)}", "raw_businesses"))
+    f"{any_of('coalesce(categories, \'\')', PARTS)}", "raw_businesses"))
 def ord1(spark, d):
     E.prepare(spark)
     return O.food_merchant_ids(adapters.raw_businesses(spark, d), rules.PART_KEYWORDS)
@@ -256,7 +268,7 @@ def ord5(spark, d):
     f"""select min(order_date) as min_order_date, max(order_date) as max_order_date,
            count(distinct business_id) as unique_merchants,
            avg(case when order_status = 'cancelled' then 1.0::double else 0.0::double end) as cancel_share,
-           round({mean('cast(order_total_usd as double)', 2)}, 2) as avg_order_total,
+           round({mean('cast(order_total_usd as double)')}, 2) as avg_order_total,
            avg(case when order_status = 'delivered' then cast(is_on_time as double) end) as on_time_share,
            avg(case when order_status = 'delivered' then cast(actual_delivery_min as double) end)
                as avg_delivery_min

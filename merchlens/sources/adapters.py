@@ -85,16 +85,15 @@ def checkin_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_checkin_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Check-in documents in the source's shape: business_id plus a
-    comma-separated list of stamps. One document per (business, minute), so
-    a document holds at most one minute of a merchant's check-ins and never
-    grows with a busy merchant's whole history."""
+    comma-separated list of stamps. One document per (business, day): long lists, and bounded by a day
+    of one merchant, not by its whole history."""
     e = checkin_events(spark, sf_dir)
-    return e.groupBy("business_id", F.date_trunc("minute", "checkin_at").alias("__h")).agg(
+    return e.groupBy("business_id", F.col("checkin_at").cast("date").alias("__day")).agg(
         F.array_join(
             F.sort_array(F.collect_list(F.date_format("checkin_at", "yyyy-MM-dd HH:mm:ss"))),
             ", ",
         ).alias("date")
-    ).drop("__h")
+    ).drop("__day")
 
 
 def order_key():

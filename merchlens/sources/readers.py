@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchlens.functions import rules
-from merchlens.sources import schemas
+from merchlens.sources import schemas, sinks
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -62,46 +62,69 @@ def bronze_checkins(raw: DataFrame, source_file: str = "checkin.json",
     )
 
 
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """Header CSV with ``"`` quoting and doubling; quoted values may hold line breaks."""
+    return (
+        spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
+        .option("multiLine", True).option("nullValue", "\u0000").option("emptyValue", "").csv(path)
+    )
+
+
 def read_csv_with_null_tokens(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType,
     null_tokens: Sequence[str] = rules.CSV_NULL_TOKENS,
 ) -> DataFrame:
-    """Header CSV with ``"`` quoting where any of several tokens means NULL.
-
-    Every column is read as text (``nullValue`` accepts one token only), the
-    tokens are mapped to NULL, then each column is cast to its declared type.
-    """
-    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (
-        spark.read.schema(text_schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "\u0000")
-        .option("emptyValue", "")
-        .csv(path)
-    )
+    """CSV where any of several tokens means NULL, loaded strictly: a value that does not fit its column's type
+    stops the load, as does a fraction in a whole-number column (``15.0`` is 15).
+
+    Every column is read as text (``nullValue`` accepts one token only), the tokens are mapped to NULL, then each
+    column is cast to its declared type."""
+    raw = read_csv(spark, path, T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
     cols: list[Column] = []
     for f in schema.fields:
-        c = F.col(f.name)
-        c = F.when(c.isin(*null_tokens), F.lit(None)).otherwise(c)
-        if isinstance(f.dataType, T.StringType):
-            cols.append(c.alias(f.name))
-        elif isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType)):
-            # integral columns may arrive as "15.0" from float-typed exports
-            cols.append(c.try_cast(T.DecimalType(38, 10)).try_cast(f.dataType).alias(f.name))
-        else:
-            cols.append(c.try_cast(f.dataType).alias(f.name))
+        c = F.when(~F.col(f.name).isin(*null_tokens), F.col(f.name))
+        if isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType)):
+            # whole numbers may arrive as "15.0" from float-typed exports
+            d = c.cast(T.DecimalType(38, 10))
+            bad = F.raise_error(F.concat(F.lit(f"{f.name}: not a whole number: "), c)).cast(f.dataType)
+            c = F.when(d.isNull() | (d == F.floor(d)), d.cast(f.dataType)).otherwise(bad)
+        elif not isinstance(f.dataType, T.StringType):
+            c = c.cast(f.dataType)
+        cols.append(c.alias(f.name))
     return raw.select(*cols)
 
 
-def read_mart_csv(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+def read_mart_csv(spark: SparkSession, path: str | list[str], contract: T.StructType) -> DataFrame:
     return read_csv_with_null_tokens(spark, path, contract)
 
 
+# ---- batch ingest by path: scan, lineage, bronze table
+
+def ingest_businesses(spark: SparkSession, src: str, dest: str) -> int:
+    """JSON lines -> bronze, a folder per state. Returns the rows written."""
+    return sinks.write_partitioned(bronze_businesses(read_json(spark, src, schemas.RAW_BUSINESS), src), dest, "state")
+
+
+def ingest_reviews(spark: SparkSession, src: str, dest: str) -> int:
+    """JSON lines -> bronze, a folder per review year."""
+    return sinks.write_partitioned(bronze_reviews(read_json(spark, src, schemas.RAW_REVIEW), src), dest, "review_year")
+
+
+def ingest_checkins(spark: SparkSession, src: str, dest: str) -> int:
+    """JSON lines -> bronze, a row per check-in."""
+    return sinks.write_table(bronze_checkins(read_json(spark, src, schemas.RAW_CHECKIN), src), dest)
+
+
+def ingest_folder(spark: SparkSession, src: str, dest: str) -> dict[str, int]:
+    """``business``, ``review`` and ``checkin`` below ``src`` into bronze tables below ``dest``."""
+    steps = {"businesses": (ingest_businesses, "business"), "reviews": (ingest_reviews, "review"), "checkins": (ingest_checkins, "checkin")}
+    return {name: step(spark, f"{src}/{folder}", f"{dest}/{name}") for name, (step, folder) in steps.items()}
+
+
 __all__ = [
     "read_json", "read_parquet", "with_lineage", "bronze_businesses", "bronze_reviews",
-    "bronze_checkins", "read_csv_with_null_tokens", "read_mart_csv", "schemas",
+    "bronze_checkins", "read_csv", "read_csv_with_null_tokens", "read_mart_csv", "schemas",
+    "ingest_businesses", "ingest_reviews", "ingest_checkins", "ingest_folder",
 ]

@@ -85,3 +85,63 @@ MART_RETENTION = T.StructType([
     T.StructField("retained_users", T.LongType()),
     T.StructField("retention_rate_pct", T.DoubleType()),
 ])
+
+def _contract(text: str) -> T.StructType:
+    """``name type`` pairs, one a line."""
+    kinds = {"string": T.StringType(), "long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType()}
+    return T.StructType([T.StructField(n, kinds[k]) for n, k in (line.split() for line in text.strip().splitlines())])
+
+
+MART_PERFORMANCE = _contract("""
+business_id long
+business_name string
+city string
+state string
+primary_cuisine string
+latitude double
+longitude double
+is_open boolean
+listing_stars double
+avg_review_stars double
+total_reviews long
+reviews_per_month double
+total_checkins long
+active_checkin_days long
+positive_review_ratio double
+active_years long
+composite_score double
+performance_tier long
+state_performance_tier long
+tier_label string
+is_elite_merchant boolean
+is_closed boolean
+""")
+
+MART_DELIVERY = _contract("""
+business_id long
+business_name string
+city string
+state string
+primary_cuisine string
+performance_tier long
+tier_label string
+order_month date
+order_day_of_week string
+total_orders long
+delivered_orders long
+cancelled_orders long
+fulfillment_rate double
+on_time_rate double
+avg_delivery_min double
+p90_delivery_min double
+total_gmv_usd double
+avg_order_value_usd double
+total_delivery_fees_usd double
+_is_synthetic_data boolean
+""")
+
+#: The load contracts by mart.
+CONTRACTS = {
+    "merchant_performance": MART_PERFORMANCE, "cuisine_market_share": MART_MARKET_SHARE,
+    "reviewer_cohort_retention": MART_RETENTION, "delivery_operations": MART_DELIVERY,
+}

@@ -16,6 +16,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from merchlens.session import scratch_path
+
+
+#: Slices per partition value of a clustered layout.
+SLICES = 4
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: Sequence[str] = (), mode: str = "overwrite") -> int:
@@ -37,6 +43,12 @@ def write_partitioned_by_derived(df: DataFrame, path: str, name: str, expr,
     return write_table(df.withColumn(name, expr), path, fmt, partition_by=[name])
 
 
+def write_partitioned(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> int:
+    """A folder per value in files of even size: Spark rebalances by the value, joining small values and splitting hot
+    ones at run time, without a sort and without a second scan to sample ranges."""
+    return write_table(df.hint("rebalance", partition_col), path, fmt, partition_by=[partition_col])
+
+
 def write_layout(df: DataFrame, path: str, partition_col: str, cluster_cols: Sequence[str],
                  tiebreak: Sequence[str] = (), num_partitions: int | None = None,
                  fmt: str = "parquet") -> int:
@@ -44,14 +56,18 @@ def write_layout(df: DataFrame, path: str, partition_col: str, cluster_cols: Seq
     inside each file, so a partition filter prunes folders and a cluster
     filter skips row groups by min/max statistics.
 
-    Rows are range-partitioned on (partition_col, cluster_cols, tiebreak):
-    each task holds a contiguous sorted slice, so a state writes a handful of
-    large files instead of one small file per task, and a state holding a
-    third of the rows is split across many tasks instead of one."""
+    Rows are range-partitioned on (partition_col, cluster_cols, tiebreak): each task holds a contiguous
+    sorted slice, several slices per value, so a cluster filter skips whole files by their minima and maxima, and a
+    value with a third of the rows is split across many tasks. The frame is stored first, as counting values
+    and sampling ranges read it too."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at = scratch_path(spark, "layout")
+    df.write.parquet(at)
+    stored = spark.read.parquet(at)
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              SLICES * stored.agg(F.approx_count_distinct(partition_col)).first()[0])
     keys = [partition_col, *cluster_cols, *tiebreak]
-    laid = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    laid = stored.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     return write_table(laid, path, fmt, partition_by=[partition_col])
 
 
@@ -80,6 +96,7 @@ def export_csv(df: DataFrame, path: str, null_value: str = "") -> int:
     obs = Observation(f"csv_{uuid.uuid4().hex[:8]}")
     (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
      .option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("nullValue", null_value).option("emptyValue", '""').csv(path))
     return int(obs.get.get("rows", 0))
 

@@ -51,6 +51,15 @@ def test_taxonomy_rule_order_and_substrings(spark):
     assert dev == ["Pizza", "Barbers, Food", "Bars", "Hardware", None]
 
 
+def test_every_arm_of_the_taxonomies(spark):
+    for arms in (rules.CUISINE_RULES, rules.DEV_CUISINE_RULES):
+        df = spark.createDataFrame([(i, " ".join(words).upper()) for i, (_, words) in enumerate(arms)], "i int, c string")
+        got = {r.i: r.k for r in df.select("i", C.taxonomy("c", arms).alias("k")).collect()}
+        assert got == {i: label for i, (label, _) in enumerate(arms)}
+    df = spark.createDataFrame([(w,) for w in rules.FOOD_KEYWORDS], "c string")
+    assert df.filter(C.keyword_any("c", rules.FOOD_KEYWORDS)).count() == 16 and len(rules.ORDER_FOOD_KEYWORDS) == 15
+
+
 def test_keyword_any_drops_null_text(spark):
     df = spark.createDataFrame([("Pizza Place",), ("Hardware",), (None,)], "c string")
     assert df.filter(C.keyword_any("c", rules.FOOD_KEYWORDS)).count() == 1

@@ -52,6 +52,38 @@ def test_csv_null_tokens(spark):
     assert got[1].months_since_cohort == 1
 
 
+def test_csv_keeps_breaks_quotes_and_commas(spark):
+    rows = [(1, 'two\nlines, a "quote"'), (2, " spaces around "), (3, "a\r\nb"), (4, '"'), (5, "x,y"), (6, None), (7, "")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    path = scratch_path(spark, "t-csv-breaks")
+    sinks.export_csv(df, path, null_value="None")
+    got = sorted(tuple(r) for r in readers.read_csv_with_null_tokens(spark, path, df.schema, null_tokens=("None",)).collect())
+    assert got == rows
+
+
+def test_a_bad_number_stops_the_load(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("x", T.DoubleType())])
+    for text, fine in (("15.0,1.5", True), ("15.7,1", False), ("abc,1", False), ("1,abc", False), ("NULL,None", True)):
+        path = scratch_path(spark, "t-csv-strict")
+        os.makedirs(local(path))
+        with open(os.path.join(local(path), "part.csv"), "w") as f:
+            f.write(f"n,x\n{text}\n")
+        df = readers.read_csv_with_null_tokens(spark, path, schema)
+        if fine:
+            assert df.count() == 1 and df.first().n in (15, None)
+        else:
+            with pytest.raises(PySparkException):
+                df.collect()
+
+
+def test_contracts_have_published_widths():
+    assert {k: len(v.fields) for k, v in schemas.CONTRACTS.items()} == {
+        "merchant_performance": 22, "cuisine_market_share": 13, "reviewer_cohort_retention": 6, "delivery_operations": 20}
+
+
 def test_layout_prunes_partitions_and_pushes_filters(spark):
     df = spark.createDataFrame([(i, ["PA", "AZ", "NV"][i % 3], ["Pizza", "Thai"][i % 2], float(i))
                                 for i in range(300)], "business_id long, state string, primary_cuisine string, s double")
@@ -86,3 +118,4 @@ def test_layout_pruning_reads_fewer_rows(spark):
     d = layout_pruning(spark, SF_SMALL, "NATION_1", "Parts")
     assert d["state_filter_rows_scanned_partitioned"] < d["state_filter_rows_scanned_flat"]
     assert d["state_filter_rows_scanned_flat"] == d["mart_rows"]
+    assert d["state_cuisine_rows_scanned_partitioned_clustered"] <= d["state_filter_rows_scanned_partitioned"]

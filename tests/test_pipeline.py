@@ -16,6 +16,37 @@ def test_pipeline_runs_and_exports(spark):
     assert man["reviewer_cohort_retention"][1] == 6 and man["delivery_operations"][1] == 20
     assert man["merchant_performance"][0] == out["merchant_performance"].count()
     assert out["silver_checks"].filter("not success").count() == 0
+    assert out["mart_checks"].count() == 18 and out["mart_checks"].filter("not success").count() == 0
+    floor = PL.testdata_config().review_min_date
+    assert out["reviewer_cohort_retention"].filter(f"cohort_month < '{floor}'").count() == 0
+
+
+def test_mart_tests_stop_before_export(spark):
+    import os
+
+    cfg = PL.testdata_config()
+    cfg.mart_tests = {"cuisine_market_share": [PL.quality.in_set("state", ["NATION_1"])]}
+    dest = scratch_path(spark, "t-pipe-mart")
+    with pytest.raises(QualityGateError):
+        PL.run_pipeline(spark, PL.raw_inputs_from_tables(spark, SF_SMALL), dest, cfg)
+    local = dest.removeprefix("file:")
+    assert os.path.exists(f"{local}/gold") and not os.path.exists(f"{local}/exports")
+
+
+def test_run_from_folders(spark):
+    from merchlens.sources import sinks
+
+    raw, src = PL.raw_inputs_from_tables(spark, SF_SMALL), scratch_path(spark, "t-landed")
+    text_ids = lambda df, *cols: df.withColumns({c: df[c].cast("string") for c in cols})
+    text_ids(raw.businesses, "business_id").write.json(f"{src}/business")
+    text_ids(raw.reviews.drop("review_date"), "review_id", "user_id", "business_id").write.json(f"{src}/review")
+    text_ids(raw.checkins, "business_id").write.json(f"{src}/checkin")
+    text_ids(raw.orders, "business_id").write.parquet(f"{src}/orders")
+    out = PL.run_from_folders(spark, src, scratch_path(spark, "t-run"), PL.testdata_config())
+    assert out["manifest"].count() == 4
+    counts = PL.readers.ingest_folder(spark, src, dest := scratch_path(spark, "t-bronze"))
+    assert counts["businesses"] == raw.businesses.count() and counts["reviews"] == raw.reviews.count()
+    assert sinks.read_back(spark, f"{dest}/checkins").count() == counts["checkins"] > raw.checkins.count()
 
 
 def test_gate_stops_before_gold(spark):

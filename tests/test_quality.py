@@ -37,6 +37,31 @@ def test_row_checks_run_in_one_aggregate(spark, df):
     assert plan.count("HashAggregate") <= 2  # partial + final of one aggregate
 
 
+def test_uniqueness_shares_the_pass(spark, df):
+    checks = [Q.not_null("name"), Q.unique("id"), Q.between("v", 1.0, 5.0), Q.row_count(1, None)]
+    res = Q.run_suite(df, "t", checks)
+    assert res._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    assert {(r.check_name, r.observed, r.total_rows) for r in res.collect()} == {
+        ("not_null", 1, 5), ("unique", 2, 5), ("between", 2, 5), ("row_count", 5, 5)}
+    empty = {r.check_name: (r.observed, r.success) for r in Q.run_suite(df.limit(0), "t", checks).collect()}
+    assert empty == {"not_null": (0, True), "unique": (0, True), "between": (0, True), "row_count": (0, False)}
+
+
+def test_a_broken_suite_is_a_failed_row(spark, df, tmp_path):
+    late = df.selectExpr("id", "raise_error('broken on the way') as name")
+    suites = [("good", df, [Q.row_count(1, None)]), ("no column", df, [Q.not_null("nope")]), ("late", late, [Q.not_null("name")])]
+    got = {r.table_name: r for r in Q.evaluate(suites, str(tmp_path)).collect()}
+    assert got["good"].success and not got["no column"].success and got["late"].check_name == "suite_error"
+    lazy = {r.table_name: r.success for r in Q.run_suites(suites[:2]).collect()}
+    assert lazy == {"good": True, "no column": False}
+
+
+def test_error_counts_all_failures(spark, df):
+    bad = Q.run_suite(df, "t", [Q.not_null("name"), Q.not_null("s"), Q.not_null("v")])
+    with pytest.raises(Q.QualityGateError, match="3 checks"):
+        Q.enforce(bad, shown=1)
+
+
 def test_suites_have_published_sizes():
     assert len(Q.suite_businesses()) == 11
     assert len(Q.suite_reviews()) == 8
