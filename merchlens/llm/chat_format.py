@@ -204,3 +204,38 @@ def op1_chat_format(spark, sf_dir: str) -> DataFrame:
     at = scratch_path(spark, "formatted")
     format_conversations(rows.unionByName(extra)).write.parquet(at)
     return digest_segments(spark.read.parquet(at))
+
+
+def _escaped_sql(col: str) -> str:
+    """No two marks of the template overlap, so they can be broken one after the other."""
+    out = f"replace({col}, '\\', '\\\\')"
+    for mark in TEMPLATE.controls:
+        out = f"replace({out}, '{mark}', '{mark[0]}\\{mark[1:]}')"
+    return out
+
+
+_KNOWN = " ".join(f"when '{role}' then {len(before) + len(after)}" for role, (before, after) in TEMPLATE.marks.items())
+_OTHER = sum(map(len, TEMPLATE.other))
+OP1_SQL = f"""
+with said as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, role is null as no_role, text is null as no_text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]', false, false union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]', false, false
+), placed as (
+  select *, row_number() over w - 1 as place, lag(role, 1, 'start') over w as before, lead(role, 1, 'end') over w as next
+  from said window w as (partition by conv_id order by turn nulls first, no_role desc, role, no_text desc, text)
+), judged as (
+  select *, case before when 'start' then role in ('system', 'user') when 'system' then role = 'user' when 'user' then role = 'assistant'
+                 when 'assistant' then role = 'user' else false end as fits,
+         length({_escaped_sql('text')}) + case role {_KNOWN} else {_OTHER} + length({_escaped_sql('role')}) end as chars
+  from placed
+), folded as (
+  select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by place)) as turns_sha256,
+         coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+         sha256(coalesce(string_agg(text, '' order by place) filter (where role = 'assistant'), '')) as loss_sha256, sum(chars)::bigint as formatted_chars,
+         min(place) filter (where not fits) as bad, last(role order by place) as ending
+  from judged group by conv_id
+)
+select conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, bad is null and ending = 'assistant' as valid,
+       coalesce(bad, case when ending <> 'assistant' then n_turns end) as first_bad_turn
+from folded
+"""

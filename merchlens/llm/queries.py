@@ -20,6 +20,9 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_chat_format": chat_format.OP1_SQL,
+    "op2_warc": warc.OP2_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op6_quality_rules": quality_rules.OP6_SQL,
+    "op8_secrets": secrets.OP8_SQL,
 }

@@ -178,3 +178,43 @@ def op8_secrets(spark, sf_dir: str) -> DataFrame:
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
         F.sha2(spelled(base), 256).alias("base_sha256"), spelled(F.col("secrets.spans")).alias("spans"),
     )
+
+
+def _places_sql(kind: int, pattern: str, value: str = "2", least: int = 0) -> str:
+    """Matches with their places: pieces between matches, added up."""
+    quoted = pattern.replace("'", "''")
+    group = f"regexp_extract_all(t, '{quoted}', {value})" if least else f"regexp_extract_all(t, '{quoted}')"
+    return f"""
+  select r, {kind} as kind, m, v, e - length(m) as s, e
+  from (select r, m, v, sum(length(g) + length(m)) over (partition by r order by i) as e
+        from (select r, unnest(regexp_extract_all(t, '{quoted}')) as m, unnest({group}) as v,
+                     unnest(regexp_split_to_array(t, '{quoted}')[1 : len(regexp_extract_all(t, '{quoted}'))]) as g,
+                     unnest(range(len(regexp_extract_all(t, '{quoted}')))) as i
+              from texts where regexp_matches(t, '{quoted}')))
+  where length(v) >= {least}"""
+
+
+_LIMIT_SQL = " ".join(f"when regexp_matches(m, '{pattern}') then {sum_limit(bits)}" for _, pattern, bits in CLASSES)
+_ALLOW_SQL = " or ".join(f"regexp_matches(m, '{pattern}')" for pattern in ALLOW)
+_WINDOWS_SQL = f"""
+  select r, c.s, i, ({' + '.join(f"{term} * len(list_filter(list_distinct(string_split(substr(m, i + 1, {WINDOW}), '')), lambda x: length(substr(m, i + 1, {WINDOW})) - length(replace(substr(m, i + 1, {WINDOW}), x, '')) = {n}))" for n, term in enumerate(TERMS) if term)}) as total,
+         case {_LIMIT_SQL} end as most
+  from (select *, unnest(range(length(m) - {WINDOW - 1})) as i from candidates) c"""
+OP8_SQL = f"""
+with texts as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+base as ({_places_sql(0, ASSIGN, "2", ASSIGN_MIN)} union all {_places_sql(1, ACCESS)} union all {_places_sql(2, HEX.replace("(?<![0-9a-f])", ""))}),
+candidates as (
+  select r, m, s, e from ({_places_sql(3, "[A-Za-z0-9+/_-]{%d,}" % WINDOW)}) c
+  where regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]') and not (length(m) <= {ALLOW_MAX} and ({_ALLOW_SQL}))
+    and not exists (select 1 from base b where b.r = c.r and b.s < c.e and c.s < b.e)
+),
+spans as (
+  select r, kind, s, e from base
+  union all select r, 3, s + min(i), s + max(i) + {WINDOW} from ({_WINDOWS_SQL}) where total <= most group by r, s
+),
+named as (select *, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || s::bigint || ':' || e::bigint as said from spans)
+select doc_id, count(*) filter (where kind = 0) as n_assign, count(*) filter (where kind = 1) as n_access, count(*) filter (where kind = 2) as n_hex,
+       sha256(coalesce(string_agg(said, ',' order by s, kind) filter (where kind < 3), '')) as base_sha256,
+       coalesce(string_agg(said, ',' order by s, kind), '') as spans
+from texts left join named using (r) group by texts.r, doc_id
+"""

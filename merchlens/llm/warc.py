@@ -211,3 +211,18 @@ def op2_warc(spark, sf_dir: str) -> DataFrame:
     write_archives(with_references(spark.read.parquet(f"{sf_dir}/pages.parquet")), f"{uri}/streams").write.parquet(rough)
     normalise(spark.read.parquet(rough), f"{uri}/streams", f"{uri}/members").write.parquet(clean)
     return read_archives(spark.read.parquet(clean), f"{uri}/members")
+
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+OP2_SQL = f"""
+with hashed as (
+  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages
+), groups as (
+  select h, max(page_id) as keep, count(*) as n from hashed group by h
+)
+select page_id, octet_length(encode(html))::bigint as payload_bytes,
+       list_reduce(list_transform(range(0, 32), lambda i: substr('{_BASE32}', ((('0x' || substr(h, (i // 4)::int * 5 + 1, 5))::int >> ((3 - i % 4) * 5)::int) & 31) + 1, 1)), lambda a, b: a || b) as payload_digest,
+       case when n > 1 and page_id is distinct from keep then 'revisit' else 'response' end as record_type,
+       case when n > 1 and page_id is distinct from keep then keep end as refers_to
+from hashed join groups using (h)
+"""

@@ -1,8 +1,11 @@
+import random
+
 import duckdb
+import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from merchlens.llm import decontaminate, order_minhash, quality_rules, secrets
+from merchlens.llm import decontaminate, order_minhash, queries, secrets
 from tests.conftest import SF_MID, SF_SMALL
 
 
@@ -48,11 +51,23 @@ def test_registered():
     assert "pipeline" in names and all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 11))
 
 
-def test_sql_equals_queries(spark):
+@pytest.mark.parametrize("key", sorted(queries.ORACLE_SQL))
+def test_sql_equals_queries(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations", "pages"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
-    for build, sql in ((decontaminate.op5_decontaminate, decontaminate.OP5_SQL), (quality_rules.op6_quality_rules, quality_rules.OP6_SQL)):
-        df = build(spark, SF_SMALL)
-        want = con.execute(f"select {', '.join(df.columns)} from ({sql})").fetchall()
-        assert sorted(map(tuple, df.collect())) == sorted(want)
+    df = queries.QUERIES[key](spark, SF_SMALL)
+    want = con.execute(f"select {', '.join(df.columns)} from ({queries.ORACLE_SQL[key]})").fetchall()
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
+
+
+def test_sql_of_secrets_on_tricky_texts(spark):
+    rng = random.Random(9)
+    pool = ["password", "SECRET", "token", "=", ": ", '"', " ", "é", "AKIA", "ABCDEF0123", "0123456789abcdef", "Zk3Vq8LmT1", "rB7yWcP5sD0aHj", "-", "/", "\n", "example"]
+    rows = [(i, "".join(rng.choice(pool) for _ in range(rng.randrange(0, 30)))) for i in range(200)] + [(500, None)]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    want = con.execute(f"select doc_id, spans from ({secrets.OP8_SQL})").fetchall()
+    got = secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", secrets.spelled(secrets.F.col("secrets.spans")))
+    assert sorted(map(tuple, got.collect())) == sorted(want) and any("entropy" in s for _, s in want)
