@@ -12,9 +12,10 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from merchlens.session import build_session
+    from merchlens.session import build_session, clear_scratch
 
     s = build_session("local[4]", app_name="merchlens-tests", shuffle_partitions=4)
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    clear_scratch(s)
     s.stop()
