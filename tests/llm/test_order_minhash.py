@@ -57,6 +57,13 @@ def test_classes_equal_brute_force(spark):
     assert sum(r.kept for r in got) == len(set(by.values()))
 
 
+def test_large_buckets_are_split(spark, monkeypatch):
+    monkeypatch.setattr(q, "MOST", 6)
+    rows = corpus(seed=11, families=6) + [(1000 + i, t) for i, (_, t) in enumerate(corpus(seed=11, families=6))]
+    got = {r.doc_id: r.class_id for r in q.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert partition([got[i] for i, _ in rows]) == partition(brute(rows))
+
+
 def test_odd_rows(odd):
     got = q.near_duplicates(odd).collect()
     assert len(got) == odd.count()
