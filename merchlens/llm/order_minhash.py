@@ -5,11 +5,10 @@ that no two are equal. One sketch takes the ``ORDER`` labelled shingles of least
 them in text order; two texts share it when those shingles and their order agree, which
 follows edit similarity, not only set overlap. ``SKETCHES`` sketches are the keys of buckets.
 
-Candidates are stars, not pairs: the members of a bucket with its most connected member, and in
-buckets of more than two also within the members that share a further sketch. So a round's number
-of candidates is linear in members, whatever the size of a bucket, and no bucket is cut or skipped. Buckets
-that still hold several components get another star, round by round, until a round finds no link. A
-candidate is verified by banded alignment: the longest common subsequence of the two shingle sequences
+Candidates are stars, not pairs: the members of a bucket with its most connected member. So their number is linear in
+members, whatever the size of a bucket. Buckets that still hold several components are gone through again: each
+member with the most alike member of every other component, if they share ``AGREE`` least shingles. No bucket is cut or skipped. A candidate is
+verified by banded alignment: the longest common subsequence of the two shingle sequences
 among places at most (1 - ``SIMILARITY``) of the longer text apart; it is a link when that has at least
 ``SIMILARITY`` of the longer text's shingles. As labelled shingles are unique, the alignment is
 a longest increasing subsequence of places, n log n. Classes are the connected components of links,
@@ -27,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,10 @@ SHINGLE = 5
 SKETCHES = 24
 ORDER = 3
 SIMILARITY = 0.8
+#: Marks (least shingles) that a pair between components shares: two texts at the limit share 16 of 24 on average, fewer than 10 twice in 1000 pairs.
+AGREE = 10
+#: Rows of a bucket that are compared with each other at a time.
+MOST = 4096
 #: Hashes held at a time for one text.
 BLOCK = 1 << 21
 
@@ -68,10 +72,10 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return mix(total + label * np.uint64(0x632BE59BD9B4E019))
 
 
-def sketch(keys: np.ndarray, n: int = SKETCHES, order: int = ORDER) -> np.ndarray:
-    """``n`` hashes, each of the ``order`` least keys under its own hash order, taken in text order."""
+def sketch(keys: np.ndarray, n: int = SKETCHES, order: int = ORDER) -> tuple[np.ndarray, bytes]:
+    """``n`` hashes, each of the ``order`` least keys under its own hash order, taken in text order; and a byte of each order's least key."""
     take, salts = min(order, len(keys)), seeds(n, 17)
-    out = np.empty(n, np.uint64)
+    out, marks = np.empty(n, np.uint64), np.empty(n, np.uint8)
     step = max(1, BLOCK // len(keys))
     for first in range(0, n, step):
         salt = salts[first : first + step, None]
@@ -82,9 +86,10 @@ def sketch(keys: np.ndarray, n: int = SKETCHES, order: int = ORDER) -> np.ndarra
         for i in range(take):
             at[:, i] = rank.argmin(axis=1)
             rank[rows, at[:, i]] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        marks[first : first + step] = keys[at[:, 0]].astype(np.uint8)
         at.sort(axis=1)
         out[first : first + step] = mix((keys[at] * _ORDERS[:take]).sum(axis=1, dtype=np.uint64) + salt[:, 0])
-    return out
+    return out, marks.tobytes()
 
 
 def increasing(places: np.ndarray) -> int:
@@ -120,57 +125,108 @@ def _digest(words: np.ndarray, raw: bytes) -> int:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, node, n, keys): the text's digest, its number of shingles, its sketches."""
+    """(doc_id, text_key, node, n, keys, marks): the text's digest, its number of shingles, its sketches and their marks."""
     def run(batches):
         for batch in chunks(batches):
             texts = raw_texts(batch)
             words = Words(texts)
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, keys, marks = [], [], [], []
             for i, raw in enumerate(texts):
                 own = words.hash[words.first[i] : words.first[i + 1]]
                 parts = shingles(own.astype(np.uint32))
                 nodes.append(_digest(own, raw or b""))
                 sizes.append(len(parts))
-                keys.append(sketch(parts).view(np.int64) if len(parts) else [])
+                own_keys, own_marks = sketch(parts) if len(parts) else (np.zeros(0, np.uint64), b"")
+                keys.append(own_keys.view(np.int64))
+                marks.append(own_marks)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "text_key", "node", "n", "keys"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
+                ["doc_id", "text_key", "node", "n", "keys", "marks"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
-    return source.mapInArrow(run, "doc_id bigint, text_key bigint, node bigint, n bigint, keys array<bigint>")
+    return source.mapInArrow(run, "doc_id bigint, text_key bigint, node bigint, n bigint, keys array<bigint>, marks binary")
 
 
 def members(nodes: DataFrame) -> DataFrame:
-    """(key, node, n, hub): rows of buckets that several nodes share; nodes: (node, n, keys). Buckets of more than two are also split
-    by a further sketch. ``hub`` adds up the sizes of a node's buckets: an original shares more than its variants do."""
-    size = F.size("keys")
-    turned = F.transform("keys", lambda k, i: F.struct(
-        k.alias("key"), F.get(F.col("keys"), (i + 1) % size).alias("next"), F.get(F.col("keys"), (i + 5) % size).alias("later")))
-    rows = nodes.select("node", "n", F.explode(turned).alias("k")).select("node", "n", "k.*")
+    """(key, node, n, marks, hub): rows of buckets that several nodes share; nodes: (node, n, keys, marks). ``hub`` adds up the sizes of a node's buckets: an original shares more than its variants do."""
+    rows = nodes.select("node", "n", "marks", F.explode("keys").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = _stored(rows.join(sizes, "key"), "buckets")
+    hubs = shared.groupBy("node").agg(F.sum("size").alias("hub"))
+    return _stored(shared.drop("size").join(hubs, "node"), "members")
 
-    def shared(found: DataFrame) -> DataFrame:
-        return found.join(found.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "key")
 
-    whole = _stored(shared(rows), "buckets")
-    hubs = whole.groupBy("node").agg(F.sum("size").alias("hub"))
-    split = whole.filter("size > 2").select("node", "n", F.explode(F.array(F.xxhash64("key", "next"), F.xxhash64("key", F.col("later"), F.lit(1)))).alias("key"))
-    both = whole.select("key", "node", "n").unionByName(shared(split).select("key", "node", "n"))
-    return _stored(both.join(hubs, "node"), "members")
+def stars(rows: DataFrame) -> DataFrame:
+    """(node, head, root, head_root): each member of a bucket with the bucket's best connected member, if of like length; each pair once."""
+    heads = rows.groupBy("key").agg(F.max(F.struct("hub", "node", "n")).alias("head"))
+    short, long = F.least("n", "head.n"), F.greatest("n", "head.n")
+    found = rows.join(heads, "key").filter((F.col("node") != F.col("head.node")) & (short >= SIMILARITY * long))
+    return found.select("node", F.col("head.node").alias("head"), F.col("node").alias("root"), F.col("head.node").alias("head_root")).distinct()
+
+
+def _best_across(node, root, n, marks, first: int) -> list[np.ndarray]:
+    """Rows ``first`` on of a bucket against those before and among them: for each and each other component, the member that
+    shares most marks, ``AGREE`` at least, of like length. Arrays node, head, root, head_root."""
+    out = []
+    for low in range(first, len(node), 512):
+        own = slice(low, min(low + 512, len(node)))
+        upto = own.stop
+        agree = np.zeros((own.stop - low, upto), np.int16)
+        for i in range(marks.shape[1]):
+            agree += marks[own, i, None] == marks[None, :upto, i]
+        fits = (agree >= AGREE) & (root[own, None] != root[None, :upto]) & (np.minimum(n[own, None], n[None, :upto]) >= SIMILARITY * np.maximum(n[own, None], n[None, :upto]))
+        a, b = np.nonzero(fits)
+        order = np.lexsort((-agree[a, b], root[b], a))
+        a, b = a[order], b[order]
+        best = np.concatenate([[True], (a[1:] != a[:-1]) | (root[b][1:] != root[b][:-1])])[: len(a)]
+        a, b = a[best] + low, b[best]
+        out.append(np.stack([node[a], node[b], root[a], root[b]]))
+    return out
 
 
-def stars(rows: DataFrame, waiting: DataFrame) -> DataFrame:
-    """(key, head): for each bucket with several components, its member of most ``hub`` among the waiting ones.
-    rows: members with their component ``root``; waiting: (key, root) whose turn has not come."""
-    open_ = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("key")
-    fresh = rows.join(waiting, ["key", "root"]) if waiting is not None else rows
-    return fresh.groupBy("key").agg(F.max(F.struct("hub", "node", "n", "root")).alias("head")).join(open_, "key")
+def across(rows: DataFrame) -> DataFrame:
+    """(node, head, root, head_root) between the components of buckets that hold several: each member with the most alike member of every
+    other component, not all pairs. A pair shares ``AGREE`` marks, so buckets of more than ``MOST`` rows are first
+    split by each of the marks; what is still larger meets its ``MOST`` best connected rows."""
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    open_ = rows.join(sizes.select("key", "size"), "key")
+    split = F.explode(F.sequence(F.lit(1), F.lit(SKETCHES)))
+    hot = open_.filter(F.col("size") > MOST).withColumn("place", split)
+    hot = hot.withColumn("key", F.xxhash64("key", "place", F.substring("marks", F.col("place"), F.lit(1)))).drop("place")
+    ready = open_.filter(F.col("size") <= MOST).unionByName(hot).drop("size")
 
+    def run(batches):
+        key, held = None, [np.zeros(0, np.int64)] * 3 + [np.zeros((0, SKETCHES), np.uint8)]
+        fresh: list[list] = []
+
+        def close():
+            """The bucket's rows so far; those kept afterwards are heads for more rows of the same bucket."""
+            nonlocal held
+            if not fresh:
+                return
+            new = [np.array([r[i] for r in fresh], np.int64) for i in range(3)] + [np.frombuffer(b"".join(r[3] for r in fresh), np.uint8).reshape(-1, SKETCHES)]
+            first = len(held[0])
+            now = [np.concatenate(x) for x in zip(held, new, strict=True)]
+            fresh.clear()
+            held = [x[:MOST] for x in now]
+            yield from _best_across(*now, first)
 
-def pairs_of(rows: DataFrame, heads: DataFrame) -> DataFrame:
-    """(node, head): members of other components than their head's, of like length; each pair once."""
-    short, long = F.least("n", "head.n"), F.greatest("n", "head.n")
-    found = rows.join(heads, "key").filter((F.col("root") != F.col("head.root")) & (short >= SIMILARITY * long))
-    return found.select("node", F.col("head.node").alias("head")).distinct()
+        for batch in batches:
+            found = []
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "root", "n", "marks")), strict=True):
+                if k != key or len(fresh) >= MOST:
+                    found += close()
+                    if k != key:
+                        key, held = k, [np.zeros(0, np.int64)] * 3 + [np.zeros((0, SKETCHES), np.uint8)]
+                fresh.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate([np.zeros((4, 0), np.int64), *found], axis=1)], PAIR)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate([np.zeros((4, 0), np.int64), *close()], axis=1)], PAIR)
+
+    ordered = ready.repartition("key").sortWithinPartitions("key", F.desc("hub"), "node").select("key", "node", "root", "n", "marks")
+    return ordered.mapInArrow(run, ", ".join(f"{c} bigint" for c in PAIR)).distinct()
+
+
+PAIR = ["node", "head", "root", "head_root"]
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -183,10 +239,11 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 if b != last[0]:
                     last = (b, shingles(np.frombuffer(b, np.uint32)))
                 keep.append(aligned(shingles(np.frombuffer(a, np.uint32)), last[1]) >= SIMILARITY)
-            yield batch.select(["node", "head"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.drop_columns(["words", "head_words"]).filter(pa.array(keep, pa.bool_()))
 
     heads = texts.select(F.col("node").alias("head"), F.col("words").alias("head_words"))
-    return pairs.join(texts, "node").join(heads, "head").select("node", "head", "words", "head_words").mapInArrow(run, "node bigint, head bigint")
+    both = pairs.join(texts, "node").join(heads, "head").select("node", "head", "root", "head_root", "words", "head_words")
+    return both.mapInArrow(run, "node bigint, head bigint, root bigint, head_root bigint")
 
 
 def words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -227,37 +284,36 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def links_of(docs: DataFrame, marked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All verified links (node, head), and (node, root) of the linked nodes. Each round makes one star per bucket that still holds
-    several components, and sets its head's component aside; rounds end with the first that finds no link."""
-    nodes = marked.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    shared = members(nodes.filter("n > 0").select("node", "n", "keys"))
-    rows = marked.select("node", "doc_id", "text_key").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"))
-    wanted = rows.join(shared.select("node").distinct(), "node").select("node", "row.doc_id", "row.text_key")
-    texts = _stored(words_of(docs, wanted), "texts")
-    links, roots, done = None, None, None
+def links_of(docs: DataFrame, marked: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Stored tables of the verified links (node, head), and (node, root) of the nodes that share buckets: first stars, then rounds between
+    components until one brings no candidate that is new, or no link."""
+    nodes = marked.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("marks").alias("marks"))
+    rows = members(nodes.filter("n > 0").select("node", "n", "keys", "marks"))
+    own = marked.select("node", "doc_id", "text_key").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"))
+    roots = rows.select("node").distinct()
+    texts = _stored(words_of(docs, own.join(roots, "node").select("node", "row.doc_id", "row.text_key")), "texts")
+    roots = roots.select("node", F.col("node").alias("root"))
+    pairs, needed = _stored(stars(rows), "candidates"), texts
+    tried, links = pairs, []
     while True:
-        placed = shared.withColumn("root", F.col("node"))
-        if roots is not None:
-            placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        waiting = done and placed.select("key", "root").distinct().join(done.join(roots, done["node"] == roots["node"], "left").select("key", F.coalesce("root", done["node"]).alias("root")), ["key", "root"], "left_anti")
-        heads = _stored(stars(placed, waiting), "heads")
-        found = _stored(verified(pairs_of(placed, heads), texts), "verified")
-        fresh = found.isEmpty()
-        links = found if links is None else links.unionByName(found)
-        if fresh:
-            return links.distinct(), roots if roots is not None else links
-        used = heads.select("key", F.col("head.node").alias("node"))
-        done = used if done is None else done.unionByName(used)
-        roots = components(links)
+        links.append(_stored(verified(pairs, needed), "verified"))
+        if links[-1].isEmpty():
+            return links, roots
+        moved = components(links[-1].select(F.col("root").alias("node"), F.col("head_root").alias("head"))).toDF("root", "top")
+        roots = _stored(roots.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
+        pairs = _stored(across(rows.join(roots, "node")).join(tried.select("node", "head"), ["node", "head"], "left_anti"), "candidates")
+        if pairs.isEmpty():
+            return links, roots
+        tried = tried.unionByName(pairs)
+        needed = texts.join(pairs.select("node").union(pairs.select("head")).distinct(), "node", "left_semi")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """A row per document: doc_id, text_key (its text's 64-bit hash), class_id, class_size, n_links (verified links of its text),
     kept (one (doc_id, text_key) of each class)."""
     marked = _stored(sketches(docs), "sketches")
-    links, roots = links_of(docs, marked)
-    roots = roots.toDF("node", "root")
+    found, roots = links_of(docs, marked)
+    links = reduce(DataFrame.unionByName, found)
     degree = links.select("node").union(links.select("head")).groupBy("node").agg(F.count("*").alias("n_links"))
     placed = marked.select("doc_id", "text_key", "node").join(roots, "node", "left").join(degree, "node", "left").select(
         "doc_id", "text_key", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
