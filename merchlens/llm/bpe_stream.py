@@ -34,6 +34,8 @@ from merchlens.llm.words import chunks
 CHUNK = 4096
 #: Longer pre-tokens go through the transducer, shorter ones are merged in lockstep.
 LOCKSTEP = 64
+#: Pre-tokens kept per Python worker, which lives on after its stage.
+KEPT_PIECES = 250_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -222,7 +224,7 @@ class Bpe:
         self.merges = Merges(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"] or "")
         special = {t["content"]: t["id"] for t in known["added_tokens"]}
         self.spelling = self.merges.spelling | {i: t for t, i in special.items()}
-        self.encode = PieceEncoder("word_level", self.pieces, special, normalised)
+        self.encode = PieceEncoder("word_level", self.pieces, special, normalised, KEPT_PIECES)
 
     def pieces(self, pieces: list[str]) -> list[np.ndarray]:
         raw = [p.encode("utf-8", "surrogatepass") for p in pieces]

@@ -17,8 +17,9 @@ MAX_KEPT_CHARS = 64
 class PieceEncoder:
     """``cut``: name of the method of Points that cuts; ``encode``: ids of pieces; ``special``: ids of strings that stand for themselves."""
 
-    def __init__(self, cut: str, encode: Callable[[list[str]], list[np.ndarray]], special: dict[str, int], prepare: Callable[[str], str] | None = None):
-        self.cut, self.encode, self.special, self.prepare = cut, encode, special, prepare
+    def __init__(self, cut: str, encode: Callable[[list[str]], list[np.ndarray]], special: dict[str, int], prepare: Callable[[str], str] | None = None,
+                 most: int = MAX_PIECES):
+        self.cut, self.encode, self.special, self.prepare, self.most = cut, encode, special, prepare, most
         self.kept: dict[int, bytes] = {}
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +51,7 @@ class PieceEncoder:
         if missing:
             at = first[missing]
             strings = points.strings(starts[at], ends[at])
-            if len(self.kept) + len(missing) > MAX_PIECES:
+            if len(self.kept) + len(missing) > self.most:
                 self.kept.clear()
             for i, string, new in zip(missing, strings, self.encode(strings), strict=True):
                 found[i] = np.asarray(new, np.uint32).tobytes()

@@ -48,7 +48,7 @@ HELD_OUT = 5
 SURE, PURE, SPREAD = 0.75, 0.995, 3.0
 #: Letters of the words by which near copies are told.
 LONG = 7
-MAX_DECODED = 200_000
+MAX_DECODED = 50_000
 
 # What look-alike characters may stand for.
 LOOK_ALIKE = {
