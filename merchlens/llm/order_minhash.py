@@ -7,7 +7,8 @@ follows edit similarity, not only set overlap. ``SKETCHES`` sketches are the key
 
 Candidates are stars, not pairs: the members of a bucket with its most connected member. So their number is linear in
 members, whatever the size of a bucket. Buckets that still hold several components are gone through again: each
-member with the most alike member of every other component, if they share ``AGREE`` least shingles. No bucket is cut or skipped. A candidate is
+member with the most alike members of every other component, if they share ``AGREE`` least shingles, one at first and ``WIDEN`` times as many
+after each round without a link, until all such pairs between components are tried. A candidate is
 verified by banded alignment: the longest common subsequence of the two shingle sequences
 among places at most (1 - ``SIMILARITY``) of the longer text apart; it is a link when that has at least
 ``SIMILARITY`` of the longer text's shingles. As labelled shingles are unique, the alignment is
@@ -42,6 +43,8 @@ ORDER = 3
 SIMILARITY = 0.8
 #: Marks (least shingles) that a pair between components shares: two texts at the limit share 16 of 24 on average, fewer than 10 twice in 1000 pairs.
 AGREE = 10
+#: Factor of the candidates offered for a member and another component, after a round without a link.
+WIDEN = 32
 #: Rows of a bucket that are compared with each other at a time.
 MOST = 4096
 #: Hashes held at a time for one text.
@@ -164,9 +167,9 @@ def stars(rows: DataFrame) -> DataFrame:
     return found.select("node", F.col("head.node").alias("head"), F.col("node").alias("root"), F.col("head.node").alias("head_root")).distinct()
 
 
-def _best_across(node, root, n, marks, first: int) -> list[np.ndarray]:
-    """Rows ``first`` on of a bucket against those before and among them: for each and each other component, the member that
-    shares most marks, ``AGREE`` at least, of like length. Arrays node, head, root, head_root."""
+def _best_across(node, root, n, marks, first: int, width: int) -> list[np.ndarray]:
+    """Rows ``first`` on of a bucket against those before and among them: for each and each other component, the ``width`` members that
+    share most marks, ``AGREE`` at least, of like length. Arrays node, head, root, head_root, more: whether that left some out."""
     out = []
     for low in range(first, len(node), 512):
         own = slice(low, min(low + 512, len(node)))
@@ -178,15 +181,19 @@ def _best_across(node, root, n, marks, first: int) -> list[np.ndarray]:
         a, b = np.nonzero(fits)
         order = np.lexsort((-agree[a, b], root[b], a))
         a, b = a[order], b[order]
-        best = np.concatenate([[True], (a[1:] != a[:-1]) | (root[b][1:] != root[b][:-1])])[: len(a)]
+        new = np.concatenate([[True], (a[1:] != a[:-1]) | (root[b][1:] != root[b][:-1])])[: len(a)]
+        start = np.flatnonzero(new)
+        size = np.diff(np.append(start, len(a)))
+        best = np.arange(len(a)) - np.repeat(start, size) < width
+        more = np.repeat(size > width, size)[best]
         a, b = a[best] + low, b[best]
-        out.append(np.stack([node[a], node[b], root[a], root[b]]))
+        out.append(np.stack([node[a], node[b], root[a], root[b], more]))
     return out
 
 
-def across(rows: DataFrame) -> DataFrame:
-    """(node, head, root, head_root) between the components of buckets that hold several: each member with the most alike member of every
-    other component, not all pairs. A pair shares ``AGREE`` marks, so buckets of more than ``MOST`` rows are first
+def across(rows: DataFrame, width: int) -> DataFrame:
+    """(node, head, root, head_root, more) between the components of buckets that hold several: each member with the ``width`` most alike
+    members of every other component; ``more``: not all pairs. A pair shares ``AGREE`` marks, so buckets of more than ``MOST`` rows are first
     split by each of the marks; what is still larger meets its ``MOST`` best connected rows."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     open_ = rows.join(sizes.select("key", "size"), "key")
@@ -209,7 +216,7 @@ def across(rows: DataFrame) -> DataFrame:
             now = [np.concatenate(x) for x in zip(held, new, strict=True)]
             fresh.clear()
             held = [x[:MOST] for x in now]
-            yield from _best_across(*now, first)
+            yield from _best_across(*now, first, width)
 
         for batch in batches:
             found = []
@@ -219,11 +226,15 @@ def across(rows: DataFrame) -> DataFrame:
                     if k != key:
                         key, held = k, [np.zeros(0, np.int64)] * 3 + [np.zeros((0, SKETCHES), np.uint8)]
                 fresh.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate([np.zeros((4, 0), np.int64), *found], axis=1)], PAIR)
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate([np.zeros((4, 0), np.int64), *close()], axis=1)], PAIR)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate([np.zeros((5, 0), np.int64), *found], axis=1)], [*PAIR, "more"])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate([np.zeros((5, 0), np.int64), *close()], axis=1)], [*PAIR, "more"])
 
     ordered = ready.repartition("key").sortWithinPartitions("key", F.desc("hub"), "node").select("key", "node", "root", "n", "marks")
-    return ordered.mapInArrow(run, ", ".join(f"{c} bigint" for c in PAIR)).distinct()
+    found = ordered.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*PAIR, "more"]))
+    # a pair may be found from both sides
+    turned = F.col("node") > F.col("head")
+    once = found.select(*(F.when(turned, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in zip(PAIR, [PAIR[i] for i in (1, 0, 3, 2)], strict=True)), "more")
+    return once.groupBy(*PAIR).agg((F.max("more") > 0).alias("more"))
 
 
 PAIR = ["node", "head", "root", "head_root"]
@@ -286,7 +297,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def links_of(docs: DataFrame, marked: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Stored tables of the verified links (node, head), and (node, root) of the nodes that share buckets: first stars, then rounds between
-    components until one brings no candidate that is new, or no link."""
+    components until no pair of ``AGREE`` marks between two components of a bucket is untried."""
     nodes = marked.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("marks").alias("marks"))
     rows = members(nodes.filter("n > 0").select("node", "n", "keys", "marks"))
     own = marked.select("node", "doc_id", "text_key").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"))
@@ -294,17 +305,27 @@ def links_of(docs: DataFrame, marked: DataFrame) -> tuple[list[DataFrame], DataF
     texts = _stored(words_of(docs, own.join(roots, "node").select("node", "row.doc_id", "row.text_key")), "texts")
     roots = roots.select("node", F.col("node").alias("root"))
     pairs, needed = _stored(stars(rows), "candidates"), texts
-    tried, links = pairs, []
+    tried, links = pairs.select(F.least("node", "head").alias("node"), F.greatest("node", "head").alias("head")), []
+    width, more = 1, True
     while True:
         links.append(_stored(verified(pairs, needed), "verified"))
-        if links[-1].isEmpty():
+        if not links[-1].isEmpty():
+            moved = components(links[-1].select(F.col("root").alias("node"), F.col("head_root").alias("head"))).toDF("root", "top")
+            roots = _stored(roots.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
+        elif not more:
             return links, roots
-        moved = components(links[-1].select(F.col("root").alias("node"), F.col("head_root").alias("head"))).toDF("root", "top")
-        roots = _stored(roots.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
-        pairs = _stored(across(rows.join(roots, "node")).join(tried.select("node", "head"), ["node", "head"], "left_anti"), "candidates")
-        if pairs.isEmpty():
-            return links, roots
-        tried = tried.unionByName(pairs)
+        elif len(links) > 1:
+            width *= WIDEN
+        while True:
+            offered = _stored(across(rows.join(roots, "node"), width), "offered")
+            more = not offered.filter("more").isEmpty()
+            pairs = _stored(offered.drop("more").join(tried, ["node", "head"], "left_anti"), "candidates")
+            if not pairs.isEmpty():
+                break
+            if not more:
+                return links, roots
+            width *= WIDEN
+        tried = tried.unionByName(pairs.select("node", "head"))
         needed = texts.join(pairs.select("node").union(pairs.select("head")).distinct(), "node", "left_semi")
 
 

@@ -108,3 +108,25 @@ def test_alignment_is_a_common_subsequence():
             assert q.aligned(a, b) <= table[-1, -1] / longer
         if table[-1, -1] >= 0.8 * longer:
             assert q.aligned(a, b) == table[-1, -1] / longer
+
+
+def test_a_borderline_text_finds_its_partner_among_near_misses(spark):
+    """Two groups of near copies with one pair between them that aligns; both of it agree as much with others of the other group."""
+    rng = random.Random(118)
+
+    def changed(own, places):
+        own = list(own)
+        for p in places:
+            own[p] = f"v{rng.randrange(10**9)}"
+        return own
+
+    first = [f"w{i}" for i in range(204)]
+    places = rng.sample(range(2, 202, 6), 33)
+    twin = changed(first, places[:2])
+    border = changed(twin, places[2:10])
+    texts = [first, twin, *(changed(first, rng.sample(places, 2)) for _ in range(12)), border, *(changed(border, rng.sample(places, 2)) for _ in range(12))]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    parts = [q.shingles(word_hashes(t).astype(np.uint32)) for _, t in rows]
+    assert [(a, b) for a in range(14) for b in range(14, 27) if q.aligned(parts[a], parts[b]) >= q.SIMILARITY] == [(1, 14)]
+    got = q.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got.select("class_id").distinct().count() == 1
