@@ -45,7 +45,7 @@ SIMILARITY = 0.8
 AGREE = 10
 #: Factor of the candidates offered for a member and another component, after a round without a link.
 WIDEN = 32
-#: Rows of a bucket that are compared with each other at a time.
+#: Rows of a block: larger buckets are compared block by block.
 MOST = 4096
 #: Hashes held at a time for one text.
 BLOCK = 1 << 21
@@ -168,12 +168,12 @@ def stars(rows: DataFrame) -> DataFrame:
 
 
 def _best_across(node, root, n, marks, first: int, width: int) -> list[np.ndarray]:
-    """Rows ``first`` on of a bucket against those before and among them: for each and each other component, the ``width`` members that
+    """Rows ``first`` on of a unit against those before, all among themselves if it is 0: for each and each other component, the ``width`` members that
     share most marks, ``AGREE`` at least, of like length. Arrays node, head, root, head_root, more: whether that left some out."""
     out = []
     for low in range(first, len(node), 512):
         own = slice(low, min(low + 512, len(node)))
-        upto = own.stop
+        upto = first or own.stop
         agree = np.zeros((own.stop - low, upto), np.int16)
         for i in range(marks.shape[1]):
             agree += marks[own, i, None] == marks[None, :upto, i]
@@ -191,45 +191,62 @@ def _best_across(node, root, n, marks, first: int, width: int) -> list[np.ndarra
     return out
 
 
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows of buckets of any size as units: pairs of blocks of about ``MOST`` rows, those of the one with ``side`` 0, those of the other with 1;
+    a block met with itself has side 0 only. A component of more rows has blocks of its own, and blocks of the same one don't meet."""
+    own = rows.groupBy("key", "root").agg(F.count("*").alias("own"))
+    whole = own.groupBy("key").agg(F.sum("own").alias("all"), F.count("*").alias("roots")).filter("roots > 1")
+    parts = own.join(whole, "key").select("key", "root", F.ceil(F.col("own") / MOST).alias("parts"), F.ceil(F.col("all") / MOST).alias("pool"))
+    block = F.when(F.col("parts") > 1, F.xxhash64("root", F.pmod(F.xxhash64("node"), "parts"))).otherwise(F.pmod(F.xxhash64("root"), "pool"))
+    placed = _stored(rows.join(parts, ["key", "root"]).withColumn("block", block).drop("parts", "pool"), "blocks")
+    blocks = placed.groupBy("key", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    both = blocks.toDF("key", "block", "low", "high").join(blocks.toDF("key", "other", "other_low", "other_high"), "key")
+    both = both.filter((F.col("block") <= F.col("other")) & (F.least("low", "other_low") < F.greatest("high", "other_high")))
+    units = both.select("key", "block", "other", F.xxhash64("key", "block", "other").alias("unit"))
+    heads = placed.join(units.drop("other"), ["key", "block"]).withColumn("side", F.lit(0))
+    others = placed.join(units.filter("block < other").select("key", F.col("other").alias("block"), "unit"), ["key", "block"]).withColumn("side", F.lit(1))
+    return heads.unionByName(others).withColumn("key", F.col("unit")).drop("unit", "block")
+
+
 def across(rows: DataFrame, width: int) -> DataFrame:
     """(node, head, root, head_root, more) between the components of buckets that hold several: each member with the ``width`` most alike
     members of every other component; ``more``: not all pairs. A pair shares ``AGREE`` marks, so buckets of more than ``MOST`` rows are first
-    split by each of the marks; what is still larger meets its ``MOST`` best connected rows."""
+    split by as many of the marks as hold one of them; what is still larger is compared as pairs of blocks."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
     open_ = rows.join(sizes.select("key", "size"), "key")
-    split = F.explode(F.sequence(F.lit(1), F.lit(SKETCHES)))
+    split = F.explode(F.sequence(F.lit(1), F.lit(SKETCHES - AGREE + 1)))
     hot = open_.filter(F.col("size") > MOST).withColumn("place", split)
     hot = hot.withColumn("key", F.xxhash64("key", "place", F.substring("marks", F.col("place"), F.lit(1)))).drop("place")
-    ready = open_.filter(F.col("size") <= MOST).unionByName(hot).drop("size")
+    ready = open_.filter(F.col("size") <= MOST).withColumn("side", F.lit(0)).unionByName(_met(hot)).drop("size")
 
     def run(batches):
-        key, held = None, [np.zeros(0, np.int64)] * 3 + [np.zeros((0, SKETCHES), np.uint8)]
-        fresh: list[list] = []
+        key, unit, found = None, [], []
 
         def close():
-            """The bucket's rows so far; those kept afterwards are heads for more rows of the same bucket."""
-            nonlocal held
-            if not fresh:
-                return
-            new = [np.array([r[i] for r in fresh], np.int64) for i in range(3)] + [np.frombuffer(b"".join(r[3] for r in fresh), np.uint8).reshape(-1, SKETCHES)]
-            first = len(held[0])
-            now = [np.concatenate(x) for x in zip(held, new, strict=True)]
-            fresh.clear()
-            held = [x[:MOST] for x in now]
-            yield from _best_across(*now, first, width)
+            if unit:
+                node, root, n = (np.array([r[i] for r in unit], np.int64) for i in range(3))
+                marks = np.frombuffer(b"".join(r[3] for r in unit), np.uint8).reshape(-1, SKETCHES)
+                heads = sum(r[4] == 0 for r in unit)
+                found.extend(_best_across(node, root, n, marks, heads if heads < len(unit) else 0, width))
+                unit.clear()
+
+        def flush():
+            batch = pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate([np.zeros((5, 0), np.int64), *found], axis=1)], [*PAIR, "more"])
+            found.clear()
+            return batch
 
         for batch in batches:
-            found = []
-            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "root", "n", "marks")), strict=True):
-                if k != key or len(fresh) >= MOST:
-                    found += close()
-                    if k != key:
-                        key, held = k, [np.zeros(0, np.int64)] * 3 + [np.zeros((0, SKETCHES), np.uint8)]
-                fresh.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate([np.zeros((5, 0), np.int64), *found], axis=1)], [*PAIR, "more"])
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate([np.zeros((5, 0), np.int64), *close()], axis=1)], [*PAIR, "more"])
-
-    ordered = ready.repartition("key").sortWithinPartitions("key", F.desc("hub"), "node").select("key", "node", "root", "n", "marks")
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "root", "n", "marks", "side")), strict=True):
+                if k != key:
+                    close()
+                    key = k
+                    if sum(x.shape[1] for x in found) > MOST:
+                        yield flush()
+                unit.append(row)
+        close()
+        yield flush()
+
+    ordered = ready.repartition("key").sortWithinPartitions("key", "side", F.desc("hub"), "node").select("key", "node", "root", "n", "marks", "side")
     found = ordered.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*PAIR, "more"]))
     # a pair may be found from both sides
     turned = F.col("node") > F.col("head")

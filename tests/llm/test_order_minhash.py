@@ -130,3 +130,14 @@ def test_a_borderline_text_finds_its_partner_among_near_misses(spark):
     assert [(a, b) for a in range(14) for b in range(14, 27) if q.aligned(parts[a], parts[b]) >= q.SIMILARITY] == [(1, 14)]
     got = q.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert got.select("class_id").distinct().count() == 1
+
+
+def test_all_blocks_of_a_bucket_meet(spark, monkeypatch):
+    """Distinct texts of equal marks: a component of more than a block, several small ones, and single texts."""
+    monkeypatch.setattr(q, "MOST", 4)
+    roots = [0] * 9 + [9] * 3 + [12] * 2 + list(range(14, 30))
+    rows = [(7, i, root, 100, bytearray(q.SKETCHES), 1000 - i) for i, root in enumerate(roots)]
+    found = q.across(spark.createDataFrame(rows, "key long, node long, root long, n long, marks binary, hub long"), 30).collect()
+    got = [tuple(sorted((r.node, r.head))) for r in found]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for b in range(30) for a in range(b) if roots[a] != roots[b]}
+    assert all((r.root, r.head_root) == (roots[r.node], roots[r.head]) and not r.more for r in found)
