@@ -7,7 +7,7 @@ Channel: a token becomes a lattice. A letter stands for itself, or for nothing w
 repeats the one before; digits and signs may stand for look-alike letters; where single
 letters are spelled out, the gaps between them may stand for nothing. Viterbi
 decoding over states of three letters finds the likeliest text. A token whose lattice has one path
-is its own decoding, so only tokens with look-alikes, letters three times in a row, or spelled-out
+is its own decoding, so only tokens with look-alikes, doubled letters, or spelled-out
 letters are decoded.
 
 Score: presence of words and word beginnings (4 to 6 letters) of the restored text, chosen and
@@ -49,6 +49,8 @@ SURE, PURE, SPREAD = 0.75, 0.995, 3.0
 #: Letters of the words by which near copies are told.
 LONG = 7
 MAX_DECODED = 50_000
+#: Characters of a stretch that are decoded at a time, and of them those shared with the part before.
+PART, PART_OVERLAP = 256, 64
 
 # What look-alike characters may stand for.
 LOOK_ALIKE = {
@@ -181,32 +183,46 @@ class Letters:
         out: list[tuple[int, str, bool]] = []
         white = (p == 32) | ((p >= 9) & (p <= 13))
         sign = _SIGNS[p]
-        inner = np.zeros(n, bool)
-        if n > 2:
-            inner[:-1] |= sign[:-1] & letter[1:]  # before a letter
-            inner[1:-1] &= True
-            triple = letter[2:] & (s[:n][2:] == s[: n - 1][1:]) & (s[:n][2:] == s[: n - 2])
-            inner[2:] |= triple
+        twice = np.zeros(n, bool)
+        twice[1:] = letter[1:] & (s[1:n] == s[: n - 1])
         cut = np.flatnonzero(np.concatenate([[True], white]))  # tokens lie between white space
-        token = np.unique(np.searchsorted(cut, np.flatnonzero(inner), "right") - 1)
-        for t in token.tolist():
-            a, b = int(cut[t]), int(cut[t + 1]) if t + 1 < len(cut) else n
-            doc = int(self.doc_of(np.array([a]))[0])
-            text = self.texts[doc][max(0, a - int(self.offset[doc])) : b - int(self.offset[doc])]
-            out.append((doc, text, False))
-        # words of one letter with one gap between, three at least
-        single = (self.end - self.start) == 1
-        tied = single[1:] & single[:-1] & (self.start[1:] - self.end[:-1] == 1) & _GAPS[p[np.minimum(self.end[:-1], n - 1)]]
+        count = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[np.append(cut, n)])
+        signs = count(sign)
+        # a letter and a look-alike, several look-alikes, or a doubled letter
+        token = np.flatnonzero(((signs > 0) & (count(letter) > 0)) | (signs > 1) | (count(twice) > 0))
+        judged: dict[str, bool] = {}
+        docs, first = self.doc_of(cut[token]), cut[token]
+        last = np.append(cut, n)[token + 1]
+        for doc, a, b in zip(docs.tolist(), (first - self.offset[docs]).tolist(), (last - self.offset[docs]).tolist(), strict=True):
+            text = self.texts[doc][a:b].strip()
+            if text not in judged:
+                judged[text] = _unclear(trimmed(text))
+            if judged[text]:
+                out.append((doc, text, False))
+        # single letters or look-alikes with gaps between, three at least, a letter among them
+        solid = letter | (sign & ~_GAPS[p])
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8)))
+        start, end = edge[::2], edge[1::2]
+        wide = np.concatenate([[0], np.cumsum(~_GAPS[p])])
+        single = (end - start) == 1
+        tied = single[1:] & single[:-1] & (wide[start[1:]] == wide[end[:-1]]) & (self.doc_of(start[1:]) == self.doc_of(start[:-1]))
         edge = np.flatnonzero(np.diff(np.concatenate([[False], tied, [False]]).astype(np.int8)))
         for first, last in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
             if last - first >= 2:
-                a, b = int(self.start[first]), int(self.end[last])
-                doc = int(self.doc_of(np.array([a]))[0])
-                if b <= self.offset[doc + 1]:
+                a, b = int(start[first]), int(end[last])
+                if letter[a:b].any():
+                    doc = int(self.doc_of(np.array([a]))[0])
                     out.append((doc, self.texts[doc][a - int(self.offset[doc]) : b - int(self.offset[doc])], True))
         return out
 
 
+def _unclear(token: str) -> bool:
+    """A letter and a look-alike, several look-alikes, or a letter twice in a row."""
+    folded = [int(folds()[ord(c)]) for c in token]
+    signs = sum(c in LOOK_ALIKE for c in token)
+    return signs > 1 or (signs == 1 and min(folded) < MARK) or any(x == y < MARK for x, y in zip(folded, folded[1:], strict=False))
+
+
 _EDGE_RUNS = "".join(LOOK_ALIKE)
 
 
@@ -236,8 +252,8 @@ class Restorer:
                 self.known.clear()
             body = token if spaced else trimmed(token)
             words: list[str] = []
-            for at in range(0, len(body), 256):  # a longer stretch is decoded part by part
-                words += self.model.decode(lattice(body[at : at + 256], spaced)).split()
+            for at in range(0, max(1, len(body) - PART_OVERLAP), PART - PART_OVERLAP):  # a longer stretch is decoded in parts that overlap
+                words += self.model.decode(lattice(body[at : at + PART], spaced)).split()
             self.known[key] = words
         return self.known[key]
 

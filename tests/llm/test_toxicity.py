@@ -93,3 +93,14 @@ def test_odd_rows_and_labels(spark, odd, none):
         got = q.score(docs, q.learn(docs.select("doc_id", "text"), known)).collect()
         assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
         assert all(r.score < 0.5 for r in got if not (r.text or "").strip())
+
+
+def test_spellings_reach_the_score(spark, tmp_path):
+    at = str(tmp_path / "counts")
+    known = "the idiot moron clown stupid is a worthless thing and that pathetic loser so kill them shit".split()
+    q.letter_counts(spark.createDataFrame([(" ".join(known),)] * 50, "text string")).write.parquet(at)
+    learned = q.Model({f"{w}$": (9.0, 0.9) for w in ("idiot", "moron", "loser", "kill", "shit")}, -4.0, at)
+    said = ["idi07", "sh17", "kil1", "k-1-l-l", "i d 1 0 t", "i  d  i  o  t", "i - d - i - o - t", "shiit", "idiiot", "%" * 251 + "1d10t" + "%" * 250 + "so"]
+    rows = [(f"so {x} is",) for x in [*said, "that clown", "a b"]]
+    got = {r.text: r.score >= 0.5 for r in q.score(spark.createDataFrame(rows, "text string"), learned).collect()}
+    assert [got[f"so {x} is"] for x in said] == [True] * len(said) and not got["so that clown is"] and not got["so a b is"]
