@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from merchlens.llm import bpe_stream, chat_format, decontaminate, license_scan, order_minhash, quality_rules, secrets, toxicity, warc, wavelet
+from merchlens.llm import (
+    bpe_stream, chat_format, collocations, decontaminate, license_scan, order_minhash, quality_rules, secrets, site_templates, spelling, toxicity, warc, wavelet)
 
 QUERIES = {
     "op1_chat_format": chat_format.op1_chat_format,
@@ -16,6 +17,9 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_wavelet": wavelet.op9_wavelet,
     "op10_bpe_stream": bpe_stream.op10_bpe_stream,
+    "op11_spelling": spelling.op11_spelling,
+    "op12_site_templates": site_templates.op12_site_templates,
+    "op13_collocations": collocations.op13_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,4 +29,5 @@ ORACLE_SQL = {
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op6_quality_rules": quality_rules.OP6_SQL,
     "op8_secrets": secrets.OP8_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
