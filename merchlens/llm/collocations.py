@@ -1,8 +1,8 @@
 """Phrases whose words keep together, counted in quotient filters.
 
-1. ``shards``: Python cuts a few MB of whole texts at a time into words and keeps each shard's word list, counts and word sequence (breaks between
-   pieces) as one row per language. Spark adds the word counts up; words of ``least`` occurrences or more are numbered by falling count
-   (no phrase of that count holds another word). A shard gets the numbers of its own words by a join on its word list, so no dictionary is shipped whole.
+1. ``shards``: tasks cut whole texts into words and keep a shard's word list, counts and word sequence (breaks between pieces) as a row per
+   language. Ranges of all word lists are added up; words of ``least`` occurrences or more are numbered (no phrase of that count holds another
+   word), and each shard is answered with the numbers of its own words, so no dictionary is shipped whole.
 2. ``Filter``: n-grams of packed word numbers are permuted one to one and split into a quotient and the full remainder. A filter holds
    its entries in order: run lengths of the quotients as bits (two a slot), remainders in as many bytes as they need, counts in one byte or nine.
    Nothing is lost; permuted back, the entries are the n-grams. Permuted values are even, so quotient ranges deal the entries evenly, whatever
@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from merchlens.llm.words import chunks, mix
-from merchlens.operators.ntile import positions, ranged
 from merchlens.session import scratch_path
 
 LEAST, LONGEST, TOP = 100, 5, 2000
-#: Bytes of text in a shard, and entries of a quotient range on average.
-SHARD, RANGE = 8 << 20, 1 << 22
+#: Bytes of text in a shard, words of all shards' lists in a range of them, and entries of a quotient range, both on average.
+SHARD, LIST, RANGE = 32 << 20, 1 << 19, 1 << 22
 
 _BREAK = b"\n"
 _TABLE = bytes(10 if i in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if i == 9 else i + 32 if 65 <= i <= 90 else i for i in range(256))
@@ -41,37 +41,162 @@ _TABLE = bytes(10 if i in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if i == 9 else i + 3
 
 # ---------------------------------------------------------------- shards
 
-SHARDS = "shard long, lang string, n_words long, words array<string>, counts array<long>, sequence binary"
+SHARDS = "shard long, lang string, n_words long, n_different long, words array<binary>, counts array<long>, sequence binary"
+LISTS = "part int, shard long, lang string, words array<binary>, counts array<long>, places binary"
+NUMBERS = "part int, shard long, places binary, numbers binary, number long, lang string, word binary, n long"
+
+
+def squeezed(ids: np.ndarray) -> bytes:
+    """32-bit numbers, small ones mostly, by planes of bytes."""
+    planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(ids).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, codec="zstd", asbytes=True) if n else b"", np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
+
+
+class _Shard:
+    """Words of one language in a task, numbered as they come."""
+
+    def __init__(self):
+        self.numbers: defaultdict[bytes, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.numbers[b""], self.numbers[_BREAK]
+        self.ids: list[np.ndarray] = []
+
+    def add(self, texts: list[bytes]) -> None:
+        tokens = _BREAK.join([*(t.translate(_TABLE) for t in texts), b""]).replace(_BREAK, b" \n ").split(b" ")
+        ids = np.fromiter(map(self.numbers.__getitem__, tokens), np.uint32, len(tokens))
+        self.ids.append(ids[ids > 0] - np.uint32(1))  # 0 is a break
+
+    def row(self, shard: int, lang: str) -> pa.RecordBatch:
+        ids = np.concatenate(self.ids)
+        counts = np.bincount(ids, minlength=len(self.numbers) - 1)[1:]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([shard], pa.int64()), pa.array([lang], pa.string()), pa.array([int(counts.sum())], pa.int64()), pa.array([len(counts)], pa.int64()),
+             pa.array([list(self.numbers)[2:]], pa.list_(pa.binary())), pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([squeezed(ids)], pa.binary())],
+            ["shard", "lang", "n_words", "n_different", "words", "counts", "sequence"])
 
 
 def _shard_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
-    for part in chunks(batches, most=SHARD):
+    number, size = TaskContext.get().partitionId() << 32, 0
+    held: defaultdict[str, _Shard] = defaultdict(_Shard)
+    for part in chunks(batches):
         by_lang = defaultdict(list)
         for lang, text in zip(part.column("lang").to_pylist(), part.column("text").cast(pa.large_binary()).to_pylist(), strict=True):
             by_lang[lang].append(text)
+            size += len(text)
         for lang, texts in by_lang.items():
-            numbers: defaultdict[bytes, int] = defaultdict()
-            numbers.default_factory = numbers.__len__
-            numbers[b""], numbers[_BREAK]
-            tokens = _BREAK.join(t.translate(_TABLE) for t in texts).replace(_BREAK, b" \n ").split(b" ")
-            ids = np.fromiter(map(numbers.__getitem__, tokens), np.uint32, len(tokens))
-            del tokens
-            ids = ids[ids > 0] - np.uint32(1)  # 0 is a break
-            counts = np.bincount(ids, minlength=len(numbers) - 1)[1:]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([lang], pa.string()), pa.array([int(counts.sum())], pa.int64()),
-                 pa.array([[w.decode() for w in list(numbers)[2:]]], pa.list_(pa.string())), pa.array([counts.tolist()], pa.list_(pa.int64())),
-                 pa.array([ids.tobytes()], pa.binary())], ["shard", "lang", "n_words", "words", "counts", "sequence"])
-            number += 1
+            held[lang].add(texts)
+        if size >= SHARD:
+            for lang in list(held):
+                yield held.pop(lang).row(number, lang)
+                number += 1
+            size = 0
+    for lang, shard in held.items():
+        yield shard.row(number, lang)
+        number += 1
 
 
 def shards(docs: DataFrame) -> DataFrame:
-    """A row per few MB of text and language; the number of a shard is fixed once the frame is stored."""
+    """A row per ``SHARD`` bytes of text, or the rest of a task's, and language; the number of a shard is fixed once the frame is stored."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(_shard_batch, SHARDS)
 
 
+def _split_lists(batches: Iterator[pa.RecordBatch], top: int) -> Iterator[pa.RecordBatch]:
+    """A shard's word list by ranges of the words' crc32."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            words, counts = batch.column("words")[i].values, np.asarray(batch.column("counts")[i].values, np.int64)
+            if not len(words):
+                continue
+            part = np.fromiter(map(crc32, words.to_pylist()), np.int64, len(words)) >> (32 - top)
+            order = np.argsort(part, kind="stable")
+            edges = np.searchsorted(part[order], np.arange((1 << top) + 1))
+            found = np.flatnonzero(np.diff(edges))
+            cuts = pa.array(np.append(edges[found], len(order)), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.int32()), pa.array([batch.column("shard")[i].as_py()] * len(found), pa.int64()), pa.array([batch.column("lang")[i].as_py()] * len(found), pa.string()),
+                 pa.ListArray.from_arrays(cuts, words.take(pa.array(order))), pa.ListArray.from_arrays(cuts, pa.array(counts[order])),
+                 pa.array([(order[edges[p] : edges[p + 1]] + 1).astype("<u4").tobytes() for p in found.tolist()], pa.binary())],
+                ["part", "shard", "lang", "words", "counts", "places"])
+
+
+def _number_words(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by part. The frequent words of a part, numbered from 1, and for each shard its places of them with their numbers."""
+    schema = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("places", pa.binary()), ("numbers", pa.binary()), ("number", pa.int64()),
+                        ("lang", pa.string()), ("word", pa.binary()), ("n", pa.int64())])
+    held: list[dict] = []
+
+    def result() -> Iterator[pa.RecordBatch]:
+        total: defaultdict[str, defaultdict[bytes, int]] = defaultdict(lambda: defaultdict(int))
+        for row in held:
+            own = total[row["lang"]]
+            for word, n in zip(row["words"], row["counts"], strict=True):
+                own[word] += n
+        frequent = [(lang, word) for lang in sorted(total) for word in sorted(w for w, n in total[lang].items() if n >= least)]
+        if not frequent:
+            return
+        part, number = held[0]["part"], {lang: {} for lang in total}
+        for i, (lang, word) in enumerate(frequent, 1):
+            number[lang][word] = i
+        rows = [{"part": part, "number": i, "lang": lang, "word": word, "n": total[lang][word]} for i, (lang, word) in enumerate(frequent, 1)]
+        for row in held:
+            known = np.fromiter((number[row["lang"]].get(w, 0) for w in row["words"]), np.uint32, len(row["words"]))
+            at = np.flatnonzero(known)
+            if len(at):
+                rows.append({"part": part, "shard": row["shard"], "places": np.frombuffer(row["places"], "<u4")[at].tobytes(), "numbers": known[at].tobytes()})
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    for row in _rows(batches):
+        if held and held[0]["part"] != row["part"]:
+            yield from result()
+            held = []
+        held.append(row)
+    if held:
+        yield from result()
+
+
+def _renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard's sequence in numbers of its own frequent words from 1 (0: break or rare word), and the dictionary's numbers of these."""
+    for row in _rows(batches):
+        ids = unsqueezed(row["sequence"])
+        places = np.concatenate([np.frombuffer(k["places"], "<u4") for k in row["known"]])
+        numbers = np.concatenate([np.frombuffer(k["numbers"], "<u4").astype("<u8") + np.uint64(k["before"]) for k in row["known"]])
+        order = np.argsort(places)
+        table = np.zeros(int(max(ids.max(initial=0), places.max())) + 1, np.uint32)
+        table[places[order]] = np.arange(1, len(places) + 1)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([row["shard"]], pa.int64()), pa.array([squeezed(table[ids])], pa.binary()), pa.array([numbers[order].tobytes()], pa.binary())],
+            ["shard", "sequence", "known"])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+def numbered_shards(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Of stored ``shards``: (shard, sequence, known), the sequences in frequent words; (number, lang, word, n), the frequent words numbered from 1.
+
+    Word lists go to ranges of crc32, are added up there, and the answers go back to the shards. Both tables are stored."""
+    entries = rows.agg(F.sum("n_different")).first()[0] or 0
+    top = max(0, int(entries // LIST).bit_length())
+    lists = rows.select("shard", "lang", "words", "counts").mapInArrow(partial(_split_lists, top=top), LISTS)
+    answers = _stored(lists.repartition("part").sortWithinPartitions("part").mapInArrow(partial(_number_words, least=least), NUMBERS), "numbers")
+    found = answers.filter("shard is null")
+    sizes = found.groupBy("part").agg(F.max("number").alias("size"))
+    before = _stored(sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before")), "before")
+    words = _stored(found.join(before, "part").select((F.col("number") + F.col("before")).alias("number"), "lang", F.col("word").cast("string").alias("word"), "n"), "words")
+    known = answers.filter("shard is not null").join(before, "part").groupBy("shard").agg(F.collect_list(F.struct("before", "places", "numbers")).alias("known"))
+    return _stored(rows.select("shard", "sequence").join(known, "shard").mapInArrow(_renumber, "shard long, sequence binary, known binary"), "numbered"), words
+
+
 # ---------------------------------------------------------------- quotient filters
 
 ODD = 0x9E3779B97F4A7C15
@@ -187,20 +312,9 @@ FILTERS = "part int, shard long, `order` int, filter binary"
 MERGED = "shard long, pairs binary, gram array<long>, f long"
 
 
-def _sequence(words: list[bytes], sequence: bytes) -> np.ndarray:
+def _sequence(row: dict) -> np.ndarray:
     """A shard's sequence in the numbers of the dictionary; 0: break or rare word."""
-    table = np.zeros(1 + max((w["place"] for w in words), default=0), np.uint64)
-    for w in words:
-        table[w["place"]] = w["number"]
-    ids = np.frombuffer(sequence, np.uint32)
-    return np.where(ids < len(table), table[np.minimum(ids, len(table) - 1)], np.uint64(0))
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """One row at a time: a row is a shard."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
+    return np.concatenate([np.zeros(1, np.uint64), np.frombuffer(row["known"], "<u8")])[unsqueezed(row["sequence"])]
 
 
 def _emit(shard: int, order: int, grams: list[np.ndarray], bits: int, top: int) -> Iterator[pa.RecordBatch]:
@@ -219,14 +333,14 @@ def _emit(shard: int, order: int, grams: list[np.ndarray], bits: int, top: int)
 
 def _pairs(batches: Iterator[pa.RecordBatch], bits: int, top: int) -> Iterator[pa.RecordBatch]:
     for row in _rows(batches):
-        ids = _sequence(row["known"], row["sequence"])
+        ids = _sequence(row)
         both = (ids[:-1] > 0) & (ids[1:] > 0)
         yield from _emit(row["shard"], 2, [ids[:-1][both], ids[1:][both]], bits, top)
 
 
 def _longer(batches: Iterator[pa.RecordBatch], bits: int, top: int, longest: int) -> Iterator[pa.RecordBatch]:
     for row in _rows(batches):
-        ids = _sequence(row["known"], row["sequence"])
+        ids = _sequence(row)
         widths = limbs(2, bits)
         frequent = np.sort(np.concatenate([np.frombuffer(x, "<u8") for x in row["pairs"]]))
         joined = permute([ids[:-1] << np.uint64(bits) | ids[1:]], widths)[0]
@@ -299,18 +413,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     spark = docs.sparkSession
     rows = _stored(shards(docs), "shards")
     totals = _stored(rows.groupBy("lang").agg(F.sum("n_words").alias("total")), "totals")
-    counted = rows.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).groupBy("lang", F.col("x.words").alias("word")) \
-        .agg(F.sum("x.counts").alias("n")).filter(F.col("n") >= least).withColumn("minus", -F.col("n"))
-    order = ["minus", "lang", "word"]
-    words = _stored(positions(ranged(counted, order), order).select((F.col("__ml_idx") + 1).alias("number"), "lang", "word", "n"), "words")
+    numbered, words = numbered_shards(rows, least)
     size, tokens = words.agg(F.max("number")).first()[0] or 0, totals.agg(F.sum("total")).first()[0] or 0
     bits = max(1, int(size).bit_length())
     if bits > 32:
         raise ValueError(f"{size} frequent words; 2^32 can be numbered")
     top = min(2 * bits, max(0, int(tokens // RANGE).bit_length()))
-    places = rows.select("shard", "lang", F.posexplode("words")).select("shard", "lang", (F.col("pos") + 1).alias("place"), F.col("col").alias("word"))
-    known = places.join(words, ["lang", "word"]).groupBy("shard").agg(F.collect_list(F.struct("place", "number")).alias("known"))
-    numbered = _stored(rows.select("shard", "sequence").join(known, "shard"), "numbered")
     pairs = merged(numbered.mapInArrow(partial(_pairs, bits=bits, top=top), FILTERS), bits, top, least, True)
     own = pairs.filter("shard is not null").groupBy("shard").agg(F.collect_list("pairs").alias("pairs"))
     longer = numbered.join(own, "shard").mapInArrow(partial(_longer, bits=bits, top=top, longest=longest), FILTERS)

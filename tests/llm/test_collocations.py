@@ -58,6 +58,8 @@ def test_equals_brute_force(spark, monkeypatch):
     assert len({len(x[2].split(" ")) for x in want}) > 2 and len({x[0] for x in want}) == 3
     assert got(C.collocations(frame(spark, rows).repartition(3), 20)) == want
     monkeypatch.setattr(C, "RANGE", 64)  # many quotient ranges
+    monkeypatch.setattr(C, "LIST", 4)
+    monkeypatch.setattr(C, "SHARD", 3000)
     assert got(C.collocations(frame(spark, rows).repartition(7), 20, top=5)) == sorted(expected(rows, 20, top=5))
 
 
