@@ -184,6 +184,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 def numbered_shards(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """Of stored ``shards``: (shard, sequence, known), the sequences in frequent words; (number, lang, word, n), the frequent words numbered from 1.
 
+    Answers grow with the corpus and Spark can't tell how large binary values are, so they are never broadcast.
     Word lists go to ranges of crc32, are added up there, and the answers go back to the shards. Both tables are stored."""
     entries = rows.agg(F.sum("n_different")).first()[0] or 0
     top = max(0, int(entries // LIST).bit_length())
@@ -194,7 +195,7 @@ def numbered_shards(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     before = _stored(sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before")), "before")
     words = _stored(found.join(before, "part").select((F.col("number") + F.col("before")).alias("number"), "lang", F.col("word").cast("string").alias("word"), "n"), "words")
     known = answers.filter("shard is not null").join(before, "part").groupBy("shard").agg(F.collect_list(F.struct("before", "places", "numbers")).alias("known"))
-    return _stored(rows.select("shard", "sequence").join(known, "shard").mapInArrow(_renumber, "shard long, sequence binary, known binary"), "numbered"), words
+    return _stored(rows.select("shard", "sequence").join(known.hint("merge"), "shard").mapInArrow(_renumber, "shard long, sequence binary, known binary"), "numbered"), words
 
 
 # ---------------------------------------------------------------- quotient filters
@@ -421,7 +422,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     top = min(2 * bits, max(0, int(tokens // RANGE).bit_length()))
     pairs = merged(numbered.mapInArrow(partial(_pairs, bits=bits, top=top), FILTERS), bits, top, least, True)
     own = pairs.filter("shard is not null").groupBy("shard").agg(F.collect_list("pairs").alias("pairs"))
-    longer = numbered.join(own, "shard").mapInArrow(partial(_longer, bits=bits, top=top, longest=longest), FILTERS)
+    longer = numbered.join(own.hint("merge"), "shard").mapInArrow(partial(_longer, bits=bits, top=top, longest=longest), FILTERS)
     more = merged(longer, bits, top, least, False)
     grams = pairs.filter("shard is null").select("gram", "f").unionByName(more.select("gram", "f"))
     return grams, words, totals
