@@ -22,11 +22,12 @@ from merchlens.session import scratch_path
 
 def review_aggregates(reviews: DataFrame) -> DataFrame:
     """Per business: volume, mean stars, first/last date, reviews per month
-    (NULL when first and last fall in one month), sentiment counts, years."""
+    (NULL when first and last fall in one month), sentiment counts, years. The stars are added up as decimals, so their mean is the same
+    to the last bit however the rows are partitioned."""
     first, last = F.min("review_date"), F.max("review_date")
     return reviews.groupBy("business_id").agg(
         F.count(F.lit(1)).alias("total_reviews"),
-        F.avg("review_stars").alias("avg_review_stars"),
+        exact_mean("review_stars").alias("avg_review_stars"),
         first.alias("first_review_date"),
         last.alias("last_review_date"),
         (F.count(F.lit(1)) / F.nullif(months_diff(first, last), F.lit(0))).alias("reviews_per_month"),
@@ -93,12 +94,10 @@ def merchant_activity(businesses: DataFrame, reviews: DataFrame, checkins: DataF
     )
 
 
-SCORE_DIGITS = 10
-
-
 def composite_scores(activity: DataFrame) -> DataFrame:
     """Adds ``composite_score`` (unrounded): 0.40 * stars / 5 + 0.35 * velocity / max velocity + 0.25 * check-ins / max
-    check-ins, NULL when a maximum is 0. The two maxima are a one-row aggregate joined to every row."""
+    check-ins, NULL when a maximum is 0. Every term comes from whole numbers or an exact sum, so the score does not depend on the
+    order of rows. The two maxima are a one-row aggregate joined to every row."""
     most = activity.agg(F.max("reviews_per_month").cast("double").alias("__mv"), F.max("total_checkins").cast("double").alias("__mc"))
     score = (
         F.lit(rules.SCORE_WEIGHT_STARS) * (F.col("avg_review_stars") / F.lit(rules.STAR_SCALE))
@@ -116,16 +115,13 @@ def with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
 def merchant_performance(activity: DataFrame) -> DataFrame:
     """MOD7: composite score, national and in-state quintiles (1 = bottom, 5 = top), tier label and flags.
 
-    Tiers order by the score rounded to ``SCORE_DIGITS`` digits, NULL scores last, ties split by business_id: the last digits
-    of an unrounded sum depend on the order of addition, and would move merchants over a tier's edge from run to run.
-    The output score is rounded to 4. One table, stored range-partitioned by (score, id), serves both tiers; the activity
+    Tiers order by the unrounded score, NULL scores last, ties split by business_id. The output score is rounded to 4. One table, stored range-partitioned by (score, id), serves both tiers; the activity
     table is stored before, so the maxima and the ranges read it instead of computing it twice."""
     spark = activity.sparkSession
     at = scratch_path(spark, "activity")
     activity.write.parquet(at)
-    key = ["__score_key", "business_id"]
-    scored = composite_scores(spark.read.parquet(at)).withColumn("__score_key", round_dp(F.col("composite_score"), SCORE_DIGITS))
-    tiered = tiles(ranged(scored, key), rules.N_TIERS, key, out_col="performance_tier")
+    key = ["composite_score", "business_id"]
+    tiered = tiles(ranged(composite_scores(spark.read.parquet(at)), key), rules.N_TIERS, key, out_col="performance_tier")
     tiered = tiles(tiered, rules.N_TIERS, key, ["state"], out_col="state_performance_tier")
     return tiered.select(
         "business_id", "business_name", "city", "state", "primary_cuisine",

@@ -69,10 +69,10 @@ def stage_reviews(df: DataFrame, min_date: str | None = rules.REVIEW_MIN_DATE) -
     """MOD3: typed reviews with month floor, year, month number and sentiment.
 
     ``min_date=None`` drops the floor (the development variant). The date
-    column may be text with or without a time part, or a date/timestamp.
+    column may be text with or without a time part, or a date/timestamp; a row whose date can't be read is dropped.
     """
     date_src = "review_date" if "review_date" in df.columns else "date"
-    review_date = F.col(date_src).cast("date")
+    review_date = F.col(date_src).try_cast("date")
     out = df.select(
         F.col("review_id"),
         F.col("user_id"),

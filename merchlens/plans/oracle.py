@@ -17,76 +17,79 @@ def relation(name: str, sql: str, *needs: str) -> None:
     RELATIONS[name] = (sql, needs)
 
 
-def any_of(col: str, words: str) -> str:
-    """The lower-cased text holds one of the space-separated words."""
-    return "(" + " or ".join(f"contains(lower({col}), '{w}')" for w in words.split()) + ")"
+def any_of(col: str, words: Sequence[str]) -> str:
+    """The lower-cased text holds one of the words."""
+    return "(" + " or ".join(f"contains(lower({col}), '{w}')" for w in words) + ")"
 
 
-def first_match(col: str, arms: str, default: str) -> str:
-    """``arms``: lines of label = words that must all occur; the first that matches counts."""
-    out = []
-    for line in arms.strip().splitlines():
-        label, words = line.split(" = ")
-        out.append("when " + " and ".join(f"contains(lower({col}), '{w}')" for w in words.split()) + f" then '{label.strip()}'")
+def first_match(col: str, arms: Sequence[tuple[str, Sequence[str]]], default: str) -> str:
+    """The label of the first arm whose words all occur."""
+    out = ["when " + " and ".join(f"contains(lower({col}), '{w}')" for w in words) + f" then '{label}'" for label, words in arms]
     return f"case {' '.join(out)} else {default} end"
 
 
 # Published keyword lists and taxonomies, and those for the test tables' part names.
-FOOD = "restaurant food pizza burger cafe coffee sushi bar bakery diner grill bistro thai mexican italian chinese"
-ORDER_FOOD = "restaurant food pizza burger cafe sushi thai mexican italian chinese bakery diner bar grill bistro"
-PARTS = "ring bolt plate gear widget gizmo red"
-CUISINES = """
-Pizza = pizza
-Sushi = sushi
-Thai = thai
-Mexican = mexican
-Italian = italian
-Chinese = chinese
-Burgers = burger
-Sandwiches = sandwich
-Coffee & Tea = coffee
-Coffee & Tea = cafe
-Bakery = bakery
-Bars & Grills = bar food
-American (Traditional) = diner
-American (New) = american
-Seafood = seafood
-Indian = indian
-Korean = korean
-Vietnamese = vietnamese
-Mediterranean = mediterranean
-"""
-DEV_CUISINES = """
-Pizza = pizza
-Sushi = sushi
-Thai = thai
-Mexican = mexican
-Italian = italian
-Chinese = chinese
-Burgers = burger
-Coffee & Tea = coffee
-Coffee & Tea = cafe
-Bakery = bakery
-American (New) = american
-Seafood = seafood
-"""
-PART_KINDS = """
-Red anvil = red anvil
-Jewelry = ring
-Metal = bolt
-Metal = rod
-Metal = plate
-Parts = gear
-Parts = widget
-Parts = gizmo
-"""
-DEV_PART_KINDS = """
-Jewelry = ring
-Metal = bolt
-Metal = plate
-Parts = gear
-Parts = widget
-"""
+FOOD = (
+    "restaurant", "food", "pizza", "burger", "cafe", "coffee", "sushi", "bar",
+    "bakery", "diner", "grill", "bistro", "thai", "mexican", "italian", "chinese",
+)
+ORDER_FOOD = (
+    "restaurant", "food", "pizza", "burger", "cafe", "sushi", "thai",
+    "mexican", "italian", "chinese", "bakery", "diner", "bar", "grill", "bistro",
+)
+PARTS = ("ring", "bolt", "plate", "gear", "widget", "gizmo", "red")
+CUISINES = (
+    ("Pizza", ("pizza",)),
+    ("Sushi", ("sushi",)),
+    ("Thai", ("thai",)),
+    ("Mexican", ("mexican",)),
+    ("Italian", ("italian",)),
+    ("Chinese", ("chinese",)),
+    ("Burgers", ("burger",)),
+    ("Sandwiches", ("sandwich",)),
+    ("Coffee & Tea", ("coffee",)),
+    ("Coffee & Tea", ("cafe",)),
+    ("Bakery", ("bakery",)),
+    ("Bars & Grills", ("bar", "food")),
+    ("American (Traditional)", ("diner",)),
+    ("American (New)", ("american",)),
+    ("Seafood", ("seafood",)),
+    ("Indian", ("indian",)),
+    ("Korean", ("korean",)),
+    ("Vietnamese", ("vietnamese",)),
+    ("Mediterranean", ("mediterranean",)),
+)
+DEV_CUISINES = (
+    ("Pizza", ("pizza",)),
+    ("Sushi", ("sushi",)),
+    ("Thai", ("thai",)),
+    ("Mexican", ("mexican",)),
+    ("Italian", ("italian",)),
+    ("Chinese", ("chinese",)),
+    ("Burgers", ("burger",)),
+    ("Coffee & Tea", ("coffee",)),
+    ("Coffee & Tea", ("cafe",)),
+    ("Bakery", ("bakery",)),
+    ("American (New)", ("american",)),
+    ("Seafood", ("seafood",)),
+)
+PART_KINDS = (
+    ("Red anvil", ("red", "anvil")),
+    ("Jewelry", ("ring",)),
+    ("Metal", ("bolt",)),
+    ("Metal", ("rod",)),
+    ("Metal", ("plate",)),
+    ("Parts", ("gear",)),
+    ("Parts", ("widget",)),
+    ("Parts", ("gizmo",)),
+)
+DEV_PART_KINDS = (
+    ("Jewelry", ("ring",)),
+    ("Metal", ("bolt",)),
+    ("Metal", ("plate",)),
+    ("Parts", ("gear",)),
+    ("Parts", ("widget",)),
+)
 
 
 def mean(col: str) -> str:
@@ -221,20 +224,18 @@ def _tile(place: str, size: str, k: int = 5) -> str:
     return f"(case when {place} < {r} * ({q} + 1) then {place} // ({q} + 1) else {r} + ({place} - {r} * ({q} + 1)) // nullif({q}, 0) end + 1)::bigint"
 
 
-# Tiers order by the score to ten digits: the last digits of a float sum depend on the order of addition.
 relation("merchant_performance", f"""
     select business_id, business_name, city, state, primary_cuisine, latitude, longitude, is_open, listing_stars, avg_review_stars,
            total_reviews, reviews_per_month, total_checkins, active_checkin_days, positive_review_ratio, active_years,
            round(score, 4) as composite_score, tier as performance_tier, state_tier as state_performance_tier,
            ['Low', 'Below Average', 'Average', 'Strong', 'Elite'][tier] as tier_label, tier = 5 as is_elite_merchant, ifnull(not is_open, false) as is_closed
     from (select *, {_tile('place', 'everyone')} as tier, {_tile('state_place', 'in_state')} as state_tier
-          from (select *, row_number() over (order by key nulls last, business_id) - 1 as place, count(*) over () as everyone,
-                       row_number() over (partition by state order by key nulls last, business_id) - 1 as state_place,
+          from (select *, row_number() over (order by score nulls last, business_id) - 1 as place, count(*) over () as everyone,
+                       row_number() over (partition by state order by score nulls last, business_id) - 1 as state_place,
                        count(*) over (partition by state) as in_state
-                from (select *, round(score * 1e10) / 1e10 as key
-                      from (select a.*, 0.4::double * (avg_review_stars / 5.0) + 0.35::double * (reviews_per_month / nullif(top.v, 0))
+                from (select a.*, 0.4::double * (avg_review_stars / 5.0) + 0.35::double * (reviews_per_month / nullif(top.v, 0))
                                         + 0.25::double * (total_checkins / nullif(top.c, 0)) as score
-                            from merchant_activity a, (select max(reviews_per_month) as v, max(total_checkins) as c from merchant_activity) top))))""",
+                            from merchant_activity a, (select max(reviews_per_month) as v, max(total_checkins) as c from merchant_activity) top)))""",
     "merchant_activity")
 
 relation("cuisine_market_share", f"""
@@ -300,88 +301,99 @@ def with_ctes(body: str, *names: str) -> str:
 
 # ------------------------------------------------------------ quality checks
 
-# The published check lists, a line each: check, column, bounds or values.
+# The published check lists: check, column, bounds or values in SQL.
 CHECKS = {
-    "businesses": """
-        not_null business_id
-        not_null business_name
-        not_null state
-        not_null stars
-        not_null primary_cuisine
-        unique business_id
-        between stars 1.0 5.0
-        between review_count 1 -
-        between latitude 18.0 72.0
-        between longitude -180.0 -65.0
-        row_count - 100 500000""",
-    "reviews": """
-        not_null review_id
-        not_null business_id
-        not_null review_date
-        unique review_id
-        between review_stars 1.0 5.0
-        between review_year 2015 2026
-        in_set sentiment_bucket 'positive','neutral','negative'
-        row_count - 100 10000000""",
-    "orders": """
-        not_null order_id
-        not_null business_id
-        unique order_id
-        in_set order_status 'delivered','cancelled'
-        between order_total_usd 0.01 500.0
-        row_count - 1000 600000""",
-    "source businesses": """
-        not_null business_id
-        unique business_id
-        not_null name
-        not_null state
-        not_null stars
-        in_set stars 1.0,1.5,2.0,2.5,3.0,3.5,4.0,4.5,5.0
-        not_null review_count""",
-    "source reviews": """
-        not_null review_id
-        unique review_id
-        not_null business_id
-        not_null stars
-        not_null review_date""",
-    "source checkins": """
-        not_null business_id
-        not_null checkin_at""",
-    "source orders": """
-        not_null order_id
-        unique order_id
-        not_null business_id
-        in_set order_status 'delivered','cancelled'""",
-    "mart performance": """
-        not_null business_id
-        unique business_id
-        not_null state
-        not_null primary_cuisine
-        not_null performance_tier
-        in_set performance_tier 1,2,3,4,5
-        in_set tier_label 'Elite','Strong','Average','Below_Average','Low'""",
-    "mart share": """
-        not_null state
-        not_null primary_cuisine
-        not_null merchant_count
-        not_null market_share_pct""",
-    "mart retention": """
-        not_null cohort_month
-        not_null months_since_cohort
-        not_null retained_users
-        not_null retention_rate_pct""",
-    "mart delivery": """
-        not_null business_id
-        not_null order_month
-        in_set _is_synthetic_data true""",
+    "businesses": (
+        ("not_null", "business_id"),
+        ("not_null", "business_name"),
+        ("not_null", "state"),
+        ("not_null", "stars"),
+        ("not_null", "primary_cuisine"),
+        ("unique", "business_id"),
+        ("between", "stars", 1.0, 5.0),
+        ("between", "review_count", 1, None),
+        ("between", "latitude", 18.0, 72.0),
+        ("between", "longitude", -180.0, -65.0),
+        ("row_count", 100, 500000),
+    ),
+    "reviews": (
+        ("not_null", "review_id"),
+        ("not_null", "business_id"),
+        ("not_null", "review_date"),
+        ("unique", "review_id"),
+        ("between", "review_stars", 1.0, 5.0),
+        ("between", "review_year", 2015, 2026),
+        ("in_set", "sentiment_bucket", "'positive','neutral','negative'"),
+        ("row_count", 100, 10000000),
+    ),
+    "orders": (
+        ("not_null", "order_id"),
+        ("not_null", "business_id"),
+        ("unique", "order_id"),
+        ("in_set", "order_status", "'delivered','cancelled'"),
+        ("between", "order_total_usd", 0.01, 500.0),
+        ("row_count", 1000, 600000),
+    ),
+    "source businesses": (
+        ("not_null", "business_id"),
+        ("unique", "business_id"),
+        ("not_null", "name"),
+        ("not_null", "state"),
+        ("not_null", "stars"),
+        ("in_set", "stars", "1.0,1.5,2.0,2.5,3.0,3.5,4.0,4.5,5.0"),
+        ("not_null", "review_count"),
+    ),
+    "source reviews": (
+        ("not_null", "review_id"),
+        ("unique", "review_id"),
+        ("not_null", "business_id"),
+        ("not_null", "stars"),
+        ("not_null", "review_date"),
+    ),
+    "source checkins": (
+        ("not_null", "business_id"),
+        ("not_null", "checkin_at"),
+    ),
+    "source orders": (
+        ("not_null", "order_id"),
+        ("unique", "order_id"),
+        ("not_null", "business_id"),
+        ("in_set", "order_status", "'delivered','cancelled'"),
+    ),
+    "mart performance": (
+        ("not_null", "business_id"),
+        ("unique", "business_id"),
+        ("not_null", "state"),
+        ("not_null", "primary_cuisine"),
+        ("not_null", "performance_tier"),
+        ("in_set", "performance_tier", "1,2,3,4,5"),
+        ("in_set", "tier_label", "'Elite','Strong','Average','Below Average','Low'"),
+    ),
+    "mart share": (
+        ("not_null", "state"),
+        ("not_null", "primary_cuisine"),
+        ("not_null", "merchant_count"),
+        ("not_null", "market_share_pct"),
+    ),
+    "mart retention": (
+        ("not_null", "cohort_month"),
+        ("not_null", "months_since_cohort"),
+        ("not_null", "retained_users"),
+        ("not_null", "retention_rate_pct"),
+    ),
+    "mart delivery": (
+        ("not_null", "business_id"),
+        ("not_null", "order_month"),
+        ("in_set", "_is_synthetic_data", "true"),
+    ),
 }
 
 
-def check_rows(table: str, lines: str) -> str:
+def check_rows(table: str, checks: Sequence[tuple]) -> str:
     """A result row per check of a list: observed failures (rows for row_count) over all rows."""
     out = []
-    for line in lines.strip().splitlines():
-        kind, col, *rest = line.split()
+    for kind, *args in checks:
+        col = None if kind == "row_count" else args[0]
         name = "null::varchar" if kind == "row_count" else f"'{col}'"
         head = f"select '{table}' as table_name, '{kind}' as check_name, {name} as column_name, "
         if kind == "unique":
@@ -389,13 +401,13 @@ def check_rows(table: str, lines: str) -> str:
                        f"from (select count({col}) over (partition by {col}) as copies from {table})")
             continue
         if kind == "row_count":
-            out.append(head + f"count(*) as observed, count(*) as total_rows, count(*) between {rest[0]} and {rest[1]} as success from {table}")
+            out.append(head + f"count(*) as observed, count(*) as total_rows, count(*) between {args[0]} and {args[1]} as success from {table}")
             continue
         if kind == "not_null":
             fails = f"{col} is null"
         elif kind == "between":
-            fails = " or ".join(f"{col} {sign} {bound}" for sign, bound in zip("<>", rest, strict=True) if bound != "-")
+            fails = " or ".join(f"{col} {sign} {bound}" for sign, bound in zip("<>", args[1:], strict=True) if bound is not None)
         else:
-            fails = f"{col} not in ({rest[0].replace('_', ' ') if col == 'tier_label' else rest[0]})"
+            fails = f"{col} not in ({args[1]})"
         out.append(head + f"count_if({fails}) as observed, count(*) as total_rows, count_if({fails}) = 0 as success from {table}")
     return "\nunion all\n".join(out)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from merchlens.functions import rules
 from merchlens.operators import marts, quality, staging
 from merchlens.session import scratch_path
-from merchlens.sources import readers, schemas, sinks
+from merchlens.sources import checked, readers, schemas, sinks
 
 
 @dataclass
@@ -119,11 +119,19 @@ def run_pipeline(spark: SparkSession, raw: RawInputs, dest: str | None = None,
 
 
 def run_from_folders(spark: SparkSession, src: str, dest: str, cfg: PipelineConfig | None = None) -> dict[str, DataFrame]:
-    """The run from landed files: ``business``, ``review`` and ``checkin`` JSON lines and ``orders`` Parquet below ``src``."""
-    raw = RawInputs(
-        businesses=readers.read_json(spark, f"{src}/business", schemas.RAW_BUSINESS), reviews=readers.read_json(spark, f"{src}/review", schemas.RAW_REVIEW),
-        checkins=readers.read_json(spark, f"{src}/checkin", schemas.RAW_CHECKIN), orders=spark.read.parquet(f"{src}/orders"))
-    return run_pipeline(spark, raw, dest, cfg)
+    """The run from landed files: ``business``, ``review`` and ``checkin`` JSON lines and ``orders`` Parquet below ``src``. Broken lines and bad dates
+    go to ``<dest>/quarantine/<source>``, also when a gate stops the run."""
+    landed = {
+        "businesses": checked.CheckedJson(spark, f"{src}/business", schemas.RAW_BUSINESS),
+        "reviews": checked.CheckedJson(spark, f"{src}/review", schemas.RAW_REVIEW, checked.bad_date("date")),
+        "checkins": checked.CheckedJson(spark, f"{src}/checkin", schemas.RAW_CHECKIN, checked.bad_stamps("date")),
+    }
+    raw = RawInputs(**{name: source.rows() for name, source in landed.items()}, orders=spark.read.parquet(f"{src}/orders"))
+    try:
+        return run_pipeline(spark, raw, dest, cfg)
+    finally:
+        for name, source in landed.items():
+            source.settle(f"{dest.rstrip('/')}/quarantine/{name}")
 
 
 def raw_inputs_from_tables(spark: SparkSession, sf_dir: str) -> RawInputs:

@@ -17,7 +17,7 @@ from merchlens.plans.catalog import query
 from merchlens.plans.oracle import with_ctes
 from merchlens.plans.q_reports import REPORT_CUISINE, REPORT_STATE
 from merchlens.session import scratch_path
-from merchlens.sources import adapters, readers, schemas, sinks
+from merchlens.sources import adapters, csv_blocks, readers, schemas, sinks
 
 _RAW_B = ("business_id, name, address, city, state, postal_code, latitude, longitude, stars, "
           "review_count, is_open, categories")
@@ -31,6 +31,52 @@ def src1(spark, d):
     return readers.read_json(spark, path, raw.schema)
 
 
+#: Lines of the orders as review documents: every tenth is cut off, every tenth has no date, every tenth a text for its stars.
+_LINES_SQL = """(select o_orderkey, case when o_orderkey % 10 = 0 then '{"review_id":"r' || o_orderkey
+           else '{"review_id":"r' || o_orderkey || '","business_id":"b' || o_custkey || '","stars":' || case when o_orderkey % 10 = 2 then '"many"' else '4.5' end
+                || ',"date":"' || case when o_orderkey % 10 = 1 then 'the ' || o_orderkey || 'th' else strftime(o_orderdate, '%Y-%m-%d') end || '"}' end as line
+    from orders)"""
+
+
+@query("src1_quarantine", f"""
+    select 'row' as outcome, 'r' || o_orderkey as review_id, case when o_orderkey % 10 <> 1 then substr(line, length(line) - 11, 10)::date end as review_date,
+           null as record, null as named from {_LINES_SQL} where o_orderkey % 10 not in (0, 2)
+    union all
+    select case o_orderkey % 10 when 0 then 'not JSON' when 1 then 'bad date' else 'value does not fit' end, null, null, line, true
+    from {_LINES_SQL} where o_orderkey % 10 <= 2""")
+def src1_quarantine(spark, d):
+    """SRC1 + SRC3 on files with broken lines and bad dates: the rows that load and the quarantine table."""
+    o, key = adapters.table(E.prepare(spark), d, "orders"), F.col("o_orderkey")
+    kind = key % 10
+    line = F.when(kind == 0, F.concat(F.lit('{"review_id":"r'), key)).otherwise(F.concat(
+        F.lit('{"review_id":"r'), key, F.lit('","business_id":"b'), "o_custkey", F.lit('","stars":'), F.when(kind == 2, '"many"').otherwise("4.5"),
+        F.lit(',"date":"'), F.when(kind == 1, F.concat(F.lit("the "), key, F.lit("th"))).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")), F.lit('"}')))
+    src, dest = scratch_path(spark, "src1-lines"), scratch_path(spark, "src1-bronze")
+    o.select(line.alias("value")).write.text(src)
+    readers.ingest_reviews(spark, src, dest)
+    rows = spark.read.parquet(dest).select(F.lit("row").alias("outcome"), "review_id", "review_date", F.lit(None).cast("string").alias("record"), F.lit(None).cast("boolean").alias("named"))
+    bad = spark.read.parquet(f"{dest}_quarantine").select(
+        F.col("reason").alias("outcome"), F.lit(None).cast("string").alias("review_id"), F.lit(None).cast("date").alias("review_date"), "record",
+        F.col("source_file").contains("src1-lines").alias("named"))
+    return rows.unionByName(bad)
+
+
+@query("src1_schema_drift", """
+    select c_custkey::varchar as business_id, c_name as name, c_mktsegment as segment, c_acctbal as balance,
+           'account:new categories:gone latitude:gone longitude:gone postal_code:gone review_count:gone segment:new stars:gone' as changes
+    from customer""")
+def src1_drift(spark, d):
+    """An ingest of documents with new and missing fields: the table has the new ones, and the drift table tells of all."""
+    c = adapters.table(E.prepare(spark), d, "customer")
+    src, dest = scratch_path(spark, "drift-json"), scratch_path(spark, "drift-bronze")
+    c.select(F.col("c_custkey").cast("string").alias("business_id"), F.col("c_name").alias("name"), F.lit("").alias("address"), F.lit("x").alias("city"), F.lit("S").alias("state"),
+             F.lit(1).alias("is_open"), F.struct(F.lit("9-17").alias("Monday")).alias("hours"),
+             F.col("c_mktsegment").alias("segment"), F.struct(F.col("c_acctbal").alias("balance")).alias("account")).write.json(src)
+    _, changes = readers.ingest_evolving(spark, src, dest, "business", share=1.0)
+    told = changes.filter("field not like '%.%'").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "field", "change"))), " ").alias("changes"))
+    return spark.read.parquet(dest).select("business_id", "name", "segment", F.col("account.balance").alias("balance")).join(told)
+
+
 @query("src2_ingest_businesses", with_ctes(f"select {_RAW_B} from raw_businesses", "raw_businesses"))
 def src2(spark, d):
     """JSON documents -> lineage -> state-partitioned bronze -> read back."""
@@ -108,6 +154,15 @@ def src7_texts(spark, d):
     return readers.read_csv(spark, path, docs.schema)
 
 
+@query("src7_csv_blocks", "select doc_id, text, source from documents")
+def src7_blocks(spark, d):
+    """The same texts by the reader that deals a file to many tasks."""
+    docs = adapters.table(E.prepare(spark), d, "documents").select("doc_id", "text", "source")
+    path = scratch_path(spark, "src7-blocks")
+    sinks.export_csv(docs, path)
+    return csv_blocks.read_csv_blocks(spark, path, docs.schema)
+
+
 @query("src9_csv_null_tokens", with_ctes("select * from merchant_performance", "merchant_performance"))
 def src9(spark, d):
     """Mart extract whose NULLs are written as 'None' and 'NULL' tokens (two
@@ -117,7 +172,7 @@ def src9(spark, d):
     no_reviews = F.col("total_reviews") == 0
     sinks.export_csv(perf.filter(no_reviews), f"{path}/a", null_value="None")
     sinks.export_csv(perf.filter(~no_reviews), f"{path}/b", null_value="NULL")
-    return readers.read_mart_csv(spark, [f"{path}/a", f"{path}/b"], schemas.CONTRACTS["merchant_performance"])
+    return readers.read_mart_csv(spark, [f"{path}/a", f"{path}/b"], schemas.with_long_ids(schemas.CONTRACTS["merchant_performance"]))
 
 
 @query("src9_retention_contract", with_ctes("select * from cohort_retention", "cohort_retention"))
@@ -131,7 +186,7 @@ def src9_retention(spark, d):
 def src9_delivery(spark, d):
     path = scratch_path(spark, "src9-delivery")
     sinks.export_csv(E.delivery_ops(spark, d), path, null_value="None")
-    return readers.read_mart_csv(spark, path, schemas.CONTRACTS["delivery_operations"])
+    return readers.read_mart_csv(spark, path, schemas.with_long_ids(schemas.CONTRACTS["delivery_operations"]))
 
 
 @query("flt9_state_partition_pruning", with_ctes(

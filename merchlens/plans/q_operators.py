@@ -76,7 +76,7 @@ _FLT6_WORDS = ("ring", "gear", "anvil")
 
 @query("flt6_keyword_any_null_as_empty", f"""
     select c.c_custkey as business_id from customer c left join part p on c.c_custkey = p.p_partkey
-    where {SQL.any_of("coalesce(p.p_name, '')", "ring gear anvil")}""")
+    where {SQL.any_of("coalesce(p.p_name, '')", ("ring", "gear", "anvil"))}""")
 def flt6(spark, d):
     c = _t(spark, d, "customer")
     p = _t(spark, d, "part")
@@ -99,41 +99,28 @@ def flt8(spark, d):
         .filter(F.col("months_since_cohort").between(0, 24))
 
 
-# The published lists run over the documents' texts, prefixed by words of those lists so that every arm is met.
+# The published lists run over the documents' whole texts; arms that no text meets are in a unit test.
 
-def _menu(spark, d):
-    words = [w for _, ws in rules.CUISINE_RULES for w in ws]
-    word = F.get(F.lit(words), (F.col("doc_id") % len(words)).cast("int"))
-    other = F.get(F.lit(words), (F.floor(F.col("doc_id") / 7) % len(words)).cast("int"))
-    return _t(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 5 > 0, F.concat_ws(" ", F.initcap(word), F.upper(other), F.lit("text"))).otherwise(F.col("text")).alias("text"))
-
-
-_MENU_WORDS = ("['pizza','sushi','thai','mexican','italian','chinese','burger','sandwich','coffee','cafe','bakery','bar','food','diner','american',"
-               "'seafood','indian','korean','vietnamese','mediterranean']")
-_MENU_SQL = f"""(select doc_id, case when doc_id % 5 > 0 then upper(w[1]) || w[2:] || ' ' || upper(o) || ' text' else text end as text
-    from (select doc_id, text, {_MENU_WORDS}[doc_id % 20 + 1] as w, {_MENU_WORDS}[(doc_id // 7) % 20 + 1] as o from documents))"""
-
-
-@query("flt5_published_keywords", f"select doc_id from {_MENU_SQL} where {SQL.any_of('text', SQL.FOOD)}")
+@query("flt5_published_keywords", f"select doc_id from documents where {SQL.any_of('text', SQL.FOOD)}")
 def flt5_published(spark, d):
-    return _menu(spark, d).filter(C.keyword_any("text", rules.FOOD_KEYWORDS)).select("doc_id")
+    return _t(spark, d, "documents").filter(C.keyword_any("text", rules.FOOD_KEYWORDS)).select("doc_id")
 
 
-@query("flt6_published_keywords", f"select doc_id as business_id from {_MENU_SQL} where {SQL.any_of("coalesce(text, '')", SQL.ORDER_FOOD)}")
+@query("flt6_published_keywords", f"select doc_id as business_id from documents where {SQL.any_of("coalesce(text, '')", SQL.ORDER_FOOD)}")
 def flt6_published(spark, d):
-    return O.food_merchant_ids(_menu(spark, d).select(F.col("doc_id").alias("business_id"), F.col("text").alias("categories")), rules.ORDER_FOOD_KEYWORDS)
+    return O.food_merchant_ids(_t(spark, d, "documents").select(F.col("doc_id").alias("business_id"), F.col("text").alias("categories")), rules.ORDER_FOOD_KEYWORDS)
 
 
 # ------------------------------------------------------------ conditionals
 
-@query("cnd1_published_taxonomy", f"select doc_id, {SQL.first_match('text', SQL.CUISINES, "'Other'")} as cuisine from {_MENU_SQL}")
+@query("cnd1_published_taxonomy", f"select doc_id, {SQL.first_match('text', SQL.CUISINES, "'Other'")} as cuisine from documents")
 def cnd1_published(spark, d):
-    return _menu(spark, d).select("doc_id", C.taxonomy("text", rules.CUISINE_RULES, rules.CUISINE_DEFAULT).alias("cuisine"))
+    return _t(spark, d, "documents").select("doc_id", C.taxonomy("text", rules.CUISINE_RULES, rules.CUISINE_DEFAULT).alias("cuisine"))
 
 
-@query("cnd2_published_dev_taxonomy", f"select doc_id, {SQL.first_match('text', SQL.DEV_CUISINES, 'text')} as cuisine from {_MENU_SQL}")
+@query("cnd2_published_dev_taxonomy", f"select doc_id, {SQL.first_match('text', SQL.DEV_CUISINES, 'text')} as cuisine from documents")
 def cnd2_published(spark, d):
-    return _menu(spark, d).select("doc_id", C.taxonomy("text", rules.DEV_CUISINE_RULES, F.col("text")).alias("cuisine"))
+    return _t(spark, d, "documents").select("doc_id", C.taxonomy("text", rules.DEV_CUISINE_RULES, F.col("text")).alias("cuisine"))
 
 
 @query("cnd1_taxonomy_ordered_rules", f"""

@@ -35,8 +35,8 @@ def _staged(spark, d):
 
 
 def _suites_sql(pairs) -> str:
-    """pairs: (table, check lines of the SQL side)."""
-    return with_ctes("\nunion all\n".join(check_rows(t, lines) for t, lines in pairs), *{t for t, _ in pairs})
+    """pairs: (table, checks of the SQL side)."""
+    return with_ctes("\nunion all\n".join(check_rows(t, checks) for t, checks in pairs), *{t for t, _ in pairs})
 
 
 def _run(spark, d, pairs):
@@ -44,7 +44,7 @@ def _run(spark, d, pairs):
     return Q.run_suites([(t, st[t], cs) for t, cs in pairs])
 
 
-@query("dq1_not_null", _suites_sql([("stg_businesses", "\n".join(f"not_null {c}" for c in "business_id business_name state stars primary_cuisine address".split()))]))
+@query("dq1_not_null", _suites_sql([("stg_businesses", [("not_null", c) for c in ("business_id", "business_name", "state", "stars", "primary_cuisine", "address")])]))
 def dq1(spark, d):
     return _run(spark, d, [("stg_businesses", BIZ_NOT_NULL)])
 
@@ -52,29 +52,29 @@ def dq1(spark, d):
 _UNIQ = [(t, [Q.unique(c)]) for t, c in UNIQUE_CHECKS]
 
 
-@query("dq2_unique", _suites_sql([("stg_businesses", "unique business_id"), ("stg_reviews", "unique review_id"),
-                                  ("stg_orders", "unique order_id"), ("stg_checkins", "unique business_id")]))
+@query("dq2_unique", _suites_sql([("stg_businesses", [("unique", "business_id")]), ("stg_reviews", [("unique", "review_id")]),
+                                  ("stg_orders", [("unique", "order_id")]), ("stg_checkins", [("unique", "business_id")])]))
 def dq2(spark, d):
     return _run(spark, d, _UNIQ)
 
 
 @query("dq3_between", _suites_sql([
-    ("stg_businesses", "between stars 1.0 5.0\nbetween review_count 1 -\nbetween latitude 18.0 72.0\nbetween longitude -180.0 -65.0"),
-    ("stg_reviews", "between review_stars 1.0 5.0\nbetween review_year 2015 2026"),
-    ("stg_orders", "between order_total_usd 0.01 500.0\nbetween actual_delivery_min 10 -")]))
+    ("stg_businesses", [("between", "stars", 1.0, 5.0), ("between", "review_count", 1, None), ("between", "latitude", 18.0, 72.0), ("between", "longitude", -180.0, -65.0)]),
+    ("stg_reviews", [("between", "review_stars", 1.0, 5.0), ("between", "review_year", 2015, 2026)]),
+    ("stg_orders", [("between", "order_total_usd", 0.01, 500.0), ("between", "actual_delivery_min", 10, None)])]))
 def dq3(spark, d):
     return _run(spark, d, BETWEEN_CHECKS)
 
 
 @query("dq4_in_set", _suites_sql([
-    ("stg_reviews", "in_set sentiment_bucket 'positive','neutral','negative'"), ("stg_orders", "in_set order_status 'delivered','cancelled'"),
-    ("stg_businesses", "in_set stars 1.0,1.5,2.0,2.5,3.0,3.5,4.0,4.5,5.0")]))
+    ("stg_reviews", [("in_set", "sentiment_bucket", "'positive','neutral','negative'")]), ("stg_orders", [("in_set", "order_status", "'delivered','cancelled'")]),
+    ("stg_businesses", [("in_set", "stars", "1.0,1.5,2.0,2.5,3.0,3.5,4.0,4.5,5.0")])]))
 def dq4(spark, d):
     return _run(spark, d, IN_SET_CHECKS)
 
 
 @query("dq5_row_count", _suites_sql([
-    ("stg_businesses", "row_count - 100 500000"), ("stg_reviews", "row_count - 100 10000000"), ("stg_orders", "row_count - 1000 600000")]))
+    ("stg_businesses", [("row_count", 100, 500000)]), ("stg_reviews", [("row_count", 100, 10000000)]), ("stg_orders", [("row_count", 1000, 600000)])]))
 def dq5(spark, d):
     return _run(spark, d, ROW_COUNT_CHECKS)
 

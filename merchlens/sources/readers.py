@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchlens.functions import rules
-from merchlens.sources import schemas, sinks
+from merchlens.sources import checked, csv_blocks, drift, schemas, sinks
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -41,11 +41,11 @@ def bronze_businesses(raw: DataFrame, source_file: str = "business.json") -> Dat
 
 def bronze_reviews(raw: DataFrame, source_file: str = "review.json") -> DataFrame:
     """Review documents plus lineage, ``review_date`` parsed from the text date
-    (date-only or date-time text both parse) and ``review_year`` for the
+    (date-only or date-time text both parse, any other gives NULL) and ``review_year`` for the
     partitioned write."""
     return (
         with_lineage(raw, source_file)
-        .withColumn("review_date", F.col("date").cast("date"))
+        .withColumn("review_date", F.col("date").try_cast("date"))
         .withColumn("review_year", F.year("review_date"))
     )
 
@@ -63,7 +63,8 @@ def bronze_checkins(raw: DataFrame, source_file: str = "checkin.json",
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Header CSV with ``"`` quoting and doubling; quoted values may hold line breaks."""
+    """Header CSV with ``"`` quoting and doubling; quoted values may hold line breaks. A file is one task: for large files
+    use ``csv_blocks.read_csv_blocks``."""
     return (
         spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
         .option("multiLine", True).option("nullValue", "\u0000").option("emptyValue", "").csv(path)
@@ -77,11 +78,12 @@ def read_csv_with_null_tokens(
     null_tokens: Sequence[str] = rules.CSV_NULL_TOKENS,
 ) -> DataFrame:
     """CSV where any of several tokens means NULL, loaded strictly: a value that does not fit its column's type
-    stops the load, as does a fraction in a whole-number column (``15.0`` is 15).
+    stops the load, as does a fraction in a whole-number column (``15.0`` is 15). Files are dealt to many tasks by
+    ``csv_blocks``, line breaks inside quotes included.
 
     Every column is read as text (``nullValue`` accepts one token only), the tokens are mapped to NULL, then each
     column is cast to its declared type."""
-    raw = read_csv(spark, path, T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
+    raw = csv_blocks.read_csv_blocks(spark, path, T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
     cols: list[Column] = []
     for f in schema.fields:
         c = F.when(~F.col(f.name).isin(*null_tokens), F.col(f.name))
@@ -102,22 +104,34 @@ def read_mart_csv(spark: SparkSession, path: str | list[str], contract: T.Struct
 
 # ---- batch ingest by path: scan, lineage, bronze table
 
-def ingest_businesses(spark: SparkSession, src: str, dest: str) -> int:
-    """JSON lines -> bronze, a folder per state. Returns the rows written."""
-    return sinks.write_partitioned(bronze_businesses(read_json(spark, src, schemas.RAW_BUSINESS), src), dest, "state")
+def ingest_businesses(spark: SparkSession, src: str, dest: str, schema: T.StructType = schemas.RAW_BUSINESS) -> checked.Ingested:
+    """JSON lines -> bronze, a folder per state; broken lines -> ``<dest>_quarantine``."""
+    return checked.load(spark, src, dest, schema, lambda df, to: sinks.write_partitioned(df, to, "state"), lambda raw: bronze_businesses(raw, src))
 
 
-def ingest_reviews(spark: SparkSession, src: str, dest: str) -> int:
-    """JSON lines -> bronze, a folder per review year."""
-    return sinks.write_partitioned(bronze_reviews(read_json(spark, src, schemas.RAW_REVIEW), src), dest, "review_year")
+def ingest_reviews(spark: SparkSession, src: str, dest: str, schema: T.StructType = schemas.RAW_REVIEW) -> checked.Ingested:
+    """JSON lines -> bronze, a folder per review year; broken lines and bad dates -> ``<dest>_quarantine``."""
+    return checked.load(spark, src, dest, schema, lambda df, to: sinks.write_partitioned(df, to, "review_year"),
+                        lambda raw: bronze_reviews(raw, src), checked.bad_date("date"))
 
 
-def ingest_checkins(spark: SparkSession, src: str, dest: str) -> int:
-    """JSON lines -> bronze, a row per check-in."""
-    return sinks.write_table(bronze_checkins(read_json(spark, src, schemas.RAW_CHECKIN), src), dest)
+def ingest_checkins(spark: SparkSession, src: str, dest: str, schema: T.StructType = schemas.RAW_CHECKIN) -> checked.Ingested:
+    """JSON lines -> bronze, a row per check-in; broken lines and lists with bad stamps -> ``<dest>_quarantine``. ``rows`` counts documents."""
+    return checked.load(spark, src, dest, schema, sinks.write_table, lambda raw: bronze_checkins(raw, src), checked.bad_stamps("date"))
 
 
-def ingest_folder(spark: SparkSession, src: str, dest: str) -> dict[str, int]:
+def ingest_evolving(spark: SparkSession, src: str, dest: str, kind: str, share: float = drift.SHARE) -> tuple[checked.Ingested, DataFrame]:
+    """An ingest by the declared schema and the new fields that a ``share`` of the records shows. The drift table goes to ``<dest>_drift``; the
+    overwrite replaces the schema of the table by the one returned there."""
+    step, declared = {"business": (ingest_businesses, schemas.RAW_BUSINESS), "review": (ingest_reviews, schemas.RAW_REVIEW),
+                      "checkin": (ingest_checkins, schemas.RAW_CHECKIN)}[kind]
+    found = drift.found_schema(spark, src, share)
+    changes = drift.drift_table(spark, declared, found)
+    changes.write.mode("overwrite").parquet(f"{dest.rstrip('/')}_drift")
+    return step(spark, src, dest, drift.merged(declared, found)), changes
+
+
+def ingest_folder(spark: SparkSession, src: str, dest: str) -> dict[str, checked.Ingested]:
     """``business``, ``review`` and ``checkin`` below ``src`` into bronze tables below ``dest``."""
     steps = {"businesses": (ingest_businesses, "business"), "reviews": (ingest_reviews, "review"), "checkins": (ingest_checkins, "checkin")}
     return {name: step(spark, f"{src}/{folder}", f"{dest}/{name}") for name, (step, folder) in steps.items()}
@@ -126,5 +140,5 @@ def ingest_folder(spark: SparkSession, src: str, dest: str) -> dict[str, int]:
 __all__ = [
     "read_json", "read_parquet", "with_lineage", "bronze_businesses", "bronze_reviews",
     "bronze_checkins", "read_csv", "read_csv_with_null_tokens", "read_mart_csv", "schemas",
-    "ingest_businesses", "ingest_reviews", "ingest_checkins", "ingest_folder",
+    "ingest_businesses", "ingest_reviews", "ingest_checkins", "ingest_evolving", "ingest_folder",
 ]

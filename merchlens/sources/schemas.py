@@ -86,62 +86,61 @@ MART_RETENTION = T.StructType([
     T.StructField("retention_rate_pct", T.DoubleType()),
 ])
 
-def _contract(text: str) -> T.StructType:
-    """``name type`` pairs, one a line."""
-    kinds = {"string": T.StringType(), "long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType()}
-    return T.StructType([T.StructField(n, kinds[k]) for n, k in (line.split() for line in text.strip().splitlines())])
-
-
-MART_PERFORMANCE = _contract("""
-business_id long
-business_name string
-city string
-state string
-primary_cuisine string
-latitude double
-longitude double
-is_open boolean
-listing_stars double
-avg_review_stars double
-total_reviews long
-reviews_per_month double
-total_checkins long
-active_checkin_days long
-positive_review_ratio double
-active_years long
-composite_score double
-performance_tier long
-state_performance_tier long
-tier_label string
-is_elite_merchant boolean
-is_closed boolean
-""")
+MART_PERFORMANCE = T.StructType([
+    T.StructField("business_id", T.StringType()),
+    T.StructField("business_name", T.StringType()),
+    T.StructField("city", T.StringType()),
+    T.StructField("state", T.StringType()),
+    T.StructField("primary_cuisine", T.StringType()),
+    T.StructField("latitude", T.DoubleType()),
+    T.StructField("longitude", T.DoubleType()),
+    T.StructField("is_open", T.BooleanType()),
+    T.StructField("listing_stars", T.DoubleType()),
+    T.StructField("avg_review_stars", T.DoubleType()),
+    T.StructField("total_reviews", T.LongType()),
+    T.StructField("reviews_per_month", T.DoubleType()),
+    T.StructField("total_checkins", T.LongType()),
+    T.StructField("active_checkin_days", T.LongType()),
+    T.StructField("positive_review_ratio", T.DoubleType()),
+    T.StructField("active_years", T.LongType()),
+    T.StructField("composite_score", T.DoubleType()),
+    T.StructField("performance_tier", T.LongType()),
+    T.StructField("state_performance_tier", T.LongType()),
+    T.StructField("tier_label", T.StringType()),
+    T.StructField("is_elite_merchant", T.BooleanType()),
+    T.StructField("is_closed", T.BooleanType()),
+])
 
-MART_DELIVERY = _contract("""
-business_id long
-business_name string
-city string
-state string
-primary_cuisine string
-performance_tier long
-tier_label string
-order_month date
-order_day_of_week string
-total_orders long
-delivered_orders long
-cancelled_orders long
-fulfillment_rate double
-on_time_rate double
-avg_delivery_min double
-p90_delivery_min double
-total_gmv_usd double
-avg_order_value_usd double
-total_delivery_fees_usd double
-_is_synthetic_data boolean
-""")
+MART_DELIVERY = T.StructType([
+    T.StructField("business_id", T.StringType()),
+    T.StructField("business_name", T.StringType()),
+    T.StructField("city", T.StringType()),
+    T.StructField("state", T.StringType()),
+    T.StructField("primary_cuisine", T.StringType()),
+    T.StructField("performance_tier", T.LongType()),
+    T.StructField("tier_label", T.StringType()),
+    T.StructField("order_month", T.DateType()),
+    T.StructField("order_day_of_week", T.StringType()),
+    T.StructField("total_orders", T.LongType()),
+    T.StructField("delivered_orders", T.LongType()),
+    T.StructField("cancelled_orders", T.LongType()),
+    T.StructField("fulfillment_rate", T.DoubleType()),
+    T.StructField("on_time_rate", T.DoubleType()),
+    T.StructField("avg_delivery_min", T.DoubleType()),
+    T.StructField("p90_delivery_min", T.DoubleType()),
+    T.StructField("total_gmv_usd", T.DoubleType()),
+    T.StructField("avg_order_value_usd", T.DoubleType()),
+    T.StructField("total_delivery_fees_usd", T.DoubleType()),
+    T.StructField("_is_synthetic_data", T.BooleanType()),
+])
 
 #: The load contracts by mart.
 CONTRACTS = {
     "merchant_performance": MART_PERFORMANCE, "cuisine_market_share": MART_MARKET_SHARE,
     "reviewer_cohort_retention": MART_RETENTION, "delivery_operations": MART_DELIVERY,
 }
+
+
+def with_long_ids(contract: T.StructType) -> T.StructType:
+    """The contract for the test tables, whose merchants have numbers."""
+    return T.StructType([T.StructField(f.name, T.LongType()) if f.name == "business_id" else f for f in contract.fields])

@@ -147,3 +147,27 @@ def test_share_matrix_wide_uses_label_columns(spark, small_marts):
     wide = share_matrix_wide(share, 10, rules.PART_RULES)
     assert wide.columns == ["state", "Red anvil", "Jewelry", "Metal", "Parts", "Other"]
     assert wide.count() == min(10, share.select("state").distinct().count())
+
+
+def test_tiers_are_the_same_over_any_partitioning(spark):
+    """Ratings whose float sums depend on the order of addition, thousands of near ties: tiers by the unrounded score, from rows in any order."""
+    import random
+
+    r = random.Random(5)
+    reviews = [(f"r{i}", f"b{r.randrange(300):03d}", r.choice([1.1, 2.3, 3.7, 4.9, 3.3]), f"2019-0{r.randrange(1, 4)}-01") for i in range(6000)]
+    businesses = [(f"b{i:03d}", f"name {i}", "c", f"S{i % 3}", "Pizza", 3.3, 9, True, 30.0, -100.0) for i in range(300)]
+    b = spark.createDataFrame(businesses, "business_id string, business_name string, city string, state string, primary_cuisine string, stars double, "
+                                          "review_count int, is_open boolean, latitude double, longitude double")
+    checkins = spark.createDataFrame([(f"b{i % 300:03d}", "2019-01-01 10:00:00") for i in range(900)], "business_id string, at string") \
+        .select("business_id", F.col("at").cast("timestamp").alias("checkin_at"))
+    seen = []
+    for seed, parts in ((1, 1), (2, 7), (3, 23)):
+        random.Random(seed).shuffle(reviews)
+        rows = spark.createDataFrame(reviews, "review_id string, business_id string, stars double, date string").repartition(parts).selectExpr("*", "'u' as user_id", "0 as useful", "0 as funny", "0 as cool")
+        act = M.merchant_activity(b.repartition(parts), S.stage_reviews(rows, None), S.stage_checkins(checkins))
+        scores = M.composite_scores(act).select("business_id", "composite_score", "avg_review_stars").collect()
+        perf = M.merchant_performance(act).select("business_id", "performance_tier", "state_performance_tier").collect()
+        seen.append((sorted(map(tuple, scores)), sorted(map(tuple, perf))))
+    assert seen[0] == seen[1] == seen[2]
+    order = sorted(((score, i) for i, score, _ in seen[0][0]))
+    assert {i: t for i, t, _ in seen[0][1]} == {i: 1 + place // 60 for place, (_, i) in enumerate(order)}
