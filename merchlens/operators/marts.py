@@ -39,6 +39,24 @@ def review_aggregates(reviews: DataFrame) -> DataFrame:
     )
 
 
+def review_months(reviews: DataFrame) -> DataFrame:
+    """Reviews per business and month, added up: rows that the calendar bounds, whatever a merchant's popularity, from which
+    ``review_aggregates_of_months`` tells the same as ``review_aggregates`` of the reviews."""
+    good, bad = F.col("sentiment_bucket") == "positive", F.col("sentiment_bucket") == "negative"
+    return reviews.groupBy("business_id", "review_month").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("review_stars").cast("decimal(38,12)")).alias("stars"), F.count("review_stars").alias("rated"),
+        F.min("review_date").alias("first_date"), F.max("review_date").alias("last_date"), F.count_if(good).alias("good"), F.count_if(bad).alias("bad"))
+
+
+def review_aggregates_of_months(months: DataFrame) -> DataFrame:
+    first, last = F.min("first_date"), F.max("last_date")
+    return months.groupBy("business_id").agg(
+        F.sum("n").alias("total_reviews"), (F.sum("stars").cast("double") / F.nullif(F.sum("rated").cast("double"), F.lit(0.0))).alias("avg_review_stars"),
+        first.alias("first_review_date"), last.alias("last_review_date"),
+        (F.sum("n") / F.nullif(months_diff(first, last), F.lit(0))).alias("reviews_per_month"),
+        F.sum("good").alias("positive_reviews"), F.sum("bad").alias("negative_reviews"), F.countDistinct(F.year("review_month")).alias("active_years"))
+
+
 def checkin_aggregates(checkins: DataFrame) -> DataFrame:
     """Per business: check-ins, distinct active days and the weekday of the
     largest (date, hour) bucket; ties go to the smallest weekday, NULL
@@ -62,9 +80,16 @@ def merchant_activity(businesses: DataFrame, reviews: DataFrame, checkins: DataF
     Both aggregates are hash-partitioned by ``business_id`` when they leave
     their final aggregation, so the two left joins add one exchange of the
     business table at most (AQE broadcasts small sides by measured size)."""
-    r = review_aggregates(reviews)
-    c = checkin_aggregates(checkins)
-    b = businesses
+    return _activity(businesses, review_aggregates(reviews), checkin_aggregates(checkins))
+
+
+def merchant_activity_colocated(businesses: DataFrame, months: DataFrame, checkins: DataFrame) -> DataFrame:
+    """MOD6 from tables bucketed by ``business_id`` (``sinks.write_bucketed``): businesses, ``review_months`` and daily check-ins. Groups and joins read the buckets
+    as they lie, without an exchange."""
+    return _activity(businesses, review_aggregates_of_months(months), checkin_aggregates(checkins))
+
+
+def _activity(b: DataFrame, r: DataFrame, c: DataFrame) -> DataFrame:
     j = b.join(r, "business_id", "left").join(c, "business_id", "left")
     return j.select(
         "business_id",

@@ -92,25 +92,32 @@ def dist_ntile(df: DataFrame, k: int, order_cols: Sequence[str], partition_cols:
 def grouped_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = (),
                       names: Sequence[str] | None = None, ranges: int | None = None) -> DataFrame:
     """Exact continuous quantiles (linear interpolation at ``p * (n - 1)``, NULLs ignored) of ``value_col`` per group, one
-    column per probability.
+    column per probability."""
+    names = list(names or [f"q{int(round(p * 100))}" for p in probs])
+    return column_quantiles(df, {value_col: dict(zip(names, probs, strict=True))}, group_cols, ranges)
+
 
-    Rows are first reduced to a (group, value) -> count histogram with map-side combine, so a value
-    repeated across a third of the rows is one entry; positions are weighted, and each quantile is read by one
+def column_quantiles(df: DataFrame, wanted: dict[str, dict[str, float]], group_cols: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """Exact continuous quantiles of several columns in one pass: ``wanted`` maps a column to {result column: probability}.
+
+    Rows are first reduced to a (group, column, value) -> count histogram with map-side combine, so a value
+    repeated across a third of the rows is one entry; one set of ranges serves all columns, positions are weighted, and each quantile is read by one
     grouped aggregate. No group's rows are gathered into one task."""
-    names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    v = F.col(value_col).cast("double")
+    values = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(wanted)])
     # a group whose values are all NULL keeps a zero-weight row, hence NULL quantiles; NULLs sort last
-    hist = df.groupBy(*group_cols, v.alias("__v")).agg(F.count(v).alias("__w"))
-    j = positions(ranged(hist, ["__v", *group_cols], ranges=ranges), ["__v"], group_cols, weight_col="__w")
+    tall = df.select(*group_cols, F.explode(values).alias("__x")).select(*group_cols, F.col("__x.c").alias("__c"), F.col("__x.v").alias("__v"))
+    hist = tall.groupBy(*group_cols, "__c", "__v").agg(F.count("__v").alias("__w"))
+    j = positions(ranged(hist, ["__v", "__c", *group_cols], ranges=ranges), ["__v"], ["__c", *group_cols], weight_col="__w")
     aggs = []
-    for p, name in zip(probs, names, strict=True):
-        pos = F.lit(float(p)) * (F.col(_SIZE) - 1).cast("double")
+    for i, results in enumerate(wanted.values()):
+        for name, p in results.items():
+            pos = F.lit(float(p)) * (F.col(_SIZE) - 1).cast("double")
 
-        def value_at(i: Column) -> Column:
-            return F.max(F.when((F.col(_IDX) <= i) & (i < F.col(_IDX) + F.col("__w")), F.col("__v")))
+            def value_at(at: Column, i: int = i) -> Column:
+                return F.max(F.when((F.col("__c") == i) & (F.col(_IDX) <= at) & (at < F.col(_IDX) + F.col("__w")), F.col("__v")))
 
-        low, high = value_at(F.floor(pos)), value_at(F.ceil(pos))
-        aggs.append((low + (high - low) * F.max(pos - F.floor(pos))).alias(name))
+            low, high = value_at(F.floor(pos)), value_at(F.ceil(pos))
+            aggs.append((low + (high - low) * F.max(F.when(F.col("__c") == i, pos - F.floor(pos)))).alias(name))
     return j.groupBy(*group_cols).agg(*aggs) if group_cols else j.agg(*aggs)
 
 
@@ -119,20 +126,21 @@ def dist_rank(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (),
     """``rank() over ([partition by p] order by order_col [desc])`` with gaps after ties (1, 1, 3), NULLs last, as bigint,
     for any orderable type.
 
-    The first position of a row's ties is a window minimum within its range; only values that reach over several
-    ranges, one per range and group at most, need a small table joined back."""
-    order = [order_col, *([tiebreak] if tiebreak else [])]
-    down = [order_col] if descending else []
-    placed = positions(ranged(df, order, down, ranges), order, partition_cols, down)
+    A rank is 1 plus the rows of greater values, so it is read from the (group, value) -> count histogram: a value is one entry however many rows
+    hold it, only the entries are range-partitioned, and the ranks go back to the rows by one join. ``tiebreak`` is not needed any more: tied rows
+    share a rank and are never sorted."""
+    spark = df.sparkSession
+    at = scratch_path(spark, "ranked")
+    df.write.parquet(at)
+    rows = spark.read.parquet(at)
     keys = [*partition_cols, order_col]
-    first = F.min(_IDX).over(Window.partitionBy(_RANGE, *keys))
     names = {c: f"__ml_t{i}" for i, c in enumerate(keys)}
-    wide = placed.groupBy(*keys).agg(F.min(_IDX).alias("__ml_first"), F.min(_RANGE).alias("__ml_a"), F.max(_RANGE).alias("__ml_b")) \
-        .filter("__ml_a < __ml_b").select(*[F.col(c).alias(n) for c, n in names.items()], "__ml_first")
-    own = placed.withColumn("__ml_own", first)
-    return own.join(wide, _same(own, wide, names), "left") \
-        .withColumn(out_col, (F.coalesce("__ml_first", "__ml_own") + 1).cast("long")) \
-        .drop(_IDX, _SIZE, _RANGE, "__ml_own", "__ml_first", *names.values())
+    hist = rows.groupBy(*[F.col(c).alias(n) for c, n in names.items()]).agg(F.count(F.lit(1)).alias("__ml_w"))
+    value, groups = names[order_col], [names[c] for c in partition_cols]
+    down = [value] if descending else []
+    placed = positions(ranged(hist, [value, *groups], down, ranges), [value], groups, down, weight_col="__ml_w") \
+        .select(*names.values(), (F.col(_IDX) + 1).cast("long").alias(out_col))
+    return rows.join(placed, _same(rows, placed, names), "left").drop(*names.values())
 
 
-__all__ = ["dist_ntile", "dist_rank", "grouped_quantiles", "positions", "ranged", "tile_of", "tiles"]
+__all__ = ["column_quantiles", "dist_ntile", "dist_rank", "grouped_quantiles", "positions", "ranged", "tile_of", "tiles"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from merchlens.functions import rules
 from merchlens.functions.columns import bin_floor, exact_mean, round_dp, tier_rank, weekday_rank
 from merchlens.operators.marts import with_one_row
-from merchlens.operators.ntile import grouped_quantiles
+from merchlens.operators.ntile import column_quantiles, grouped_quantiles
 
 # chart data precision (rates and scores, money and stars, quantiles)
 RATE_DP, MONEY_DP, QUANTILE_DP = 4, 2, 6
@@ -70,9 +70,8 @@ def elite_map(perf: DataFrame) -> DataFrame:
 
 def velocity_quadrants(perf: DataFrame) -> DataFrame:
     """BI4: median split of review velocity (x) and stars (y); a value equal to its median counts as high. The medians are
-    one-row frames of exact distributed quantiles, joined to every row."""
-    both = with_one_row(perf, grouped_quantiles(perf, "reviews_per_month", [0.5], names=["__mx"]))
-    both = with_one_row(both, grouped_quantiles(perf, "avg_review_stars", [0.5], names=["__my"]))
+    one row of exact distributed quantiles, found in one pass and joined to every row."""
+    both = with_one_row(perf, column_quantiles(perf, {"reviews_per_month": {"__mx": 0.5}, "avg_review_stars": {"__my": 0.5}}))
     hx = F.col("reviews_per_month") >= F.col("__mx")
     hy = F.col("avg_review_stars") >= F.col("__my")
     quad = (F.when(~hx & hy, "Rising Stars").when(hx & hy, "Champions")
@@ -191,6 +190,13 @@ def state_cuisine_merchants(perf: DataFrame, state: str, cuisine: str) -> DataFr
         .select("business_id", "business_name", "composite_score", "reviews_per_month")
 
 
+def operations_of(ops: DataFrame, merchants: DataFrame) -> DataFrame:
+    """JON8 + FLT9: operations rows of chosen merchants (a filtered merchant mart). The join goes over (state, business_id), so on operations that are
+    laid out by state Spark prunes the states without such a merchant at run time."""
+    chosen = merchants.select("state", "business_id", F.col("listing_stars"), F.col("composite_score"))
+    return ops.join(chosen, ["state", "business_id"])
+
+
 def state_recent_operations(ops: DataFrame, state: str, since: str) -> DataFrame:
     """FLT10: operations rows of one state from a month on."""
     return ops.filter((F.col("state") == state) & (F.col("order_month") >= F.lit(since).cast("date")))

@@ -15,6 +15,11 @@ from merchlens.sources import sinks
 def scanned_rows(df: DataFrame) -> int:
     """Run ``df`` (its result must be small) and return the rows its file
     scans produced, walking through adaptive query stages."""
+    return scan_metric(df, "numOutputRows")
+
+
+def scan_metric(df: DataFrame, metric: str, of: str = "") -> int:
+    """Run ``df`` (its result must be small) and add a metric up over its file scans, those whose description holds ``of``."""
     df.collect()
     total = 0
 
@@ -27,8 +32,8 @@ def scanned_rows(df: DataFrame) -> int:
         if "QueryStage" in name:
             walk(node.plan())
             return
-        if "Scan" in name:
-            opt = node.metrics().get("numOutputRows")
+        if "Scan" in name and (not of or f"PartitionFilters: [isnotnull({of}" in node.simpleString(10000)):
+            opt = node.metrics().get(metric)
             if opt.isDefined():
                 total += int(opt.get().value())
         children = node.children()

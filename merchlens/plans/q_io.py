@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from merchlens.operators import reports as R
 from merchlens.operators import staging
 from merchlens.plans import entities as E
 from merchlens.plans import pipeline as PL
@@ -199,6 +200,31 @@ def flt9(spark, d):
     return sinks.read_back(spark, path, b.schema).filter(F.col("state") == REPORT_STATE)
 
 
+@query("flt9_runtime_pruning", with_ctes(
+    f"select o.*, m.listing_stars, m.composite_score from delivery_operations o join merchant_performance m "
+    f"on o.state = m.state and o.business_id = m.business_id where m.is_elite_merchant and m.city = '{REPORT_STATE}'", "delivery_operations", "merchant_performance"))
+def flt9_runtime(spark, d):
+    """FLT9 + JON8: operations laid out by state, joined with merchants that a filter on another column picks; Spark prunes the other states' folders at run time."""
+    at, perf = scratch_path(spark, "flt9-perf"), E.performance(spark, d)
+    sinks.write_table(perf, at)
+    perf = spark.read.parquet(at)
+    ops = E.delivery_ops(spark, d, perf)
+    path = scratch_path(spark, "flt9-ops")
+    sinks.write_layout(ops, path, "state", ["order_month"], tiebreak=["business_id"])
+    return R.operations_of(sinks.read_back(spark, path, ops.schema), perf.filter(F.col("is_elite_merchant") & (F.col("city") == REPORT_STATE)))
+
+
+@query("snk1_published_versions", with_ctes(
+    "select *, (select count(*) from raw_businesses) as raw_rows_before from stg_businesses", "stg_businesses", "raw_businesses"))
+def snk1_published(spark, d):
+    """Two versions of a table published one after the other: the current one is the staged businesses, and the first can still be read."""
+    path = scratch_path(spark, "published")
+    first, _ = sinks.publish(adapters.raw_businesses(E.prepare(spark), d), path)
+    sinks.publish(E.businesses(spark, d), path)
+    before = sinks.read_published(spark, path, first).agg(F.count(F.lit(1)).alias("raw_rows_before"))
+    return sinks.read_published(spark, path).join(before)
+
+
 @query("snk3_partition_by_derived_year", with_ctes(
     "select * from stg_reviews_all where review_year = 1998", "stg_reviews_all"))
 def snk3(spark, d):

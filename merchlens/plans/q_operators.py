@@ -17,7 +17,7 @@ from merchlens.plans import entities as E
 from merchlens.plans.catalog import query
 from merchlens.plans import oracle as SQL
 from merchlens.plans.oracle import with_ctes
-from merchlens.sources import adapters
+from merchlens.sources import adapters, sinks
 
 ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(round(l_extendedprice * 100) as bigint))"
 
@@ -291,6 +291,48 @@ def jon8(spark, d):
         .groupBy("business_id", "tier_label").agg(F.count(F.lit(1)).alias("rows"))
 
 
+# Tables bucketed by merchant: the joins above without an exchange.
+
+def _bucketed(spark, df, name, keys=("business_id",)):
+    return sinks.write_bucketed(df, f"{name}_{uuid.uuid4().hex[:12]}", keys, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@query("jon1_bucketed", with_ctes(
+    "select b.business_id, r.total_reviews, r.avg_review_stars "
+    "from stg_businesses b left join review_facts_all r using (business_id)", "stg_businesses", "review_facts_all"))
+def jon1_bucketed(spark, d):
+    b = _bucketed(spark, E.businesses(spark, d), "businesses")
+    months = _bucketed(spark, M.review_months(E.reviews_all(spark, d)), "review_months")
+    r = M.review_aggregates_of_months(months).select("business_id", "total_reviews", "avg_review_stars")
+    return b.select("business_id").join(r, "business_id", "left")
+
+
+@query("jon2_bucketed", with_ctes("select * from merchant_activity", "merchant_activity"))
+def jon2_bucketed(spark, d):
+    """The three-way chain of MOD6."""
+    return M.merchant_activity_colocated(
+        _bucketed(spark, E.businesses(spark, d), "businesses"), _bucketed(spark, M.review_months(E.reviews(spark, d)), "review_months"),
+        _bucketed(spark, E.checkins(spark, d), "checkins"))
+
+
+@query("jon6_bucketed", with_ctes(
+    "select o.business_id, b.business_name, count(*) as orders from stg_orders o "
+    "join stg_businesses b using (business_id) group by 1, 2", "stg_orders", "stg_businesses"))
+def jon6_bucketed(spark, d):
+    days = E.orders(spark, d).groupBy("business_id", "order_date").agg(F.count(F.lit(1)).alias("n"))
+    per = _bucketed(spark, days, "order_days").groupBy("business_id").agg(F.sum("n").alias("orders"))
+    return per.join(_bucketed(spark, E.businesses(spark, d), "businesses").select("business_id", "business_name"), "business_id")
+
+
+@query("jon8_bucketed", with_ctes(
+    "select o.business_id, m.tier_label, count(*) as rows from delivery_operations o "
+    "join merchant_performance m using (business_id) group by 1, 2", "delivery_operations", "merchant_performance"))
+def jon8_bucketed(spark, d):
+    perf = _bucketed(spark, E.performance(spark, d), "performance")
+    ops = _bucketed(spark, E.delivery_ops(spark, d, perf), "operations").groupBy("business_id").agg(F.count(F.lit(1)).alias("rows"))
+    return ops.join(perf.select("business_id", "tier_label"), "business_id")
+
+
 # --------------------------------------------------------------- aggregates
 
 @query("agg1_count_per_group", with_ctes(
