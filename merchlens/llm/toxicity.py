@@ -26,6 +26,8 @@ from __future__ import annotations
 import hashlib
 import math
 import unicodedata
+from array import array
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -47,7 +49,7 @@ HELD_OUT = 5
 #: A sure feature has at least this lower bound and this share in the sample; the bound's width in standard errors.
 SURE, PURE, SPREAD = 0.75, 0.995, 3.0
 #: Letters of the words by which near copies are told.
-LONG = 7
+LONG, MARKS = 7, 3
 MAX_DECODED = 50_000
 #: Characters of a stretch that are decoded at a time, and of them those shared with the part before.
 PART, PART_OVERLAP = 256, 64
@@ -107,7 +109,7 @@ class LetterModel:
         for order in range(4):
             c = counts.reshape((-1,) + (BASE,) * (order + 1)).sum(axis=0)
             share = (c + pull * share) / (c.sum(axis=-1, keepdims=True) + pull)
-        self.log = np.log(share).reshape(-1).tolist()
+        self.log = array("d", np.log(share).reshape(-1).tobytes())
 
     def decode(self, lattice: list[list[tuple[int | None, float]]]) -> str:
         """The likeliest path: each step offers (letter, mark, or None for nothing, cost)."""
@@ -223,6 +225,38 @@ def _unclear(token: str) -> bool:
     return signs > 1 or (signs == 1 and min(folded) < MARK) or any(x == y < MARK for x, y in zip(folded, folded[1:], strict=False))
 
 
+class Openings:
+    """The first letters of wanted words as a trie, walked along all paths of a lattice at once."""
+
+    def __init__(self, words: Iterable[str]):
+        self.root: dict = {}
+        for word in words:
+            node = self.root
+            for c in word[:4]:
+                node = node.setdefault(ord(c) - 97, {})
+            node[None] = True
+
+    def reached(self, steps: list[list[tuple[int | None, float]]]) -> bool:
+        """Whether some path spells a word that begins like a wanted one. A word begins at the first step or after a mark."""
+        now = {id(self.root): self.root}
+        for step in steps:
+            then: dict[int, dict] = {}
+            for letter, _ in step:
+                if letter is None:
+                    then.update(now)
+                elif letter == MARK:
+                    then[id(self.root)] = self.root
+                else:
+                    for node in now.values():
+                        child = node.get(letter)
+                        if child is not None:
+                            if None in child:
+                                return True
+                            then[id(child)] = child
+            now = then
+        return False
+
+
 _EDGE_RUNS = "".join(LOOK_ALIKE)
 
 
@@ -240,10 +274,11 @@ def trimmed(token: str) -> str:
 
 
 class Restorer:
-    """Decodes doubtful tokens, each different one once."""
+    """Decodes doubtful tokens, each different one once. With ``openings`` only those of which some reading begins like a wanted word: no other
+    can hold one."""
 
-    def __init__(self, model: LetterModel):
-        self.model, self.known = model, {}
+    def __init__(self, model: LetterModel, openings: Openings | None = None):
+        self.model, self.openings, self.known = model, openings, {}
 
     def __call__(self, token: str, spaced: bool) -> list[str]:
         key = (token, spaced)
@@ -252,6 +287,9 @@ class Restorer:
                 self.known.clear()
             body = token if spaced else trimmed(token)
             words: list[str] = []
+            if self.openings and not self.openings.reached(lattice(body, spaced)):
+                self.known[key] = words
+                return words
             for at in range(0, max(1, len(body) - PART_OVERLAP), PART - PART_OVERLAP):  # a longer stretch is decoded in parts that overlap
                 words += self.model.decode(lattice(body[at : at + PART], spaced)).split()
             self.known[key] = words
@@ -265,16 +303,11 @@ def features(word: str) -> list[str]:
     return [f"{word}$", *(word[:k] for k in (4, 5, 6) if len(word) >= k)]
 
 
-_models: dict[str, Restorer] = {}
-
-
-def restorer(counts_at: str) -> Restorer:
-    if counts_at not in _models:
-        _models.clear()
-        rows = list(_stored_rows(counts_at, ["gram", "n"]))
-        grams, n = (np.concatenate([b.column(i).to_numpy() for b in rows] or [np.zeros(0, np.int64)]) for i in (0, 1))
-        _models[counts_at] = Restorer(LetterModel(grams, n))
-    return _models[counts_at]
+def restorer(counts_at: str, openings: Openings | None = None) -> Restorer:
+    """For one task; its tables go with it."""
+    rows = list(_stored_rows(counts_at, ["gram", "n"]))
+    grams, n = (np.concatenate([b.column(i).to_numpy() for b in rows] or [np.zeros(0, np.int64)]) for i in (0, 1))
+    return Restorer(LetterModel(grams, n), openings)
 
 
 def _held_out(doc_id) -> F.Column:
@@ -282,13 +315,15 @@ def _held_out(doc_id) -> F.Column:
 
 
 def _mark(words: set[str]) -> int:
-    """The least hash of a text's long words, all of its words if none is long: near copies mostly share it."""
+    """Of the ``MARKS`` least hashes of a text's long words, all of its words if none is long: near copies mostly share them, other texts don't."""
     long = [w for w in words if len(w) >= LONG] or words
-    return min((int.from_bytes(hashlib.blake2b(w.encode(), digest_size=8).digest(), "little", signed=True) for w in long), default=0)
+    least = sorted(hashlib.blake2b(w.encode(), digest_size=8).digest() for w in long)[:MARKS]
+    return int.from_bytes(hashlib.blake2b(b"".join(least), digest_size=8).digest(), "little", signed=True)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, counts_at: str, most: int = MAX_TRAIN) -> DataFrame:
-    """(y, features): at most ``most`` labelled documents outside the held-out fifth, one for each mark."""
+    """(y, features): at most ``most`` labelled documents outside the held-out fifth, one for each mark and label: that of the least features, so that
+    two runs learn from the same rows."""
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("y")).dropna().filter(~_held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y"))
     # at most `most` rows of 12 bytes, so safe to broadcast
     sample = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
@@ -310,7 +345,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, counts_at: str, most: int
                 ["mark", "y", "features"])
 
     rows = docs.join(sample, "doc_id").select("text", "y").mapInArrow(run, "mark bigint, y int, features array<string>")
-    return rows.dropDuplicates(["mark"]).orderBy("mark").limit(most).select("y", "features")
+    once = rows.groupBy("mark", "y").agg(F.min("features").alias("features"))
+    return once.orderBy("mark", "y").limit(most).select("y", "features")
 
 
 def logistic(rows: list[list[int]], y: np.ndarray, width: int, ridge: float = 0.1, steps: int = 300) -> tuple[np.ndarray, float]:
@@ -377,7 +413,7 @@ def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())])
 
     def run(batches):
-        restore = restorer(model.counts_at)
+        restore = restorer(model.counts_at, Openings(f.rstrip("$") for f in model.weights))
         wanted = np.zeros(BASE**4, bool)
         for f in model.weights:
             code = 0

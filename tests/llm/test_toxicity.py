@@ -50,6 +50,28 @@ def test_viterbi_is_the_best_path(model):
         assert model.decode(steps) == best[1]
 
 
+def test_openings_are_reached_by_any_path():
+    """The trie walk says yes if and only if one of all readings holds a word that begins like a wanted one."""
+    rng, seen = random.Random(8), set()
+    wanted = ["idio", "too", "so", "stud", "ooze"]
+    trie = q.Openings(w + "rest" if len(w) == 4 else w for w in wanted)
+    for _ in range(400):
+        token, spaced = "".join(rng.choice("1d0oits5 zeu3-") for _ in range(rng.randrange(1, 8))), rng.random() < 0.5
+        steps = q.lattice(token, spaced)
+        readings = {"".join("" if x is None else chr(97 + x) if x < q.MARK else " " for x, _ in path) for path in itertools.product(*steps)}
+        want = any(word.startswith(w) for r in readings for word in r.split() for w in wanted)
+        assert trie.reached(steps) == want, (token, spaced)
+        seen.add(want)
+    assert seen == {True, False}
+
+
+def test_two_runs_learn_the_same(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    a, b = q.learn(docs, labels), q.learn(docs.repartition(7), labels.repartition(3))
+    assert a.weights == b.weights and a.bias == b.bias and len(a.weights) > 5
+
+
 def test_letter_counts(spark):
     texts = ["Ab, ábc", None, "", "a  b"]
     grams = {}
