@@ -27,9 +27,10 @@ import hashlib
 import math
 import unicodedata
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import lru_cache
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,8 @@ HELD_OUT = 5
 SURE, PURE, SPREAD = 0.75, 0.995, 3.0
 #: Letters of the words by which near copies are told.
 LONG, MARKS = 7, 3
-MAX_DECODED = 50_000
+#: Tokens with words that a task keeps at most, four times as many without, and the length of a kept one.
+MAX_DECODED, KEPT = 50_000, 64
 #: Characters of a stretch that are decoded at a time, and of them those shared with the part before.
 PART, PART_OVERLAP = 256, 64
 
@@ -132,19 +134,29 @@ class LetterModel:
 def lattice(token: str, spaced: bool = False) -> list[list[tuple[int | None, float]]]:
     """Steps of a token; ``spaced``: gaps may stand for nothing."""
     steps, before = [], -1
-    table = folds()
     for c in token:
-        letter = int(table[ord(c)])
+        letter = _folded(c)
         if letter < MARK:
-            steps.append([(letter, 0.0), (None, COST_REPEAT)] if letter == before else [(letter, 0.0)])
+            steps.append(_AGAIN[letter] if letter == before else _ONCE[letter])
         elif c in LOOK_ALIKE:
-            steps.append([*((ord(x) - 97, COST_SIGN) for x in LOOK_ALIKE[c]), (MARK, COST_BREAK)])
+            steps.append(_SIGN[c])
         else:
-            steps.append([(None, COST_GAP), (MARK, COST_BREAK)] if spaced else [(MARK, 0.0)])
+            steps.append(_GAP if spaced else _BREAK)
         before = letter
     return steps
 
 
+@lru_cache(maxsize=4096)
+def _folded(c: str) -> int:
+    return int(folds()[ord(c)])
+
+
+_ONCE = [[(x, 0.0)] for x in range(MARK)]
+_AGAIN = [[(x, 0.0), (None, COST_REPEAT)] for x in range(MARK)]
+_SIGN = {c: [*((ord(x) - 97, COST_SIGN) for x in letters), (MARK, COST_BREAK)] for c, letters in LOOK_ALIKE.items()}
+_GAP, _BREAK = [(None, COST_GAP), (MARK, COST_BREAK)], [(MARK, 0.0)]
+
+
 _SIGNS = np.zeros(0x110000, bool)
 _SIGNS[[ord(c) for c in LOOK_ALIKE]] = True
 _GAPS = np.zeros(0x110000, bool)
@@ -192,15 +204,10 @@ class Letters:
         signs = count(sign)
         # a letter and a look-alike, several look-alikes, or a doubled letter
         token = np.flatnonzero(((signs > 0) & (count(letter) > 0)) | (signs > 1) | (count(twice) > 0))
-        judged: dict[str, bool] = {}
         docs, first = self.doc_of(cut[token]), cut[token]
         last = np.append(cut, n)[token + 1]
         for doc, a, b in zip(docs.tolist(), (first - self.offset[docs]).tolist(), (last - self.offset[docs]).tolist(), strict=True):
-            text = self.texts[doc][a:b].strip()
-            if text not in judged:
-                judged[text] = _unclear(trimmed(text))
-            if judged[text]:
-                out.append((doc, text, False))
+            out.append((doc, self.texts[doc][a:b].strip(), False))
         # single letters or look-alikes with gaps between, three at least, a letter among them
         solid = letter | (sign & ~_GAPS[p])
         edge = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8)))
@@ -218,13 +225,6 @@ class Letters:
         return out
 
 
-def _unclear(token: str) -> bool:
-    """A letter and a look-alike, several look-alikes, or a letter twice in a row."""
-    folded = [int(folds()[ord(c)]) for c in token]
-    signs = sum(c in LOOK_ALIKE for c in token)
-    return signs > 1 or (signs == 1 and min(folded) < MARK) or any(x == y < MARK for x, y in zip(folded, folded[1:], strict=False))
-
-
 class Openings:
     """The first letters of wanted words as a trie, walked along all paths of a lattice at once."""
 
@@ -274,26 +274,43 @@ def trimmed(token: str) -> str:
 
 
 class Restorer:
-    """Decodes doubtful tokens, each different one once. With ``openings`` only those of which some reading begins like a wanted word: no other
-    can hold one."""
+    """Decodes doubtful tokens and keeps what ``read`` makes of their words. With ``openings`` only those of which some reading begins like a wanted word are
+    decoded: no other can hold one. Tables are bounded by the number of tokens and their lengths."""
 
-    def __init__(self, model: LetterModel, openings: Openings | None = None):
-        self.model, self.openings, self.known = model, openings, {}
+    def __init__(self, model: LetterModel, openings: Openings | None = None, read: Callable[[list[str]], Any] = list):
+        self.model, self.openings, self.read = model, openings, read
+        self.nothing = read([])
+        self.known: dict[tuple[str, bool], Any] = {}
+        self.idle: set[tuple[str, bool]] = set()
 
-    def __call__(self, token: str, spaced: bool) -> list[str]:
+    def __call__(self, token: str, spaced: bool) -> Any:
         key = (token, spaced)
-        if key not in self.known:
-            if len(self.known) >= MAX_DECODED:
-                self.known.clear()
-            body = token if spaced else trimmed(token)
-            words: list[str] = []
-            if self.openings and not self.openings.reached(lattice(body, spaced)):
-                self.known[key] = words
-                return words
-            for at in range(0, max(1, len(body) - PART_OVERLAP), PART - PART_OVERLAP):  # a longer stretch is decoded in parts that overlap
-                words += self.model.decode(lattice(body[at : at + PART], spaced)).split()
-            self.known[key] = words
-        return self.known[key]
+        if key in self.idle:
+            return self.nothing
+        if key in self.known:
+            return self.known[key]
+        words = self._decoded(token, spaced)
+        found = self.read(words)
+        if len(token) <= KEPT:
+            if found:
+                if len(self.known) >= MAX_DECODED:
+                    self.known.clear()
+                self.known[key] = found
+            else:
+                if len(self.idle) >= 4 * MAX_DECODED:
+                    self.idle.clear()
+                self.idle.add(key)
+        return found
+
+    def _decoded(self, token: str, spaced: bool) -> list[str]:
+        body = token if spaced else trimmed(token)
+        steps = lattice(body, spaced)
+        if self.openings and not self.openings.reached(steps):
+            return []
+        words: list[str] = []
+        for at in range(0, max(1, len(body) - PART_OVERLAP), PART - PART_OVERLAP):  # a longer stretch is decoded in parts that overlap
+            words += self.model.decode(lattice(body[at : at + PART], spaced) if at else steps[:PART]).split()
+        return words
 
 
 def features(word: str) -> list[str]:
@@ -303,11 +320,11 @@ def features(word: str) -> list[str]:
     return [f"{word}$", *(word[:k] for k in (4, 5, 6) if len(word) >= k)]
 
 
-def restorer(counts_at: str, openings: Openings | None = None) -> Restorer:
+def restorer(counts_at: str, *args: Any) -> Restorer:
     """For one task; its tables go with it."""
     rows = list(_stored_rows(counts_at, ["gram", "n"]))
     grams, n = (np.concatenate([b.column(i).to_numpy() for b in rows] or [np.zeros(0, np.int64)]) for i in (0, 1))
-    return Restorer(LetterModel(grams, n), openings)
+    return Restorer(LetterModel(grams, n), *args)
 
 
 def _held_out(doc_id) -> F.Column:
@@ -413,7 +430,8 @@ def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField(into, T.DoubleType())])
 
     def run(batches):
-        restore = restorer(model.counts_at, Openings(f.rstrip("$") for f in model.weights))
+        restore = restorer(model.counts_at, Openings(f.rstrip("$") for f in model.weights),
+                           lambda words: [f for word in words for f in features(word) if f in model.weights])
         wanted = np.zeros(BASE**4, bool)
         for f in model.weights:
             code = 0
@@ -429,8 +447,8 @@ def score(docs: DataFrame, model: Model, into: str = "score") -> DataFrame:
             for i, doc in zip(hits.tolist(), letters.doc_of(letters.start[hits]).tolist(), strict=True):
                 found.setdefault(doc, set()).update(f for f in features(letters.word(i)) if f in model.weights)
             for doc, token, spaced in letters.doubtful():
-                for word in restore(token, spaced):
-                    found.setdefault(doc, set()).update(f for f in features(word) if f in model.weights)
+                if hits_of := restore(token, spaced):
+                    found.setdefault(doc, set()).update(hits_of)
             scores = [model.score(found[i]) if i in found else none for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, into])
 
