@@ -41,6 +41,14 @@ def test_odd_rows(spark, odd, tmp_path):
     assert seen[-1].count() == odd.count() - 3
 
 
+def test_columns_of_any_name_pass_through(spark, tmp_path):
+    names = ["_id", "_key", "_copy", "_score", "_secrets", "_id_", "node", "hub"]
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").selectExpr("*", *[f"doc_id + {i} as {n}" for i, n in enumerate(names)])
+    for docs_now in run_stages(spark, docs, SF_SMALL, tmp_path)[1:-1]:
+        assert docs_now.columns == docs.columns and docs_now.count() > 50
+        assert docs_now.filter(" or ".join(f"{n} != doc_id + {i}" for i, n in enumerate(names))).count() == 0
+
+
 def test_empty_table(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
     assert run_stages(spark, docs, SF_SMALL, tmp_path)[-1].count() == 0
