@@ -5,10 +5,11 @@ that no two are equal. One sketch takes the ``ORDER`` labelled shingles of least
 them in text order; two texts share it when those shingles and their order agree, which
 follows edit similarity, not only set overlap. ``SKETCHES`` sketches are the keys of buckets.
 
-Candidates are stars, not pairs: the members of a bucket with its most connected member. So their number is linear in
-members, whatever the size of a bucket. Buckets that still hold several components are gone through again: each
-member with the most alike members of every other component, if they share ``AGREE`` least shingles, one at first and ``WIDEN`` times as many
-after each round without a link, until all such pairs between components are tried. A candidate is
+Candidates are stars first: the members of a bucket with its most connected member, so their number is linear in
+members, whatever the size of a bucket. What the stars link is one component. Buckets that still hold several are units of a
+second step, which verifies inside the unit: a pair between two components that shares ``AGREE`` least shingles is compared in the
+unit of the first sketch that it shares, and nowhere else, unless links found there have joined the two already. So no pair
+is written, and a unit returns fewer links than it holds components. A candidate is
 verified by banded alignment: the longest common subsequence of the two shingle sequences
 among places at most (1 - ``SIMILARITY``) of the longer text apart; it is a link when that has at least
 ``SIMILARITY`` of the longer text's shingles. As labelled shingles are unique, the alignment is
@@ -43,10 +44,11 @@ ORDER = 3
 SIMILARITY = 0.8
 #: Marks (least shingles) that a pair between components shares: two texts at the limit share 16 of 24 on average, fewer than 10 twice in 1000 pairs.
 AGREE = 10
-#: Factor of the candidates offered for a member and another component, after a round without a link.
-WIDEN = 32
-#: Rows of a block: larger buckets are compared block by block.
+#: Rows and shingles of a block: larger buckets are compared block by block.
 MOST = 4096
+HEAVY = 1 << 21
+#: Buckets with more blocks than that beside those of their largest component are split by marks first.
+WIDE = 8
 #: Hashes held at a time for one text.
 BLOCK = 1 << 21
 
@@ -151,8 +153,9 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def members(nodes: DataFrame) -> DataFrame:
-    """(key, node, n, marks, hub): rows of buckets that several nodes share; nodes: (node, n, keys, marks). ``hub`` adds up the sizes of a node's buckets: an original shares more than its variants do."""
-    rows = nodes.select("node", "n", "marks", F.explode("keys").alias("key"))
+    """(key, place, node, n, hub): rows of buckets that several nodes share, ``place`` the sketch's number; nodes: (node, n, keys). ``hub`` adds up the
+    sizes of a node's buckets: an original shares more than its variants do."""
+    rows = nodes.select("node", "n", F.posexplode("keys").alias("place", "key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     shared = _stored(rows.join(sizes, "key"), "buckets")
     hubs = shared.groupBy("node").agg(F.sum("size").alias("hub"))
@@ -160,120 +163,211 @@ def members(nodes: DataFrame) -> DataFrame:
 
 
 def stars(rows: DataFrame) -> DataFrame:
-    """(node, head, root, head_root): each member of a bucket with the bucket's best connected member, if of like length; each pair once."""
+    """(node, head): each member of a bucket with the bucket's best connected member, if of like length; each pair once."""
     heads = rows.groupBy("key").agg(F.max(F.struct("hub", "node", "n")).alias("head"))
     short, long = F.least("n", "head.n"), F.greatest("n", "head.n")
     found = rows.join(heads, "key").filter((F.col("node") != F.col("head.node")) & (short >= SIMILARITY * long))
-    return found.select("node", F.col("head.node").alias("head"), F.col("node").alias("root"), F.col("head.node").alias("head_root")).distinct()
-
-
-def _best_across(node, root, n, marks, first: int, width: int) -> list[np.ndarray]:
-    """Rows ``first`` on of a unit against those before, all among themselves if it is 0: for each and each other component, the ``width`` members that
-    share most marks, ``AGREE`` at least, of like length. Arrays node, head, root, head_root, more: whether that left some out."""
-    out = []
-    for low in range(first, len(node), 512):
-        own = slice(low, min(low + 512, len(node)))
-        upto = first or own.stop
-        agree = np.zeros((own.stop - low, upto), np.int16)
-        for i in range(marks.shape[1]):
-            agree += marks[own, i, None] == marks[None, :upto, i]
-        fits = (agree >= AGREE) & (root[own, None] != root[None, :upto]) & (np.minimum(n[own, None], n[None, :upto]) >= SIMILARITY * np.maximum(n[own, None], n[None, :upto]))
-        a, b = np.nonzero(fits)
-        order = np.lexsort((-agree[a, b], root[b], a))
-        a, b = a[order], b[order]
-        new = np.concatenate([[True], (a[1:] != a[:-1]) | (root[b][1:] != root[b][:-1])])[: len(a)]
-        start = np.flatnonzero(new)
-        size = np.diff(np.append(start, len(a)))
-        best = np.arange(len(a)) - np.repeat(start, size) < width
-        more = np.repeat(size > width, size)[best]
-        a, b = a[best] + low, b[best]
-        out.append(np.stack([node[a], node[b], root[a], root[b], more]))
-    return out
+    return found.select("node", F.col("head.node").alias("head")).distinct()
+
 
+def verified_stars(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those pairs (node, head) that align; texts: (node, words), one row per node. A head's text is sent once for about ``MOST`` of its pairs."""
+    counts = pairs.groupBy("head").agg(F.ceil(F.count("*") / MOST).alias("parts"))
+    dealt = pairs.join(counts, "head").select("node", "head", F.pmod(F.xxhash64("node"), "parts").alias("part"))
+    heads = counts.select(F.col("head").alias("node"), "head", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    both = heads.withColumn("side", F.lit(0)).unionByName(dealt.withColumn("side", F.lit(1))).join(texts, "node")
 
-def _met(rows: DataFrame) -> DataFrame:
-    """Rows of buckets of any size as units: pairs of blocks of about ``MOST`` rows, those of the one with ``side`` 0, those of the other with 1;
-    a block met with itself has side 0 only. A component of more rows has blocks of its own, and blocks of the same one don't meet."""
-    own = rows.groupBy("key", "root").agg(F.count("*").alias("own"))
-    whole = own.groupBy("key").agg(F.sum("own").alias("all"), F.count("*").alias("roots")).filter("roots > 1")
-    parts = own.join(whole, "key").select("key", "root", F.ceil(F.col("own") / MOST).alias("parts"), F.ceil(F.col("all") / MOST).alias("pool"))
-    block = F.when(F.col("parts") > 1, F.xxhash64("root", F.pmod(F.xxhash64("node"), "parts"))).otherwise(F.pmod(F.xxhash64("root"), "pool"))
-    placed = _stored(rows.join(parts, ["key", "root"]).withColumn("block", block).drop("parts", "pool"), "blocks")
+    def run(batches):
+        head, first = None, shingles(np.zeros(0, np.uint32))
+        for batch in batches:
+            keep = []
+            for h, side, words in zip(*(batch.column(c).to_pylist() for c in ("head", "side", "words")), strict=True):
+                parts = shingles(np.frombuffer(words, np.uint32))
+                if side == 0:
+                    head, first = h, parts
+                keep.append(side == 1 and h == head and aligned(parts, first) >= SIMILARITY)
+            yield batch.select(["node", "head"]).filter(pa.array(keep, pa.bool_()))
+
+    ordered = both.repartition("head", "part").sortWithinPartitions("head", "part", "side").select("node", "head", "side", "words")
+    return ordered.mapInArrow(run, "node bigint, head bigint")
+
+
+def units(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """Rows of buckets that hold several components, as units that fit a task; rows: (key, node, root, n, marks, ...).
+
+    Adds ``unit``, ``side`` and ``split``. A bucket of up to ``most`` rows and ``HEAVY`` shingles is a unit, all of side 0. A larger one is cut into blocks, a
+    component of more than a block into blocks of its own, and every two blocks of different components are a unit, those of the one with side 0, those of
+    the other with side 1; a block met with itself has side 0 only. Buckets of very many blocks are split before by each of the first marks of which a
+    pair of ``AGREE`` shares one: ``split`` is that mark's number, else -1."""
+    most = most or MOST
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    open_ = rows.join(sizes.select("key", "size", "weight"), "key").withColumn("large", (F.col("size") > most) | (F.col("weight") > HEAVY)).drop("size", "weight")
+    small = open_.filter("not large").select(*rows.columns, F.col("key").alias("unit"), F.lit(0).alias("side"), F.lit(-1).alias("split"))
+    large = open_.filter("large").drop("large").withColumn("split", F.lit(-1))
+    near, many = _blocks(large, most)
+    split = F.explode(F.sequence(F.lit(0), F.lit(SKETCHES - AGREE)))
+    apart = rows.join(many, "key").withColumn("split", split).withColumn("bucket", F.col("key"))
+    apart = apart.withColumn("key", F.xxhash64("key", "split", F.substring("marks", F.col("split") + 1, F.lit(1))))
+    far = _met(apart, _parts(apart, most)).withColumn("key", F.col("bucket")).drop("bucket")
+    return small.unionByName(_met(large.join(many, "key", "left_anti"), near)).unionByName(far)
+
+
+def _parts(rows: DataFrame, most: int) -> DataFrame:
+    """(key, root, parts, pool): blocks of a component, and of those components of the bucket that fill no block."""
+    whole = lambda c, n, to: F.greatest(F.ceil(F.col(c) / most), F.ceil(F.col(n) / HEAVY)).alias(to)
+    own = rows.groupBy("key", "root").agg(F.count("*").alias("own"), F.sum("n").alias("weight")).select("key", "root", "own", "weight", whole("own", "weight", "parts"))
+    rest = F.when(F.col("parts") == 1, F.col("own")), F.when(F.col("parts") == 1, F.col("weight"))
+    pools = own.groupBy("key").agg(F.coalesce(F.sum(rest[0]), F.lit(0)).alias("rest"), F.coalesce(F.sum(rest[1]), F.lit(0)).alias("rest_n"), F.count("*").alias("roots"))
+    return own.join(pools.filter("roots > 1").select("key", whole("rest", "rest_n", "pool")), "key").select("key", "root", "parts", "pool")
+
+
+def _blocks(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The parts of the buckets, and the keys of those with more than ``WIDE`` blocks beside their largest component's."""
+    parts = _stored(_parts(rows, most), "parts")
+    total = F.sum(F.when(F.col("parts") > 1, F.col("parts")).otherwise(0)) + F.max("pool") - F.max(F.when(F.col("parts") > 1, F.col("parts")).otherwise(0))
+    return parts, parts.groupBy("key").agg(total.alias("beside")).filter(F.col("beside") > WIDE).select("key")
+
+
+def _met(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows of large buckets in all units of two blocks."""
+    block = F.when(F.col("parts") > 1, F.xxhash64("root", F.pmod(F.xxhash64("node"), "parts"))).otherwise(F.pmod(F.xxhash64("root"), F.greatest("pool", F.lit(1))))
+    placed = rows.join(parts, ["key", "root"]).withColumn("block", block).drop("parts", "pool")
     blocks = placed.groupBy("key", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     both = blocks.toDF("key", "block", "low", "high").join(blocks.toDF("key", "other", "other_low", "other_high"), "key")
     both = both.filter((F.col("block") <= F.col("other")) & (F.least("low", "other_low") < F.greatest("high", "other_high")))
-    units = both.select("key", "block", "other", F.xxhash64("key", "block", "other").alias("unit"))
-    heads = placed.join(units.drop("other"), ["key", "block"]).withColumn("side", F.lit(0))
-    others = placed.join(units.filter("block < other").select("key", F.col("other").alias("block"), "unit"), ["key", "block"]).withColumn("side", F.lit(1))
-    return heads.unionByName(others).withColumn("key", F.col("unit")).drop("unit", "block")
-
-
-def across(rows: DataFrame, width: int) -> DataFrame:
-    """(node, head, root, head_root, more) between the components of buckets that hold several: each member with the ``width`` most alike
-    members of every other component; ``more``: not all pairs. A pair shares ``AGREE`` marks, so buckets of more than ``MOST`` rows are first
-    split by as many of the marks as hold one of them; what is still larger is compared as pairs of blocks."""
-    sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    open_ = rows.join(sizes.select("key", "size"), "key")
-    split = F.explode(F.sequence(F.lit(1), F.lit(SKETCHES - AGREE + 1)))
-    hot = open_.filter(F.col("size") > MOST).withColumn("place", split)
-    hot = hot.withColumn("key", F.xxhash64("key", "place", F.substring("marks", F.col("place"), F.lit(1)))).drop("place")
-    ready = open_.filter(F.col("size") <= MOST).withColumn("side", F.lit(0)).unionByName(_met(hot)).drop("size")
-
+    pairs = both.select("key", "block", "other", F.xxhash64("key", "block", "other").alias("unit"))
+    side = lambda c, n: F.struct(F.col(c).alias("block"), F.lit(n).alias("side"))
+    sides = F.when(F.col("block") == F.col("other"), F.array(side("block", 0))).otherwise(F.array(side("block", 0), side("other", 1)))
+    dealt = pairs.select("key", "unit", F.inline(sides))
+    return placed.join(dealt, ["key", "block"]).drop("block")
+
+
+def alike(root: np.ndarray, n: np.ndarray, marks: np.ndarray, heads: int):
+    """Pairs (a, b) of rows of a unit, b before a, of two components, like length and ``AGREE`` marks; the first ``heads`` rows are of side 0 and
+    meet only those of side 1, all rows meet if there is no side 1."""
+    low = heads if heads < len(root) else 1
+    across = heads < len(root)
+    places = np.ascontiguousarray(marks.T)
+    while low < len(root):
+        high = min(low + 256, len(root))
+        upto = heads if across else high
+        fits = (root[low:high, None] != root[None, :upto]) & (np.minimum(n[low:high, None], n[None, :upto]) >= SIMILARITY * np.maximum(n[low:high, None], n[None, :upto]))
+        if not across:
+            fits &= np.arange(low, high)[:, None] > np.arange(upto)
+        if fits.any():
+            agree = np.zeros(fits.shape, np.uint8)
+            for own in places:
+                agree += own[low:high, None] == own[None, :upto]
+            a, b = np.nonzero(fits & (agree >= AGREE))
+            yield a + low, b
+        low = high
+
+
+def _grouped(batches):
+    """Tables of one unit each."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        unit = batch.column("unit").to_numpy()
+        edges = [0, *(np.flatnonzero(unit[1:] != unit[:-1]) + 1).tolist(), len(unit)]
+        for start, end in zip(edges, edges[1:], strict=False):
+            if held and unit[start] != last:
+                yield held[0] if len(held) == 1 else pa.concat_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = unit[start]
+    if held:
+        yield held[0] if len(held) == 1 else pa.concat_batches(held)
+
+
+def _marks(rows: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("marks").to_pylist()), np.uint8).reshape(-1, SKETCHES)
+
+
+def _shared(keys: np.ndarray, a: np.ndarray, b: np.ndarray, upto: np.ndarray) -> np.ndarray:
+    """For each pair: whether its rows agree at one of the first ``upto`` columns."""
+    found = np.zeros(len(a), bool)
+    for i in range(int(upto.max(initial=0))):
+        own = np.flatnonzero((upto > i) & ~found)
+        found[own] = keys[a[own], i] == keys[b[own], i]
+    return found
+
+
+def live(rows: DataFrame) -> DataFrame:
+    """(unit, side, node, root, marks) of the rows that have a pair to verify in their unit; rows: ``units`` with ``keys`` and ``place``."""
     def run(batches):
-        key, unit, found = None, [], []
+        out = []
+        for unit in _grouped(batches):
+            root, n, place, split = (unit.column(c).to_numpy() for c in ("root", "n", "place", "split"))
+            if len(root) < 2 or root.min() == root.max():
+                continue
+            marks, keys = _marks(unit), None
+            wanted = np.zeros(len(root), bool)
+            for a, b in alike(root, n, marks, int((unit.column("side").to_numpy() == 0).sum())):
+                if not len(a):
+                    continue
+                keys = unit.column("keys").flatten().to_numpy().reshape(-1, SKETCHES) if keys is None else keys
+                ours = ~_shared(keys, a, b, place[a])
+                if split[0] >= 0:
+                    ours &= ~_shared(marks, a, b, split[a])
+                wanted[a[ours]] = wanted[b[ours]] = True
+            if wanted.any():
+                out.append(unit.select(["unit", "side", "node", "root", "marks"]).filter(pa.array(wanted)))
+            if len(out) >= 512 or sum(x.num_rows for x in out[-1:]) >= MOST:
+                yield pa.concat_batches(out)
+                out = []
+        if out:
+            yield pa.concat_batches(out)
+
+    ordered = rows.repartition("unit").sortWithinPartitions("unit", "side").select("unit", "side", "node", "root", "n", "marks", "keys", "place", "split")
+    return ordered.mapInArrow(run, "unit bigint, side int, node bigint, root bigint, marks binary")
+
+
+def _spanning(parts: list[np.ndarray], root: np.ndarray, marks: np.ndarray, heads: int) -> list[tuple[int, int]]:
+    """Pairs of rows that align, no more than join their components."""
+    first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    names, flat = np.unique(np.concatenate(parts), return_inverse=True)
+    seen, comp, out = np.zeros(len(names), bool), root.copy(), []
+    for rows, heads_of in alike(root, np.diff(first), marks, heads):
+        for a in np.unique(rows):
+            others = heads_of[rows == a]
+            others = others[comp[others] != comp[a]]
+            if not len(others):
+                continue
+            seen[flat[first[a] : first[a + 1]]] = True
+            for low in range(0, len(others), 512):
+                some = others[low : low + 512]
+                sizes = first[some + 1] - first[some]
+                ends = np.cumsum(sizes)
+                at = np.arange(ends[-1]) + np.repeat(first[some] - ends + sizes, sizes)
+                common = np.add.reduceat(seen[flat[at]].astype(np.int64), ends - sizes)
+                for b in some[common >= SIMILARITY * np.maximum(sizes, len(parts[a]))]:
+                    if comp[a] != comp[b] and aligned(parts[a], parts[b]) >= SIMILARITY:
+                        out.append((int(a), int(b)))
+                        comp[comp == comp[a]] = comp[b]
+            seen[flat[first[a] : first[a + 1]]] = False
+    return out
 
-        def close():
-            if unit:
-                node, root, n = (np.array([r[i] for r in unit], np.int64) for i in range(3))
-                marks = np.frombuffer(b"".join(r[3] for r in unit), np.uint8).reshape(-1, SKETCHES)
-                heads = sum(r[4] == 0 for r in unit)
-                found.extend(_best_across(node, root, n, marks, heads if heads < len(unit) else 0, width))
-                unit.clear()
 
-        def flush():
-            batch = pa.RecordBatch.from_arrays([pa.array(c) for c in np.concatenate([np.zeros((5, 0), np.int64), *found], axis=1)], [*PAIR, "more"])
-            found.clear()
-            return batch
+def spanning(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, head, root, head_root): links between components, verified inside the units; rows: ``live``."""
+    def run(batches):
+        for unit in _grouped(batches):
+            root, node = unit.column("root").to_numpy(), unit.column("node").to_numpy()
+            parts = [shingles(np.frombuffer(w, np.uint32)) for w in unit.column("words").to_pylist()]
+            found = _spanning(parts, root, _marks(unit), int((unit.column("side").to_numpy() == 0).sum()))
+            if found:
+                a, b = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node[a], node[b], root[a], root[b])], PAIR)
 
-        for batch in batches:
-            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "root", "n", "marks", "side")), strict=True):
-                if k != key:
-                    close()
-                    key = k
-                    if sum(x.shape[1] for x in found) > MOST:
-                        yield flush()
-                unit.append(row)
-        close()
-        yield flush()
-
-    ordered = ready.repartition("key").sortWithinPartitions("key", "side", F.desc("hub"), "node").select("key", "node", "root", "n", "marks", "side")
-    found = ordered.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*PAIR, "more"]))
-    # a pair may be found from both sides
-    turned = F.col("node") > F.col("head")
-    once = found.select(*(F.when(turned, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in zip(PAIR, [PAIR[i] for i in (1, 0, 3, 2)], strict=True)), "more")
-    return once.groupBy(*PAIR).agg((F.max("more") > 0).alias("more"))
+    ordered = rows.join(texts, "node").repartition("unit").sortWithinPartitions("unit", "side").select("unit", "side", "node", "root", "marks", "words")
+    return ordered.mapInArrow(run, ", ".join(f"{c} bigint" for c in PAIR))
 
 
 PAIR = ["node", "head", "root", "head_root"]
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those pairs that align; texts: (node, words), one row per node."""
-    def run(batches):
-        last: tuple[bytes, np.ndarray] = (b"", shingles(np.zeros(0, np.uint32)))
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("words").to_pylist(), batch.column("head_words").to_pylist(), strict=True):
-                if b != last[0]:
-                    last = (b, shingles(np.frombuffer(b, np.uint32)))
-                keep.append(aligned(shingles(np.frombuffer(a, np.uint32)), last[1]) >= SIMILARITY)
-            yield batch.drop_columns(["words", "head_words"]).filter(pa.array(keep, pa.bool_()))
-
-    heads = texts.select(F.col("node").alias("head"), F.col("words").alias("head_words"))
-    both = pairs.join(texts, "node").join(heads, "head").select("node", "head", "root", "head_root", "words", "head_words")
-    return both.mapInArrow(run, "node bigint, head bigint, root bigint, head_root bigint")
-
-
 def words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, words) of the documents that stand for the wanted nodes: (doc_id, text_key, node)."""
     def run(batches):
@@ -313,37 +407,24 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def links_of(docs: DataFrame, marked: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Stored tables of the verified links (node, head), and (node, root) of the nodes that share buckets: first stars, then rounds between
-    components until no pair of ``AGREE`` marks between two components of a bucket is untried."""
+    """Stored tables of the verified links (node, head), and (node, root) of the nodes that share buckets: stars, then units between components."""
     nodes = marked.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("marks").alias("marks"))
-    rows = members(nodes.filter("n > 0").select("node", "n", "keys", "marks"))
-    own = marked.select("node", "doc_id", "text_key").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("row"))
-    roots = rows.select("node").distinct()
-    texts = _stored(words_of(docs, own.join(roots, "node").select("node", "row.doc_id", "row.text_key")), "texts")
-    roots = roots.select("node", F.col("node").alias("root"))
-    pairs, needed = _stored(stars(rows), "candidates"), texts
-    tried, links = pairs.select(F.least("node", "head").alias("node"), F.greatest("node", "head").alias("head")), []
-    width, more = 1, True
-    while True:
-        links.append(_stored(verified(pairs, needed), "verified"))
-        if not links[-1].isEmpty():
-            moved = components(links[-1].select(F.col("root").alias("node"), F.col("head_root").alias("head"))).toDF("root", "top")
-            roots = _stored(roots.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
-        elif not more:
-            return links, roots
-        elif len(links) > 1:
-            width *= WIDEN
-        while True:
-            offered = _stored(across(rows.join(roots, "node"), width), "offered")
-            more = not offered.filter("more").isEmpty()
-            pairs = _stored(offered.drop("more").join(tried, ["node", "head"], "left_anti"), "candidates")
-            if not pairs.isEmpty():
-                break
-            if not more:
-                return links, roots
-            width *= WIDEN
-        tried = tried.unionByName(pairs.select("node", "head"))
-        needed = texts.join(pairs.select("node").union(pairs.select("head")).distinct(), "node", "left_semi")
+    nodes = _stored(nodes, "nodes")
+    rows = members(nodes.filter("n > 0").select("node", "n", "keys"))
+    shared = rows.select("node").distinct()
+    texts = _stored(words_of(docs, nodes.join(shared, "node").select("node", "row.doc_id", "row.text_key")), "texts")
+    links = [_stored(verified_stars(stars(rows), texts), "verified")]
+    roots = shared.select("node", F.col("node").alias("root"))
+    if links[0].isEmpty():
+        roots = _stored(roots, "roots")
+    else:
+        roots = _stored(roots.join(components(links[0]).toDF("node", "top"), "node", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
+    met = units(rows.drop("hub").join(roots, "node").join(nodes.select("node", "marks"), "node")).join(nodes.select("node", "keys"), "node")
+    found = _stored(spanning(live(met), texts), "spanning")
+    if found.isEmpty():
+        return links, roots
+    moved = components(found.select(F.col("root").alias("node"), F.col("head_root").alias("head"))).toDF("root", "top")
+    return [*links, found.select("node", "head")], _stored(roots.join(moved, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

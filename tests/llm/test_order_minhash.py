@@ -132,12 +132,63 @@ def test_a_borderline_text_finds_its_partner_among_near_misses(spark):
     assert got.select("class_id").distinct().count() == 1
 
 
+def _meetings(units):
+    """Pairs of rows of different components that meet, once for each meeting."""
+    by = {}
+    for r in units.collect():
+        by.setdefault(r.unit, []).append(r)
+    out = []
+    for rows in by.values():
+        sided = any(r.side for r in rows)
+        for i, x in enumerate(rows):
+            out += [tuple(sorted((x.node, y.node))) for y in rows[:i] if x.root != y.root and (x.side != y.side or not sided)]
+    return out
+
+
+def _rows(spark, roots, marks):
+    rows = [(7, i, root, 100, bytearray(marks(i))) for i, root in enumerate(roots)]
+    return spark.createDataFrame(rows, "key long, node long, root long, n long, marks binary")
+
+
 def test_all_blocks_of_a_bucket_meet(spark, monkeypatch):
     """Distinct texts of equal marks: a component of more than a block, several small ones, and single texts."""
-    monkeypatch.setattr(q, "MOST", 4)
+    monkeypatch.setattr(q, "WIDE", 1000)
     roots = [0] * 9 + [9] * 3 + [12] * 2 + list(range(14, 30))
-    rows = [(7, i, root, 100, bytearray(q.SKETCHES), 1000 - i) for i, root in enumerate(roots)]
-    found = q.across(spark.createDataFrame(rows, "key long, node long, root long, n long, marks binary, hub long"), 30).collect()
-    got = [tuple(sorted((r.node, r.head))) for r in found]
+    got = _meetings(q.units(_rows(spark, roots, lambda i: [0] * q.SKETCHES), 4))
     assert len(got) == len(set(got)) and set(got) == {(a, b) for b in range(30) for a in range(b) if roots[a] != roots[b]}
-    assert all((r.root, r.head_root) == (roots[r.node], roots[r.head]) and not r.more for r in found)
+
+
+def test_a_bucket_of_many_blocks_is_split_by_marks(spark, monkeypatch):
+    """All pairs of ``AGREE`` marks meet, in the unit of the first mark that they share and perhaps in others."""
+    monkeypatch.setattr(q, "WIDE", 1)
+    rng = random.Random(4)
+    marks = [[rng.randrange(3) for _ in range(q.SKETCHES)] for _ in range(60)]
+    roots = [i // 2 * 2 for i in range(60)]
+    units = q.units(_rows(spark, roots, lambda i: marks[i]), 4)
+    assert {r.split for r in units.select("split").distinct().collect()} == set(range(q.SKETCHES - q.AGREE + 1))
+    agree = lambda a, b: sum(x == y for x, y in zip(marks[a], marks[b], strict=True))
+    wanted = {(a, b) for b in range(60) for a in range(b) if roots[a] != roots[b] and agree(a, b) >= q.AGREE}
+    assert wanted and wanted <= set(_meetings(units))
+
+
+def test_each_pair_is_verified_in_one_unit(spark):
+    """Two texts that share several sketches meet in several units; rows are live in the first only."""
+    keys = [list(range(q.SKETCHES)), list(range(q.SKETCHES)), [1000 + i if i < 5 else i for i in range(q.SKETCHES)]]
+    rows = [(k, i, node, node, 100, bytearray(q.SKETCHES), keys[node]) for node in range(3) for i, k in enumerate(keys[node])]
+    frame = spark.createDataFrame(rows, "key long, place int, node long, root long, n long, marks binary, keys array<long>")
+    assert sorted((r.unit, r.node) for r in q.live(q.units(frame)).collect()) == [(0, 0), (0, 1), (5, 0), (5, 1), (5, 2)]
+
+
+def test_a_unit_returns_spanning_links_only():
+    """Many alike texts of different components: one link less than texts, and all of them joined."""
+    rng = random.Random(8)
+    first = [f"w{i}" for i in range(150)]
+    texts = [" ".join(f"v{rng.randrange(10**9)}" if rng.randrange(60) == 0 else w for w in first) for _ in range(40)]
+    parts = [q.shingles(word_hashes(t).astype(np.uint32)) for t in texts]
+    marks = np.array([np.frombuffer(q.sketch(p)[1], np.uint8) for p in parts])
+    for heads in (40, 13):
+        found = q._spanning(parts, np.arange(40), marks, heads)
+        assert all(q.aligned(parts[a], parts[b]) >= q.SIMILARITY for a, b in found)
+        assert len(found) < 40
+        if heads == 40:
+            assert len(found) == 39
