@@ -5,8 +5,9 @@ characters with a letter and a digit is a candidate; its character class (hex, o
 alphanumeric, mixed) sets a threshold, and the Shannon entropy of each window of
 ``WINDOW`` characters is kept up to date by counts: one character enters, one leaves, and
 only their two terms of sum(c * log2 c) change. Terms are whole numbers (a table scaled
-by 10^6), so the running sum is exact. Windows above the threshold are joined to one span,
-unless the allow list covers the candidate or a base span overlaps it.
+by 10^6), so the running sum is exact. Base spans are cut out of a candidate first; each piece
+of ``WINDOW`` characters or more that is left is judged by itself. Windows above the threshold are
+joined to one span, unless the allow list covers the piece.
 
 Everything is one projection: no user function, no shuffle.
 
@@ -18,6 +19,7 @@ gives an empty one.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,16 +42,15 @@ CLASSES = (
     ("one_case", r"^([0-9a-z_-]+|[0-9A-Z_-]+)$", 3.4),
     ("mixed", r"^[0-9A-Za-z+/_-]+$", 3.4),
 )
-#: Candidates that are no secrets: identifiers of a public format, alphabets, place holders, paths.
+#: Strings that are no secrets: identifiers of a public format, alphabets, place holders, paths, names with a number. Each entry has one
+#: pattern that matches and others that don't; none repeats a group, so that strings of any length are matched without recursion.
 ALLOW = (
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"(?i)example|sample|placeholder|changeme|dummy|xxxx|redacted",
-    r"(?i)0123456789|abcdefghij|qwertyuiop",
-    r"^/?[A-Za-z_-]+[0-9]{0,4}(/[A-Za-z_-]*[0-9]{0,4})+$",
-    r"^[A-Za-z]+([-_][A-Za-z]+)*[-_]?[0-9]{1,4}$",
+    (r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",),
+    (r"(?i)example|sample|placeholder|changeme|dummy|xxxx|redacted",),
+    (r"(?i)0123456789|abcdefghij|qwertyuiop",),
+    (r"^/?[A-Za-z_-]+[0-9]{0,4}/", r"[^A-Za-z0-9_/-]", r"[0-9]{5}", r"[0-9][A-Za-z_-]"),
+    (r"^[A-Za-z][A-Za-z_-]*[0-9]{1,4}$", r"[_-][_-]"),
 )
-#: Longer candidates are never names or paths.
-ALLOW_MAX = 256
 SCALE = 10**6
 TERMS = [round(SCALE * c * math.log2(c)) if c else 0 for c in range(WINDOW + 1)]
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
@@ -120,11 +121,11 @@ def _hot_windows(string: Column, most: Column) -> Column:
 
 
 def entropy_spans(text: Column, base: Column) -> Column:
-    """Spans of high entropy that no base span overlaps."""
+    """Spans of high entropy in what base spans (by start) leave of the candidates."""
     def suspicious(s: Column) -> Column:
         wanted = s.rlike("[0-9]") & s.rlike("[A-Za-z]")
-        for allowed in ALLOW:
-            wanted = wanted & ~((F.length(s) <= ALLOW_MAX) & s.rlike(allowed))
+        for pattern, *others in ALLOW:
+            wanted = wanted & reduce(lambda found, o: found | s.rlike(o), others, ~s.rlike(pattern))
         return wanted
 
     def limit(s: Column) -> Column:
@@ -138,15 +139,25 @@ def entropy_spans(text: Column, base: Column) -> Column:
         return bind(s, lambda v: F.when(suspicious(v), bind(_hot_windows(v, limit(v)), lambda h: F.struct(
             (c["start"] + h["first"]).alias("start"), F.lit(3).alias("kind"), (c["start"] + h["last"]).alias("end")))))
 
-    free = F.filter(_spans(text, CANDIDATE, 3), lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    def pieces(c: Column) -> Column:
+        def until(state: Column, end: Column) -> Column:
+            piece = F.struct(state["at"].alias("start"), F.lit(3).alias("kind"), end.alias("end"))
+            return F.when(end - state["at"] >= WINDOW, F.concat(state["out"], F.array(piece))).otherwise(state["out"])
+
+        start = F.struct(c["start"].alias("at"), F.array().cast(SPAN).alias("out"))
+        cut = lambda s, b: F.struct(F.greatest(s["at"], b["end"]).alias("at"), until(s, b["start"]).alias("out"))
+        within = F.filter(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+        return F.aggregate(within, start, cut, lambda s: until(s, c["end"]))
+
+    free = F.flatten(F.transform(_spans(text, CANDIDATE, 3), pieces))
     return _where(text, CANDIDATE, F.filter(F.transform(free, judge), lambda h: h["start"].isNotNull()))
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
     """``docs`` with a struct column ``into``: ``base`` and ``spans``, arrays of (start, kind, end) by start, then kind."""
     t = F.coalesce(F.col(text), F.lit(""))
-    found = bind(t, lambda v: bind(base_spans(v), lambda base: F.struct(
-        F.array_sort(base).alias("base"), F.array_sort(F.concat(base, entropy_spans(v, base))).alias("spans"))))
+    found = bind(t, lambda v: bind(F.array_sort(base_spans(v)), lambda base: F.struct(
+        base.alias("base"), F.array_sort(F.concat(base, entropy_spans(v, base))).alias("spans"))))
     return docs.withColumn(into, found)
 
 
@@ -195,7 +206,9 @@ def _places_sql(kind: int, pattern: str, value: str = "2", least: int = 0) -> st
 
 
 _LIMIT_SQL = " ".join(f"when regexp_matches(m, '{pattern}') then {sum_limit(bits)}" for _, pattern, bits in CLASSES)
-_ALLOW_SQL = " or ".join(f"regexp_matches(m, '{pattern}')" for pattern in ALLOW)
+_ALLOW_SQL = """regexp_matches(m, '^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$')
+    or regexp_matches(m, '(?i)example|sample|placeholder|changeme|dummy|xxxx|redacted') or regexp_matches(m, '(?i)0123456789|abcdefghij|qwertyuiop')
+    or regexp_matches(m, '^/?[A-Za-z_-]+[0-9]{0,4}(/[A-Za-z_-]*[0-9]{0,4})+$') or regexp_matches(m, '^[A-Za-z]+([-_][A-Za-z]+)*[-_]?[0-9]{1,4}$')"""
 _WINDOWS_SQL = f"""
   select r, c.s, i, ({' + '.join(f"{term} * len(list_filter(list_distinct(string_split(substr(m, i + 1, {WINDOW}), '')), lambda x: length(substr(m, i + 1, {WINDOW})) - length(replace(substr(m, i + 1, {WINDOW}), x, '')) = {n}))" for n, term in enumerate(TERMS) if term)}) as total,
          case {_LIMIT_SQL} end as most
@@ -203,10 +216,19 @@ _WINDOWS_SQL = f"""
 OP8_SQL = f"""
 with texts as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
 base as ({_places_sql(0, ASSIGN, "2", ASSIGN_MIN)} union all {_places_sql(1, ACCESS)} union all {_places_sql(2, HEX.replace("(?<![0-9a-f])", ""))}),
+whole as ({_places_sql(3, "[A-Za-z0-9+/_-]{%d,}" % WINDOW)}),
+cuts as (
+  select w.r, w.s as ws, w.e as we, b.s, b.e, coalesce(max(b.e) over (partition by w.r, w.s order by b.s, b.kind rows between unbounded preceding and 1 preceding), w.s) as after
+  from whole w join base b on b.r = w.r and b.s < w.e and w.s < b.e
+),
+pieces as (
+  select r, s, e from whole w where not exists (select 1 from cuts c where c.r = w.r and c.ws = w.s)
+  union all select r, after, s from cuts
+  union all select r, greatest(ws, max(e)), we from cuts group by r, ws, we
+),
 candidates as (
-  select r, m, s, e from ({_places_sql(3, "[A-Za-z0-9+/_-]{%d,}" % WINDOW)}) c
-  where regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]') and not (length(m) <= {ALLOW_MAX} and ({_ALLOW_SQL}))
-    and not exists (select 1 from base b where b.r = c.r and b.s < c.e and c.s < b.e)
+  select * from (select r, s, e, substr(t, s::bigint + 1, (e - s)::bigint) as m from pieces join texts using (r) where e - s >= {WINDOW})
+  where regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]') and not ({_ALLOW_SQL})
 ),
 spans as (
   select r, kind, s, e from base

@@ -13,18 +13,27 @@ def brute_base(text):
     return sorted(out + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32])
 
 
+NO_SECRETS = [
+    "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
+    "(?i)example|sample|placeholder|changeme|dummy|xxxx|redacted",
+    "(?i)0123456789|abcdefghij|qwertyuiop",
+    "^/?[A-Za-z_-]+[0-9]{0,4}(/[A-Za-z_-]*[0-9]{0,4})+$",
+    "^[A-Za-z]+([-_][A-Za-z]+)*[-_]?[0-9]{1,4}$",
+]
+
+
 def brute_entropy(text):
-    out = []
+    out, taken = [], {i for a, _, b in brute_base(text) for i in range(a, b)}
     for m in re.finditer("[A-Za-z0-9+/_-]{20,}", text):
-        s = m[0]
-        if any(a < m.end() and m.start() < b for a, _, b in brute_base(text)) or not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)):
-            continue
-        if len(s) <= q.ALLOW_MAX and any(re.search(p, s) for p in q.ALLOW):
-            continue
-        limit = next(q.sum_limit(bits) for _, pattern, bits in q.CLASSES if re.search(pattern, s))
-        hot = [i for i in range(len(s) - q.WINDOW + 1) if sum(q.TERMS[s[i : i + q.WINDOW].count(c)] for c in set(s[i : i + q.WINDOW])) <= limit]
-        if hot:
-            out.append((m.start() + hot[0], 3, m.start() + hot[-1] + q.WINDOW))
+        free = "".join(" " if i in taken else text[i] for i in range(m.start(), m.end()))
+        for piece in re.finditer("[^ ]{20,}", free):
+            s, at = piece[0], m.start() + piece.start()
+            if not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)) or any(re.search(p, s) for p in NO_SECRETS):
+                continue
+            limit = next(q.sum_limit(bits) for _, pattern, bits in q.CLASSES if re.search(pattern, s))
+            hot = [i for i in range(len(s) - q.WINDOW + 1) if sum(q.TERMS[s[i : i + q.WINDOW].count(c)] for c in set(s[i : i + q.WINDOW])) <= limit]
+            if hot:
+                out.append((at + hot[0], 3, at + hot[-1] + q.WINDOW))
     return out
 
 
@@ -40,6 +49,21 @@ def test_spans_equal_brute_force(spark):
     assert any(s.kind == 3 for r in got for s in r.secrets.spans)
 
 
+def test_what_base_spans_leave_of_a_key_is_scanned(spark):
+    key = "Zk3Vq8LmT1rB7yWcP5sD0aHjXu2Ne6Go9Ki4Fb"
+    texts = [f"{key}AKIAABCDEFGHIJKL{key}", f"{key}_token=abcdefgh", key + "0a1b2c3d" * 4 + key[::-1], f"secret={key}", "Zk3Vq8LmT1rB7yWcP5s" + "0a1b2c3d" * 4]
+    df = q.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r.doc_id: [tuple(s) for s in r.secrets.spans] for r in df.collect()}
+    assert got == {i: sorted(brute_base(t) + brute_entropy(t)) for i, t in enumerate(texts)}
+    assert [sum(k == 3 for _, k, _ in got[i]) for i in range(5)] == [2, 1, 2, 0, 0]
+
+
+def test_long_paths_and_names_are_allowed(spark):
+    texts = ["/usr" + "/lib64/share" * 20000, "a" + "-name_of" * 5000 + "12", "/usr" + "/lib64/share" * 300 + "/Zk3Vq8LmT1rB7yWcP5sD0aHj"]
+    got = q.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: len(r.secrets.spans) for r in got} == {0: 0, 1: 0, 2: 1}
+
+
 def test_limit_is_the_entropy():
     for bits in (2.9, 3.4, 4.0):
         for counts in ((1,) * 20, (2,) * 10, (4,) * 5, (10, 10)):
