@@ -89,3 +89,17 @@ def test_labels_and_ranks(spark):
     assert [r.l for r in df.select(C.tier_label("t").alias("l")).collect()] == ["Elite", "Low", "Average"]
     d = spark.createDataFrame([("Sunday",), ("Monday",)], "d string")
     assert [r.r for r in d.select(C.weekday_rank("d").alias("r")).collect()] == [7, 1]
+
+
+def test_rounding_equals_round_without_its_decimals(spark):
+    near = [0.5, 1.5, 2.5, 0.49999999999999994, 8419704.000000001, 8419703.5, 2.0 ** 51 + 0.5, 1.0, 0.0, 5e-324]
+    df = spark.createDataFrame([(v * s,) for v in near for s in (1, -1)] + [(None,)], "x double")
+    for r in df.select(C.round_long(F.col("x")).alias("got"), F.round("x").cast("long").alias("want")).collect():
+        assert r.got == r.want
+    wide = df.union(spark.createDataFrame([(float(v),) for v in ("1e300", "-1e17", "4503599627370497", "nan", "inf", "-inf")], "x double"))
+    rounded = wide.select("x", *[C.round_dp("x", n).alias(f"got{n}") for n in (0, 2, 4)],
+                          *[(F.round(F.col("x") * F.lit(float(10 ** n))) / F.lit(float(10 ** n))).alias(f"want{n}") for n in (0, 2, 4)])
+    for r in rounded.collect():
+        assert all(repr(r[f"got{n}"]) == repr(r[f"want{n}"]) for n in (0, 2, 4)), r
+    plan = df.select(C.round_dp("x", 2))._jdf.queryExecution().toString()
+    assert "round(" not in plan

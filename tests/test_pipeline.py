@@ -72,3 +72,43 @@ def test_gate_stops_before_gold(spark):
         PL.run_pipeline(spark, PL.raw_inputs_from_tables(spark, SF_SMALL), dest, cfg)
     import os
     assert not os.path.exists(f"{dest.removeprefix('file:')}/gold")
+
+
+def test_independent_steps_run_at_once(spark, monkeypatch):
+    import threading
+
+    meet, write, begun = threading.Barrier(4, timeout=60), PL.sinks.write_table, []
+
+    def waits(df, path, *args, **kwargs):
+        begun.append(path)
+        if "/bronze/" in path:
+            meet.wait()  # the four bronze writes wait for each other
+        return write(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(PL.sinks, "write_table", waits)
+    cfg = PL.testdata_config()
+    cfg.suites = {"stg_reviews": PL.quality.suite_reviews()}
+    with pytest.raises(QualityGateError):
+        PL.run_pipeline(spark, PL.raw_inputs_from_tables(spark, SF_SMALL), scratch_path(spark, "t-pipe-once"), cfg)
+    assert len(begun) == 4
+
+
+def test_at_once_keeps_order_properties_and_errors(spark):
+    from merchlens.session import at_once
+
+    spark.sparkContext.setLocalProperty("merchlens.test", "mine")
+    ended = []
+
+    def step(i):
+        ended.append(i)
+        return i, spark.sparkContext.getLocalProperty("merchlens.test")
+
+    def fails():
+        raise ValueError("no")
+
+    assert at_once(spark, [lambda i=i: step(i) for i in range(5)]) == [(i, "mine") for i in range(5)]
+    ended.clear()
+    with pytest.raises(ValueError, match="no"):
+        at_once(spark, [fails, lambda: step(1), lambda: step(2)])
+    assert sorted(ended) == [1, 2] and at_once(spark, []) == []
+    spark.sparkContext.setLocalProperty("merchlens.test", None)
