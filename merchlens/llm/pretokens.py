@@ -34,11 +34,18 @@ def point_classes() -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1)
+def point_values() -> np.ndarray:
+    """Value of every code point in hashes."""
+    return mix(np.arange(0x110000, dtype=np.uint64) + np.uint64(0x5851F42D4C957F2D))
+
+
 class Points:
     """Texts as one array of code points; text i is [offset[i], offset[i + 1])."""
 
     def __init__(self, texts: list[str]):
-        self.points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.whole = "".join(texts)
+        self.points = np.frombuffer(self.whole.encode("utf-32-le", "surrogatepass"), np.uint32)
         self.offset = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))]).astype(np.int64)
         self.kind = point_classes()[self.points]
         n = len(self.points)
@@ -100,11 +107,10 @@ class Points:
         return places[:-1][kept], places[1:][kept]
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return segment_hashes(mix(self.points.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D)), starts, ends)
+        return segment_hashes(point_values()[self.points], starts, ends)
 
     def strings(self, starts: np.ndarray, ends: np.ndarray) -> list[str]:
-        raw = self.points.tobytes()
-        return [raw[4 * s : 4 * e].decode("utf-32-le", "surrogatepass") for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+        return [self.whole[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
 def byte_alphabet() -> list[str]:
@@ -120,6 +126,22 @@ def spelled(piece: str, letters: list[str] = byte_alphabet()) -> str:
     return "".join([letters[b] for b in piece.encode("utf-8", "surrogatepass")])
 
 
+_LETTERS = np.array([ord(x) for x in byte_alphabet()], np.uint32)
+
+
+def all_spelled(pieces: list[str]) -> list[str]:
+    """Each piece in the byte alphabet; all are spelled at once."""
+    whole = "".join(pieces)
+    raw = np.frombuffer(whole.encode("utf-8", "surrogatepass"), np.uint8)
+    letters = _LETTERS[raw].astype("<u4").tobytes().decode("utf-32-le")
+    ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+    if len(raw) > len(whole):  # from code points to bytes
+        first = np.flatnonzero((raw & 0xC0) != 0x80)
+        ends = np.append(first, len(raw))[ends]
+    ends = ends.tolist()
+    return [letters[s:e] for s, e in zip([0, *ends], ends)]
+
+
 _WHITE = regex.compile(r"\p{White_Space}+")
 _SIGMA = "Σ"
 

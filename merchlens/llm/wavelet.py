@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlens.llm.piece_encoder import PieceEncoder
-from merchlens.llm.pretokens import spelled
+from merchlens.llm.pretokens import all_spelled
 from merchlens.llm.words import chunks, files_at, write_once
 from merchlens.session import scratch_path
 
@@ -43,6 +43,28 @@ NULL_ID = -(1 << 63)
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
 
+def divided(values: np.ndarray, plane: np.ndarray, zeros: int) -> np.ndarray:
+    """Values whose bit is 0, then those whose bit is 1; block by block, so that places stay in the cache."""
+    out, low, high = np.empty_like(values), 0, zeros
+    for first in range(0, len(values), BLOCK_BITS):
+        own, bit = values[first : first + BLOCK_BITS], plane[first : first + BLOCK_BITS]
+        a, b = np.flatnonzero(~bit), np.flatnonzero(bit)
+        out[low : low + len(a)], out[high : high + len(b)] = own.take(a), own.take(b)
+        low, high = low + len(a), high + len(b)
+    return out
+
+
+def joined(values: np.ndarray, plane: np.ndarray, zeros: int) -> np.ndarray:
+    """Undoes ``divided``."""
+    out, low, high = np.empty_like(values), 0, zeros
+    for first in range(0, len(values), BLOCK_BITS):
+        own, bit = out[first : first + BLOCK_BITS], plane[first : first + BLOCK_BITS]
+        a, b = np.flatnonzero(~bit), np.flatnonzero(bit)
+        own[a], own[b] = values[low : low + len(a)], values[high : high + len(b)]
+        low, high = low + len(a), high + len(b)
+    return out
+
+
 def pack(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray):
     """The bytes of a file, part by part."""
     bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
@@ -60,10 +82,11 @@ def pack(ids: np.ndarray, doc_ids: np.ndarray, lengths: np.ndarray):
             at += len(small)
             ends.append(at)
             ones.append(before)
-            before += int(_ONES[block].sum())
+            before += int(np.bitwise_count(block).sum())
             yield small
         zeros.append(len(now) - before)
-        now = np.concatenate([now[~plane], now[plane]])
+        if bit:
+            now = divided(now, plane, zeros[-1])
     tail = squeeze.compress(b"".join(np.asarray(x, np.int64).tobytes() for x in (doc_ids, lengths, zeros, ends, ones)))
     yield tail
     yield np.array([len(ids), len(doc_ids), bits, len(ends), len(tail)], np.int64).tobytes()
@@ -147,10 +170,7 @@ class WaveletFile:
         for plane in range(self.bits - 1, -1, -1):
             raw = [self._load(b) for b in range(plane * self.per_plane, (plane + 1) * self.per_plane)]
             bit = np.unpackbits(np.concatenate(raw or [np.zeros(0, np.uint8)]), count=self.n).astype(bool)
-            zeros = int(self.zeros[plane])
-            before = np.zeros(self.n, kind)
-            if out is not None:
-                before[~bit], before[bit] = out[:zeros], out[zeros:]
+            before = np.zeros(self.n, kind) if out is None else joined(out, bit, int(self.zeros[plane]))
             out = before | bit.astype(kind) << kind(self.bits - 1 - plane)
         return out if out is not None else np.zeros(0, kind)
 
@@ -174,7 +194,7 @@ def library_encoder(vocabulary: str) -> PieceEncoder:
     tokenizer = Tokenizer.from_file(vocabulary)
     model = tokenizer.model
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-    return PieceEncoder("byte_level", lambda pieces: [[t.id for t in model.tokenize(spelled(p))] for p in pieces], special)
+    return PieceEncoder("byte_level", lambda pieces: [[t.id for t in model.tokenize(p)] for p in all_spelled(pieces)], special)
 
 
 MANIFEST = "part int, number int, file string, n_docs bigint, n_tokens bigint"
@@ -216,7 +236,7 @@ def read_shards(manifest: DataFrame, uri: str) -> DataFrame:
             for row in batch.to_pylist():
                 shard = open_file(uri, row["file"])
                 ids, ends = shard.tokens().astype("<u4"), np.cumsum(shard.lengths)
-                raw = ids.tobytes()
+                raw = memoryview(ids.tobytes())
                 sums = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), shard.lengths.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(shard.doc_ids, pa.int64(), mask=shard.doc_ids == NULL_ID), pa.array(row["before"] + ends - shard.lengths),
