@@ -37,3 +37,9 @@ def test_flt5_every_word_in_whole_texts(spark, tmp_path):
     food = hidden("restaurant food pizza burger cafe coffee sushi bar bakery diner grill bistro thai mexican italian chinese")
     texts = food + hidden("sandwich korean") + PLAIN
     assert [i for i, in run(spark, tmp_path, "flt5_published_keywords", texts)] == ids_of(food, texts)
+
+
+def test_flt6_every_word_in_whole_texts(spark, tmp_path):
+    food = hidden("restaurant food pizza burger cafe sushi thai mexican italian chinese bakery diner bar grill bistro")
+    texts = food + hidden("coffee sandwich korean") + PLAIN
+    assert [i for i, in run(spark, tmp_path, "flt6_published_keywords", texts)] == ids_of(food, texts)
