@@ -43,3 +43,13 @@ def test_flt6_every_word_in_whole_texts(spark, tmp_path):
     food = hidden("restaurant food pizza burger cafe sushi thai mexican italian chinese bakery diner bar grill bistro")
     texts = food + hidden("coffee sandwich korean") + PLAIN
     assert [i for i, in run(spark, tmp_path, "flt6_published_keywords", texts)] == ids_of(food, texts)
+
+
+def test_cnd1_every_arm_in_whole_texts(spark, tmp_path):
+    arms = {"pizza": "Pizza", "sushi": "Sushi", "thai": "Thai", "mexican": "Mexican", "italian": "Italian", "chinese": "Chinese",
+            "burger": "Burgers", "sandwich": "Sandwiches", "coffee": "Coffee & Tea", "cafe": "Coffee & Tea", "bakery": "Bakery",
+            "diner": "American (Traditional)", "american": "American (New)", "seafood": "Seafood", "indian": "Indian", "korean": "Korean",
+            "vietnamese": "Vietnamese", "mediterranean": "Mediterranean", "bar": "Other", "food": "Other", "restaurant": "Other"}
+    label = dict(zip(hidden(" ".join(arms)), arms.values())) | dict.fromkeys(PLAIN, "Other")
+    label |= {f"Food {LONG} bars": "Bars & Grills", f"Thai {LONG} sushi": "Sushi", f"Seafood {LONG} bars": "Bars & Grills"}
+    assert run(spark, tmp_path, "cnd1_published_taxonomy", list(label)) == [(i, label[t]) for i, t in rows_of(list(label))]
