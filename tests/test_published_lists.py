@@ -53,3 +53,12 @@ def test_cnd1_every_arm_in_whole_texts(spark, tmp_path):
     label = dict(zip(hidden(" ".join(arms)), arms.values())) | dict.fromkeys(PLAIN, "Other")
     label |= {f"Food {LONG} bars": "Bars & Grills", f"Thai {LONG} sushi": "Sushi", f"Seafood {LONG} bars": "Bars & Grills"}
     assert run(spark, tmp_path, "cnd1_published_taxonomy", list(label)) == [(i, label[t]) for i, t in rows_of(list(label))]
+
+
+def test_cnd2_every_arm_in_whole_texts(spark, tmp_path):
+    arms = {"pizza": "Pizza", "sushi": "Sushi", "thai": "Thai", "mexican": "Mexican", "italian": "Italian", "chinese": "Chinese",
+            "burger": "Burgers", "coffee": "Coffee & Tea", "cafe": "Coffee & Tea", "bakery": "Bakery", "american": "American (New)",
+            "seafood": "Seafood"}
+    label = dict(zip(hidden(" ".join(arms)), arms.values())) | {f"Thai {LONG} sushi": "Sushi"}
+    label |= {t: t for t in hidden("sandwich diner korean bar food") + PLAIN}
+    assert run(spark, tmp_path, "cnd2_published_dev_taxonomy", list(label)) == [(i, label[t]) for i, t in rows_of(list(label))]
